@@ -31,8 +31,8 @@ class TripRoles:
     keys: tuple[str, ...]
     prefer: tuple[str, ...] = ("total_amount", "driver_pay")
     scope: tuple[str, ...] = ("file_year", "file_month")
-    file_year: str = "file_year"
-    file_month: str = "file_month"
+    file_year: str | None = "file_year"
+    file_month: str | None = "file_month"
 
 
 def roles_for(category: str, columns, nullable=None, scope=("file_year", "file_month")) -> TripRoles:
@@ -63,7 +63,7 @@ def incomplete_reason(required) -> Column | None:
 
 
 def timeliness_reason(roles: TripRoles) -> Column | None:
-    if roles.pickup is None:
+    if roles.pickup is None or roles.file_year is None:
         return None
     pickup = F.col(roles.pickup)
     on_time = (F.year(pickup) == F.col(roles.file_year)) & (F.month(pickup) == F.col(roles.file_month))
@@ -167,14 +167,10 @@ def conservation(tagged: DataFrame, scope) -> DataFrame:
 
 def only(roles: TripRoles, *parts: str) -> TripRoles:
     """Roles with every rule switched off except the named ones."""
-    off = {"required": (), "keys": ()}
-    if "timeliness" not in parts and "datetime" not in parts:
-        off["pickup"] = None
-    if "datetime" not in parts:
-        off["dropoff"] = None
-    if "integrity" not in parts:
-        off["pu"] = off["do"] = None
-    for name, field in (("incomplete", "required"), ("uniqueness", "keys")):
-        if name in parts:
-            off.pop(field)
+    off = {"required": (), "keys": (), "dropoff": None, "pu": None, "do": None, "file_year": None}
+    kept = {"incomplete": ("required",), "uniqueness": ("keys",), "datetime": ("dropoff",),
+            "integrity": ("pu", "do"), "timeliness": ("file_year",)}
+    for part in parts:
+        for name in kept[part]:
+            off.pop(name)
     return replace(roles, **off)

@@ -25,6 +25,8 @@ def build_session(app_name: str = "hackstand", master: str | None = None, **conf
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.parquet.compression.codec": "zstd",
+        # call-site capture costs several gateway round trips per column expression
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in options.items():
