@@ -4,6 +4,6 @@ from hackstand.catalog import registry
 
 
 def load():
-    from hackstand.catalog import marts, quality, serving, trips  # noqa: F401
+    from hackstand.catalog import audit, marts, quality, serving, trips  # noqa: F401
 
     return registry.QUERIES

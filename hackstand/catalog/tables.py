@@ -224,6 +224,60 @@ class Tables:
             app_fraction=1.0,
         )
 
+    # ---- audit logs, as the three layers would have written them ----
+
+    def _runs(self, source: DataFrame, runs: int, *measures: Column) -> DataFrame:
+        """Log rows per file and run: a run takes the lines whose number leaves one remainder."""
+        grouped = source.groupBy("service_id", "file_year", "file_month", (F.col("line_no") % runs).alias("run")).agg(
+            F.count(F.lit(1)).alias("n"), *measures
+        )
+        month = F.concat("file_year", F.lit("-"), F.lpad(F.col("file_month").cast("string"), 2, "0"))
+        start = F.make_timestamp("file_year", "file_month", F.col("run") + 1, F.lit(0), F.lit(0), F.lit(0)) + F.make_dt_interval(
+            F.lit(0), F.lit(0), F.lit(0), (F.col("n") * 0.5).cast("decimal(18,6)"))
+        end = start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("n") * 0.137).cast("decimal(18,6)"))
+        iso = "yyyy-MM-dd'T'HH:mm:ss.SSS"
+        return grouped.withColumns({
+            "month": month, "start_timestamp": F.date_format(start, iso), "end_timestamp": F.date_format(end, iso),
+            "_id": F.concat_ws("|", "service_id", month, F.col("run").cast("string")),
+        })
+
+    @cached_property
+    def audit_bronze(self) -> DataFrame:
+        return self._runs(self.trips, 3, F.sum("part_key").alias("bytecount")).select(
+            F.md5(F.concat(F.lit("b"), "_id")).alias("audit_id"),
+            F.concat("service_id", F.lit("_"), "month").alias("name"),
+            F.concat(F.lit("data\\bronze\\"), "service_id", F.lit("\\"), "month", F.lit(".parquet")).alias("source_file"),
+            "bytecount", F.col("n").alias("rowcount"), "start_timestamp", "end_timestamp",
+        )
+
+    @cached_property
+    def audit_silver(self) -> DataFrame:
+        rejected = F.count(cleaning.REASON).alias("rowcount_quarantined")
+        return self._runs(self.tagged, 2, rejected).filter("not (file_month = 7 and service_id = 'fhv')").select(
+            F.md5(F.concat(F.lit("s"), "_id")).alias("audit_id"),
+            F.when(F.col("file_month") == 3, "gone").otherwise(F.md5(F.concat(F.lit("b"), "_id"))).alias("bronze_audit_id"),
+            F.concat(F.lit("data/bronze/"), "service_id", F.lit("/"), "month", F.lit(".parquet")).alias("source_file"),
+            F.col("n").alias("rowcount_bronze"), (F.col("n") - F.col("rowcount_quarantined")).alias("rowcount_quality"),
+            "rowcount_quarantined", "start_timestamp", "end_timestamp",
+        )
+
+    @cached_property
+    def audit_gold(self) -> DataFrame:
+        return self._runs(self.trips, 2).select(
+            F.md5(F.concat(F.lit("g"), "_id")).alias("gold_audit_id"),
+            F.md5(F.concat(F.lit("s"), "_id")).alias("silver_audit_id"),
+            F.concat(F.lit("mart_"), "service_id").alias("mart_name"), F.lit("marts").alias("subdir"),
+            F.when(F.col("run") == 0, "full").otherwise("incremental").alias("mode"),
+            F.col("n").alias("rowcount_output"), "start_timestamp", "end_timestamp",
+        )
+
+    @cached_property
+    def audit_ml(self) -> DataFrame:
+        return self._runs(self.trips, 2).select(
+            F.md5(F.concat(F.lit("m"), "_id")).alias("ml_audit_id"), F.col("service_id").alias("pipeline"),
+            F.col("n").alias("rowcount_output"), F.col("start_timestamp").alias("started_at"),
+        )
+
     def raw_category(self, category: str) -> DataFrame:
         """Clean trips of one category under the column names its source files use."""
         names = {

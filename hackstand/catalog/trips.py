@@ -59,10 +59,10 @@ def _reasons(t):
     by_reason = t.tagged.groupBy(cleaning.REASON).agg(
         F.count(F.lit(1)).alias("n"), *[count_where(F.col("service_id") == s).alias(s) for s in services]
     )
-    whole = by_reason.agg(F.sum("n").alias("total"))
-    return by_reason.join(F.broadcast(whole)).filter(F.col(cleaning.REASON).isNotNull()).select(
+    whole = t.trips.agg(F.count(F.lit(1))).scalar()
+    return by_reason.filter(F.col(cleaning.REASON).isNotNull()).select(
         F.col(cleaning.REASON).alias("reject_reason"), *services,
-        half_up(F.col("n").cast("double") / F.col("total") * 100.0, 3).alias("pct_del_total"),
+        half_up(F.col("n").cast("double") / whole * 100.0, 3).alias("pct_del_total"),
     )
 
 

@@ -184,14 +184,12 @@ def pareto_curve(mart: DataFrame, n: int = 40) -> DataFrame:
     running = F.sum(units).over(order.rowsBetween(Window.unboundedPreceding, 0)).cast("double") / 1e4
     curve = top.select(F.row_number().over(order).alias("pos"), "zone", "ingresos", running.alias("_cum"))
     kept = top.agg(exact_sum(F.col("ingresos")).alias("_kept"))
-    rest = whole.join(F.broadcast(kept)).filter(F.col("_n") > n).select(
+    rest = whole.filter(F.col("_n") > n).select(
         F.lit(n + 1).alias("pos"), F.lit("Otras zonas").alias("zone"),
-        half_up(F.col("_all") - F.col("_kept"), 2).alias("ingresos"), F.col("_all").alias("_cum"),
-    )
-    points = curve.unionByName(rest).join(F.broadcast(whole.select("_all")))
-    return points.select(
-        "pos", "zone", "ingresos", half_up(guarded_ratio(F.col("_cum"), F.col("_all")) * 100.0, 1).alias("acumulado_pct")
+        half_up(F.col("_all") - kept.scalar(), 2).alias("ingresos"), F.col("_all").alias("_cum"),
     )
+    share = guarded_ratio(F.col("_cum"), whole.select("_all").scalar())
+    return curve.unionByName(rest).select("pos", "zone", "ingresos", half_up(share * 100.0, 1).alias("acumulado_pct"))
 
 
 def summary_tipping(mart: DataFrame) -> dict[str, DataFrame]:
