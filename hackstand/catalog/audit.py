@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from hackstand.catalog.registry import query
 from hackstand.catalog.sections import long_form, section_sql
-from hackstand.catalog.sql import compose, define, half, pct, ratio, time, xavg
+from hackstand.catalog.sql import compose, day, define, half, pct, ratio, time, xavg
+from hackstand.functions.numeric import count_where
 from hackstand.operators import columns, ranking, selection
 from hackstand.plans import audit, marts, serving
 
@@ -171,21 +172,27 @@ select trip_id, pickup_datetime = max(pickup_datetime) over (partition by pickup
 query("win_total_runs", compose("select trip_id, count(*) over (partition by service_id, pickup_location_id) as total from facts"))(
     lambda t: ranking.with_key_stats(t.facts.select("trip_id", "service_id", "pickup_location_id"),
                                      ["service_id", "pickup_location_id"], total=F.count(F.lit(1))).select("trip_id", "total"))
-query("gap_fill", compose(f"""
-select h.borough, h.service_id, {time('h.t')} as pickup_hour, coalesce(cast(trip_count as double), 0) as trip_count
-from (select borough, service_id, unnest(generate_series(min(pickup_hour), max(pickup_hour), interval 1 hour)) as t from hourly group by 1,2) h
-left join hourly y on y.borough = h.borough and y.service_id = h.service_id and y.pickup_hour = h.t
-"""))(lambda t: ranking.gap_fill(t.hourly, ["borough", "service_id"], "pickup_hour", "trip_count"))
 _SERIES = """(select h.borough, h.service_id, h.t as pickup_hour, coalesce(cast(trip_count as double), 0) as trip_count
 from (select borough, service_id, unnest(generate_series(min(pickup_hour), max(pickup_hour), interval 1 hour)) as t from hourly group by 1,2) h
 left join hourly y on y.borough = h.borough and y.service_id = h.service_id and y.pickup_hour = h.t)"""
+query("gap_fill", compose(f"""
+select borough, service_id, {day('pickup_hour')} as dia, count(*) as horas, cast(sum(trip_count) as bigint) as viajes,
+  count(case when trip_count = 0 then 1 end) as horas_vacias from {_SERIES} group by 1,2,3
+"""))(lambda t: ranking.gap_fill(t.hourly, ["borough", "service_id"], "pickup_hour", "trip_count")
+      .groupBy("borough", "service_id", F.to_date("pickup_hour").alias("dia")).agg(
+    F.count(F.lit(1)).alias("horas"), F.sum("trip_count").cast("long").alias("viajes"),
+    count_where(F.col("trip_count") == 0).alias("horas_vacias")))
 query("win_lags", compose(f"""
-select borough, service_id, {time('pickup_hour')} as pickup_hour, trip_count, trip_count - lag(trip_count, 1) over w as d1,
-  trip_count - lag(trip_count, 24) over w as d24,
-  trip_count - lag(trip_count, 1) over w - lag(trip_count, 24) over w + lag(trip_count, 25) over w as d1_24
-from {_SERIES} window w as (partition by borough, service_id order by pickup_hour)
-"""))(lambda t: ranking.lag_differences(ranking.gap_fill(t.hourly, ["borough", "service_id"], "pickup_hour", "trip_count"),
-                                        ["borough", "service_id"], "pickup_hour", "trip_count"))
+select borough, service_id, {day('pickup_hour')} as dia, count(d1_24) as n, sum(d1) as d1, sum(abs(d24)) as d24, sum(d1_24*d1_24) as d1_24 from (
+  select borough, service_id, pickup_hour, trip_count - lag(trip_count, 1) over w as d1, trip_count - lag(trip_count, 24) over w as d24,
+    trip_count - lag(trip_count, 1) over w - lag(trip_count, 24) over w + lag(trip_count, 25) over w as d1_24
+  from {_SERIES} window w as (partition by borough, service_id order by pickup_hour)) group by 1,2,3
+"""))(lambda t: ranking.lag_differences(
+    ranking.gap_fill(t.hourly, ["borough", "service_id"], "pickup_hour", "trip_count"),
+    ["borough", "service_id"], "pickup_hour", "trip_count")
+    .groupBy("borough", "service_id", F.to_date("pickup_hour").alias("dia")).agg(
+    F.count("d1_24").alias("n"), F.sum("d1").alias("d1"), F.sum(F.abs("d24")).alias("d24"),
+    F.sum(F.col("d1_24") * F.col("d1_24")).alias("d1_24")))
 _ZC = "(select service_id, zone, count(*) as n from facts join zones on location_id = pickup_location_id group by 1,2)"
 
 

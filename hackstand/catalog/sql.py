@@ -183,7 +183,7 @@ def app(c: str, alias: str | None = None) -> str:
 
 
 define("facts", f"""
-select order_key*10 + line_no as trip_id, service_id, file_year as year, file_month as month,
+select (order_key*10 + line_no)*4 + case service_id when 'green' then 0 when 'yellow' then 1 when 'fhv' then 2 else 3 end as trip_id, service_id, file_year as year, file_month as month,
   year(pickup_datetime)*10000 + month(pickup_datetime)*100 + day(pickup_datetime) as date_key,
   pickup_datetime, dropoff_datetime, pickup_location_id, dropoff_location_id,
   {', '.join(taxi(c) for c in ('passenger_count', 'trip_distance', 'fare_amount', 'tip_amount', 'tolls_amount', 'extra', 'mta_tax', 'improvement_surcharge', 'total_amount', 'vendor_id', 'ratecode_id', 'payment_type_id'))},

@@ -16,6 +16,10 @@ from hackstand.functions import clock, rules
 from hackstand.functions.numeric import half_up
 from hackstand.operators import cleaning, star
 from hackstand.plans import features, marts
+from hackstand.session import scratch_path
+from hackstand.streaming import rides, sinks
+
+AS_OF = "2024-01-25 00:00:00"
 
 TRIP_REQUIRED = (
     "order_key", "line_no", "part_key", "service_id", "vendor_id", "pickup_datetime", "dropoff_datetime",
@@ -42,6 +46,10 @@ def taxi_only(value: Column) -> Column:
     return F.when(rules.is_taxi(F.col("service_id")), value)
 
 
+def service_code() -> Column:
+    return F.array_position(F.array(*[F.lit(s) for s in fv.SERVICES]), F.col("service_id")) - 1
+
+
 def app_only(value: Column) -> Column:
     return F.when(F.col("service_id") == "fhvhv", value)
 
@@ -159,7 +167,7 @@ class Tables:
         app = ("hvfhs_license_num", "request_datetime", "on_scene_datetime", "bcf", "sales_tax", "driver_pay",
                "shared_request_flag", "shared_match_flag")
         return self.clean.select(
-            (F.col("order_key") * 10 + F.col("line_no")).alias("trip_id"),
+            ((F.col("order_key") * 10 + F.col("line_no")) * 4 + service_code()).alias("trip_id"),
             "service_id",
             F.col("file_year").alias("year"),
             F.col("file_month").alias("month"),
@@ -278,6 +286,74 @@ class Tables:
             F.col("n").alias("rowcount_output"), F.col("start_timestamp").alias("started_at"),
         )
 
+    # ---- ride events ----
+
+    @staticmethod
+    def as_lines(events: DataFrame) -> DataFrame:
+        """Events as JSON lines; one in five is delivered twice."""
+        k = F.get_json_object("props", "$.k").cast("int")
+        raw = events.withColumns({"k": k, "at": F.date_trunc("second", F.col("ts").cast("timestamp"))})
+        kind, at, value = F.col("event_type"), F.col("at"), F.col("value")
+        service = (
+            F.when(kind == "click", "yellow").when(kind == "view", "green").when(kind == "signup", "fhv").otherwise("fhvhv")
+        )
+        tip, tolls = half_up(value * (F.col("k") % 30) / 100.0, 2), half_up(value * (F.col("k") % 5) / 50.0, 2)
+        miles = F.when(F.col("k") % 23 != 0, half_up(value / 7.0, 2))
+        ride = F.struct(
+            service.alias("service_id"), at.alias("pickup_datetime"),
+            (at - minutes(F.col("k") % 9 + 1)).alias("request_datetime"),
+            F.when(F.col("k") % 11 != 0, at + minutes(F.col("k") % 60 - 2)).alias("dropoff_datetime"),
+            F.when(F.col("k") % 17 != 0, (F.col("user_id") % 25 + 2).cast("int")).alias("pu_location_id"),
+            F.when(F.col("k") % 13 != 0, (F.col("event_id") % 25 + 2).cast("int")).alias("do_location_id"),
+            F.concat(F.lit("B"), F.col("user_id").cast("string")).alias("dispatching_base_num"),
+            F.when(F.col("k") % 19 != 0, (F.col("user_id") % 3).cast("int")).alias("vendor_id"),
+            (F.col("k") % 6 + 1).alias("ratecode_id"), (F.col("k") % 4 + 1).alias("payment_type_id"),
+            (F.col("k") % 7).alias("passenger_count"), miles.alias("trip_distance"), value.alias("fare_amount"),
+            tip.alias("tip_amount"), tolls.alias("tolls_amount"), half_up(value + tip + tolls, 2).alias("total_amount"),
+            F.lit(0.5).alias("extra"), F.lit(0.5).alias("mta_tax"),
+            F.concat(F.lit("HV000"), (F.col("user_id") % 4 + 2).cast("string")).alias("hvfhs_license_num"),
+            value.alias("base_passenger_fare"), miles.alias("trip_miles"), tip.alias("tips"),
+            half_up(value * 0.75, 2).alias("driver_pay"),
+            F.when(F.col("k") % 5 == 0, "Y").otherwise("N").alias("shared_request_flag"),
+            F.when(F.col("k") % 10 == 0, "Y").otherwise("N").alias("shared_match_flag"),
+        )
+        copies = F.sequence(F.lit(1), F.when(F.col("k") % 5 == 0, 2).otherwise(1))
+        return raw.withColumn("_copy", F.explode(copies)).select("event_id", F.to_json(ride).alias("value"))
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        return self.as_lines(self.read("events"))
+
+    @cached_property
+    def stream_lines(self) -> DataFrame:
+        schema = self.read("events").schema
+        events = self.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(self.root)
+        return self.as_lines(events)
+
+    def judged(self, lines: DataFrame) -> DataFrame:
+        return rides.judge(rides.parse_events(lines, keep=("event_id",)), self.zones, F.lit(AS_OF).cast("timestamp"))
+
+    def accepted(self, lines: DataFrame) -> DataFrame:
+        return rides.enrich(self.judged(lines).filter(F.col(rides.REASON).isNull()).drop(rides.REASON), self.zones)
+
+    @cached_property
+    def rides(self) -> DataFrame:
+        """Accepted rides, each once."""
+        return rides.first_delivery(self.accepted(self.lines))
+
+    def ride_stream(self) -> DataFrame:
+        """Accepted rides as a new stream over the table that the intake stream fills."""
+        intake = rides.first_delivery(self.accepted(self.stream_lines))
+        path = scratch_path(self.spark, "rides")
+        sinks.append_table(intake, path, f"{path}-checkpoint").awaitTermination()
+        return self.spark.readStream.schema(intake.schema).parquet(path)
+
+    @cached_property
+    def ride_hours(self) -> DataFrame:
+        return self.rides.groupBy(
+            F.coalesce("pu_borough", F.lit("Unknown")).alias("borough"), "service_id",
+            F.date_trunc("hour", "pickup_datetime").alias("pickup_hour")).agg(F.count(F.lit(1)).alias("trip_count"))
+
     def raw_category(self, category: str) -> DataFrame:
         """Clean trips of one category under the column names its source files use."""
         names = {

@@ -261,7 +261,6 @@ select trip_id, (select name from (values {values_sql(fv.PAYMENT_NAMES)}) v(id,
 # ---- column functions ----
 
 _HOUR = "hour(pickup_datetime)"
-_P, _H = F.col("pickup_datetime"), F.hour("pickup_datetime")
 
 
 def _function(name: str, sql: str, **out):
