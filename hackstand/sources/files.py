@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -134,8 +135,34 @@ def inventory_pivot(counts: DataFrame) -> DataFrame:
 
 def scan_mart(spark: SparkSession, path: str, years=None, months=None, integers=()) -> DataFrame:
     """A partitioned mart; year and month prune folders, drifted number types are cast back."""
-    df = spark.read.option("basePath", path).option("mergeSchema", True).parquet(path)
+    try:
+        df = spark.read.option("basePath", path).option("mergeSchema", True).parquet(path)
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE" not in str(error):
+            raise
+        df = _scan_folders(spark, path, integers)
     for key, wanted in (("year", years), ("month", months)):
         if wanted is not None and key in df.columns:
             df = df.filter(F.col(key).isin(*wanted))
     return df.withColumns({c: F.col(c).cast("long") for c in integers if c in df.columns})
+
+
+def _scan_folders(spark: SparkSession, path: str, integers) -> DataFrame:
+    """Union of the partition folders when a column's number type differs between them.
+
+    The loop runs over folder names (months), not over data.
+    """
+    folder = F.regexp_replace("path", r"/[^/]+$", "")
+    folders = [r[0] for r in listing(spark, path).select(folder.alias("f")).distinct().orderBy("f").collect()]
+    frames = [spark.read.option("basePath", path).parquet(f) for f in folders]
+    kinds: dict[str, set] = {}
+    for frame in frames:
+        for name, kind in frame.dtypes:
+            kinds.setdefault(name, set()).add(kind)
+    whole = {"tinyint", "smallint", "int", "bigint"}
+    mixed = {
+        name: "long" if name in integers or found <= whole else "double"
+        for name, found in kinds.items() if len(found) > 1 and found <= whole | {"float", "double"}
+    }
+    return union_drift([
+        f.withColumns({n: F.col(n).cast(kind) for n, kind in mixed.items() if n in f.columns}) for f in frames])
