@@ -77,7 +77,7 @@ class Tables:
     @cached_property
     def trips(self) -> DataFrame:
         """Raw trips of all services, with the position of each row in its file."""
-        lines = cleaning.with_position(self.read("lineitem"))
+        lines = cleaning.spread(cleaning.with_position(self.read("lineitem")))
         orders, supplier, customer = self.read("orders"), self.read("supplier"), self.read("customer")
         joined = (
             lines.join(orders, lines.l_orderkey == orders.o_orderkey)

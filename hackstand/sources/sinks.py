@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hackstand.operators.cleaning import FILE, REASON, ROW
 from hackstand.operators.columns import union_drift
-from hackstand.sources.files import exists, listing, partition_value
+from hackstand.sources.files import exists, listing, partition_value, scan_mart
 
 ROWS_PER_FILE = 2_000_000
 KEYS = ("service_id", "year", "month")
@@ -69,7 +69,7 @@ def export_table(spark: SparkSession, source: str, target: str, rows_per_file: i
 
     One file while the table is small, more beyond ``rows_per_file``. Returns the number of files.
     """
-    df = spark.read.option("mergeSchema", True).option("basePath", source).parquet(source)
+    df = scan_mart(spark, source)
     files = max(1, math.ceil(df.count() / rows_per_file))
     df.coalesce(files).write.mode("overwrite").option("compression", "snappy").parquet(target)
     return files
