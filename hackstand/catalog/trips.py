@@ -326,6 +326,15 @@ select h.borough, {time('h.pickup_hour')} as pickup_hour, 0e0 as is_holiday, cas
 from hourly h
 """))(lambda t: t.hourly.select("borough", "service_id", "pickup_hour", "trip_count", *[
     c.alias(n) for n, c in clock.calendar_flags(F.col("pickup_hour"), F.col("borough")).items()]))
+_function("is_weekend", "isodow(pickup_datetime) >= 6 as is_weekend", is_weekend=lambda: clock.is_weekend(_DOW_COL()))
+_function("cost_per_mile", f"{COST_SQL} as costo", costo=lambda: rules.cost_per_mile(F.col("fare_amount"), F.col("trip_distance")))
+_function("toll_ratio", f"{TOLL_SQL} as peaje", peaje=lambda: rules.toll_ratio(F.col("tolls_amount"), F.col("fare_amount")))
+_function("unix_timestamp", "cast(epoch(dropoff_datetime) as bigint) as segundos", segundos=lambda: F.unix_timestamp("dropoff_datetime"))
+_function("is_rush_hour", f"{_HOUR} in (7,8,9,16,17,18,19) as punta", punta=lambda: clock.is_rush_hour(_HOUR_COL()))
+query("is_airport_borough", compose("""
+select trip_id, coalesce(borough in ('EWR', 'Queens'), false) as aeropuerto from facts left join zones on pickup_location_id = location_id
+"""))(lambda t: zones.with_zone(t.facts.select("trip_id", "pickup_location_id"), t.zones, "pickup_location_id", "pu_").select(
+    "trip_id", F.coalesce(clock.is_airport_borough(F.col("pu_borough")), F.lit(False)).alias("aeropuerto")))
 query("fs_safe", compose("select trip_id, regexp_replace(service_id || '/' || cast(pickup_location_id as varchar) || ':?', '[<>:\"/\\\\|?*]', '_', 'g') as ruta from facts"))(
     lambda t: t.facts.select("trip_id", rules.fs_safe(F.concat(
         "service_id", F.lit("/"), F.col("pickup_location_id").cast("string"), F.lit(":?"))).alias("ruta")))

@@ -25,6 +25,7 @@ FEATURES = list(fv.FRAUD_FEATURES)
 NODE_SCHEMA = ("ratecode_id int, tree int, node int, feature int, threshold double, left int, right int, "
                "path double, sampled int")
 EULER = 0.5772156649015329
+MAX_MODELS = 100
 
 
 def mean_path(n) -> np.ndarray:
@@ -95,7 +96,14 @@ def fit(imputed: DataFrame, settings: ForestSettings = DEFAULTS.forest) -> DataF
 
 
 def pack(nodes: DataFrame) -> dict[int, list[dict]]:
-    """Trees as arrays, by ratecode. Bounded: trees x (2 x rows per tree) nodes per ratecode."""
+    """Trees as arrays, by ratecode: at most trees x (2 x rows per tree) nodes per ratecode.
+
+    Ratecodes come from a code table; a column with too many of them is not one.
+    """
+    nodes = materialise(nodes, "forest")
+    models = nodes.select("ratecode_id").distinct().limit(MAX_MODELS + 1).count()
+    if models > MAX_MODELS:
+        raise ValueError(f"more than {MAX_MODELS} ratecodes: not a code column")
     frame = nodes.toPandas()
     forests: dict[int, list[dict]] = {}
     for (ratecode, _), tree in frame.groupby(["ratecode_id", "tree"]):
@@ -185,10 +193,11 @@ def train(features: DataFrame, settings: ForestSettings = DEFAULTS.forest) -> tu
 
 def ratio_scores(features: DataFrame) -> DataFrame:
     """A plain baseline: cost per mile against the ratecode's median, cut at its p95."""
-    usable = features.filter(F.col("ratecode_id").isNotNull() & F.col("costo_por_distancia").isNotNull())
+    usable = materialise(
+        features.filter(F.col("ratecode_id").isNotNull() & F.col("costo_por_distancia").isNotNull()), "usable")
     middle = exact_quantile(usable, ["ratecode_id"], "costo_por_distancia", 0.5, "_mid")
-    scored = usable.join(middle, "ratecode_id").withColumn(
-        "isolation", half_up(F.col("costo_por_distancia") / F.col("_mid"), 6))
+    scored = materialise(usable.join(middle, "ratecode_id").withColumn(
+        "isolation", half_up(F.col("costo_por_distancia") / F.col("_mid"), 6)), "ratio")
     cut = exact_quantile(scored, ["ratecode_id"], "isolation", 0.95, "cut").withColumn("offset", F.lit(0.0))
     return flag(scored, cut)
 

@@ -77,6 +77,8 @@ def event_trip_id() -> Column:
         F.when(rules.is_taxi(F.col("service_id")), taxi)
         .when(F.col("service_id") == "fhvhv", rules.trip_id(F.col("hvfhs_license_num"), F.col("request_datetime"), start, end))
         .when(F.col("service_id") == "fhv", rules.trip_id(F.col("dispatching_base_num"), start, end))
+        # other services have no key fields: their events must not share one id
+        .otherwise(rules.trip_id(F.col("service_id"), start, end, F.col("pu_location_id"), F.col("do_location_id")))
     )
 
 
