@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hackstand.llm.common import narrow
+from hackstand.llm.common import narrow, row_key
 
 #: Fixed seeds: which of nine words count. Six of nine, no two with the same gaps.
 MASKS = ("110110011", "101011011", "111001101")
@@ -32,11 +32,16 @@ def _words(text: str) -> Column:
     return F.split(F.trim(F.translate(text, UPPER, LOWER), F.lit(SPACES)), "[ \\t-\\r]+")
 
 
-def _windows(df: DataFrame, keep: list[str]) -> DataFrame:
-    """One row per mask and window: ``keep``, words, pos, seed."""
-    at = df.select(*keep, "words", F.posexplode("words").alias("pos", "_word")).where(F.col("pos") <= F.size("words") - REACH)
-    seeds = [F.xxhash64(F.lit(m), *[F.get("words", F.col("pos") + k) for k, c in enumerate(mask) if c == "1"]) for m, mask in enumerate(MASKS)]
-    return at.select(*keep, "words", "pos", F.explode(F.array(*seeds)).alias("seed"))
+def _seeds(df: DataFrame, keep: list[str]) -> DataFrame:
+    """One row per mask and window: ``keep``, pos, seed.
+
+    The seeds of a text are made inside an array of word hashes; exploding then copies one number, never the words.
+    """
+    hashed = df.where(F.size("words") >= REACH).select(*keep, F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
+    seeds = F.transform(F.sequence(F.lit(0), F.size("h") - REACH), lambda i: F.array(*[
+        F.xxhash64(F.lit(m), *[F.get("h", i + k) for k, c in enumerate(mask) if c == "1"]) for m, mask in enumerate(MASKS)]))
+    exploded = hashed.select(*keep, F.posexplode(F.flatten(seeds)).alias("n", "seed"))
+    return exploded.select(*keep, F.floor(F.col("n") / len(MASKS)).cast("int").alias("pos"), "seed")
 
 
 def seed_table(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -44,32 +49,38 @@ def seed_table(benchmark: DataFrame, item_col: str = "item_id", text_col: str =
     items = narrow(benchmark, item_col, text_col).select(F.col("doc_id").alias("item_id"), _words("text").alias("words"))
     length = F.least(F.size("words"), F.lit(WINDOW))
     begin = F.greatest(F.lit(0), F.least(F.col("pos") - F.lit((WINDOW - REACH) // 2), F.size("words") - length))
-    return _windows(items, ["item_id"]).select("seed", "item_id", (F.col("pos") - begin).alias("ahead"), F.slice("words", begin + 1, length).alias("window"))
-
-
-def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                 item_text_col: str = "text", share: int = SHARE, seeds_per_pass: int = SEEDS_PER_PASS) -> DataFrame:
-    """doc_id, item_id, matched (most equal words in a window), window_words, first_word (first hit's word number)."""
-    return _verified(narrow(df, id_col, text_col), ["doc_id"], benchmark, item_col, item_text_col, share, seeds_per_pass)
+    return _seeds(items, ["item_id", "words"]).select("seed", "item_id", (F.col("pos") - begin).alias("ahead"), F.slice("words", begin + 1, length).alias("window"))
 
 
-def _verified(docs: DataFrame, keep: list[str], benchmark, item_col, item_text_col, share, seeds_per_pass) -> DataFrame:
+def verified_hits(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+                  item_text_col: str = "text", share: int = SHARE, seeds_per_pass: int = SEEDS_PER_PASS) -> DataFrame:
+    """row, doc_id, item_id, pos, m (equal words), w (words of the window) of every hit that stands."""
+    docs = narrow(df, id_col, text_col).select(row_key().alias("row"), "doc_id", _words("text").alias("words"))
     seeds = seed_table(benchmark, item_col, item_text_col)
     passes = max(1, -(-seeds.count() // seeds_per_pass))
-    windows = _windows(docs.select(*keep, _words("text").alias("words")), keep)
+    windows = _seeds(docs, ["row"])
     hits = None
     for k in range(passes):  # each broadcast is bounded; a larger benchmark takes more passes, not more memory
         part = seeds.where(F.pmod("seed", F.lit(passes)) == k) if passes > 1 else seeds
         found = windows.join(F.broadcast(part), "seed")
         hits = found if hits is None else hits.unionByName(found)
-    same = F.transform(F.sequence(F.lit(0), F.size("window") - 1),
-                       lambda j: F.get("words", F.col("pos") - F.col("ahead") + j) == F.get("window", j))
-    return (
-        hits.select(*keep, "item_id", "pos", F.size(F.filter(same, lambda x: x)).alias("m"), F.size("window").alias("w"))
-        .where(F.col("m") * 100 >= F.col("w") * share)
-        .groupBy(*keep, "item_id")
-        .agg(F.max("m").cast("long").alias("matched"), F.max("w").cast("long").alias("window_words"), F.min("pos").cast("long").alias("first_word"))
-    )
+    # a row's hits are bounded by its own words and its windows' occurrences in the benchmark
+    hits = hits.groupBy("row").agg(F.collect_set(F.struct("pos", "item_id", "ahead", "window")).alias("hits"))
+
+    def equal_words(h):
+        same = F.transform(h["window"], lambda word, j: F.get("words", h["pos"] - h["ahead"] + j) == word)
+        return F.struct(h["item_id"].alias("item_id"), h["pos"].alias("pos"), F.size(F.filter(same, lambda x: x)).alias("m"), F.size(h["window"]).alias("w"))
+
+    checked = docs.join(hits, "row").select("row", "doc_id", F.transform("hits", equal_words).alias("hits"))
+    stands = F.filter("hits", lambda h: h["m"] * 100 >= h["w"] * share)
+    return checked.select("row", "doc_id", F.inline(stands))
+
+
+def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """doc_id, item_id, matched (most equal words in a window), window_words, first_word (first hit's word number)."""
+    hits = verified_hits(df, benchmark, id_col, text_col, **options)
+    return hits.groupBy("doc_id", "item_id").agg(
+        F.max("m").cast("long").alias("matched"), F.max("w").cast("long").alias("window_words"), F.min("pos").cast("long").alias("first_word"))
 
 
 def drop_contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -77,11 +88,8 @@ def drop_contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
 
     Rows are told apart by id and text, so a clean row that shares an id with a contaminated one stays.
     """
-    from hackstand.llm.common import row_key
-
     key = row_key(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`"))
-    keyed = narrow(df, id_col, text_col).select(row_key().alias("_hit"), "text")
-    bad = _verified(keyed, ["_hit"], benchmark, "item_id", "text", SHARE, SEEDS_PER_PASS).select("_hit").distinct()
+    bad = verified_hits(df, benchmark, id_col, text_col).select(F.col("row").alias("_hit")).distinct()
     return df.join(bad, key == F.col("_hit"), "left_anti")
 
 

@@ -31,14 +31,14 @@ def _split(df: DataFrame) -> DataFrame:
 
 def spans(df: DataFrame, span: int = SPAN, min_chars: int = MIN_CHARS) -> DataFrame:
     """row, place (document id and sentence number as one ordered number), i, h1, h2 of every run."""
-    run = F.concat_ws("\x01", *[F.trim(F.get("s", F.col("i") + k), F.lit(" \t\n\r")) for k in range(span)])
+    last = F.greatest(F.lit(0), F.size("s") - span)
+    # runs are built inside the array, so that exploding copies a run and not the whole text for every sentence
+    runs = F.transform(F.sequence(F.lit(0), last), lambda i: F.concat_ws("\x01", *[F.trim(F.get("s", i + k), F.lit(" \t\n\r")) for k in range(span)]))
     place = F.coalesce("doc_id", F.lit(LAST_ID)).cast("decimal(20,0)") * F.lit(2**31).cast("decimal(10,0)") + F.col("i")
     return (
-        df.select("doc_id", "row", "s", F.posexplode("s").alias("i", "_one"))
-        .where((F.col("i") <= F.size("s") - span) | (F.col("i") == 0))
-        .select("row", place.cast("decimal(38,0)").alias("place"), "i", run.alias("run"))
+        df.select("doc_id", "row", F.posexplode(runs).alias("i", "run"))
         .where(F.length("run") >= min_chars)
-        .select("row", "place", "i", F.xxhash64("run").alias("h1"), F.xxhash64(F.lit(17), "run").alias("h2"))
+        .select("row", place.cast("decimal(38,0)").alias("place"), "i", F.xxhash64("run").alias("h1"), F.xxhash64(F.lit(17), "run").alias("h2"))
     )
 
 
