@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from hackstand.session import materialise, scratch_path
 
 #: Bytes of text that one step inside a task holds with its temporary arrays.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
