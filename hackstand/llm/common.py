@@ -31,6 +31,14 @@ def row_key(doc_id: str | Column = "doc_id", text: str | Column = "text") -> Col
     return F.xxhash64(doc_id.isNull(), doc_id, text.isNull(), text)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write once to the shared folder and read back."""
     return materialise(df, label)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hackstand.llm.common import narrow, row_key
+from hackstand.llm.common import free_name, narrow, row_key
 
 #: Fixed seeds: which of nine words count. Six of nine, no two with the same gaps.
 MASKS = ("110110011", "101011011", "111001101")
@@ -89,8 +89,9 @@ def drop_contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     Rows are told apart by id and text, so a clean row that shares an id with a contaminated one stays.
     """
     key = row_key(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`"))
-    bad = verified_hits(df, benchmark, id_col, text_col).select(F.col("row").alias("_hit")).distinct()
-    return df.join(bad, key == F.col("_hit"), "left_anti")
+    hit = free_name(df, "hit")
+    bad = verified_hits(df, benchmark, id_col, text_col).select(F.col("row").alias(hit)).distinct()
+    return df.join(bad, key == F.col(hit), "left_anti")
 
 
 def sql(share: int = SHARE) -> str:

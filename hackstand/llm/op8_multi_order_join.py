@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hackstand.llm.common import narrow, row_key, store, text_slices
+from hackstand.llm.common import free_name, narrow, row_key, store, text_slices
 from hackstand.llm.components import components
 from hackstand.llm.words import Words, mix, ngrams
 
@@ -292,17 +292,18 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
     """``df`` with one row of each component: that of the smallest id, then of the smallest text hash; rows without words all stay."""
+    row, copies = free_name(df, "row"), free_name(df, "copies")
     found = store(Join(df, id_col, text_col, n, percent).documents(), "groups")
-    first = found.where("size > 0").groupBy("part").agg(F.min(F.coalesce("doc_id", F.lit(2**63 - 1))).alias("least"))
-    chosen = (found.where("size > 0").join(first, "part").where(F.coalesce("doc_id", F.lit(2**63 - 1)) == F.col("least"))
-              .groupBy("part").agg(F.min("row").alias("_row")).select("_row"))
-    copies = found.groupBy(F.col("row").alias("_row")).agg(F.count("*").alias("_copies"))
-    key = row_key(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`"))
-    kept = chosen.union(found.where("size = 0").select("row").distinct()).join(copies, "_row")
-    empty = F.length(F.trim(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), F.lit(" \t\n\x0b\f\r"))) == 0
-    rows = df.withColumn("_row", key).join(kept, "_row")
-    single = rows.where((F.col("_copies") == 1) | empty)
-    return single.unionByName(rows.where((F.col("_copies") > 1) & ~empty).dropDuplicates(["_row"])).select(*[F.col(f"`{c}`") for c in df.columns])
+    rank = F.coalesce("doc_id", F.lit(2**63 - 1))
+    first = found.where("size > 0").groupBy("part").agg(F.min(rank).alias("least"))
+    chosen = found.where("size > 0").join(first, "part").where(rank == F.col("least")).groupBy("part").agg(F.min("row").alias("row")).select("row")
+    counted = found.groupBy("row").agg(F.count("*").alias("copies"), F.max("size").alias("size"))
+    # rows without words count as single: all of them stay
+    kept = chosen.union(found.where("size = 0").select("row").distinct()).join(counted, "row").select(
+        F.col("row").alias(row), F.when(F.col("size") == 0, 1).otherwise(F.col("copies")).alias(copies))
+    rows = df.withColumn(row, row_key(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`"))).join(kept, row)
+    single, more = rows.where(F.col(copies) == 1), rows.where(F.col(copies) > 1).dropDuplicates([row])
+    return single.unionByName(more).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def sql(n: int = N, percent: int = PERCENT) -> str:

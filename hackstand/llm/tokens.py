@@ -53,7 +53,7 @@ class Encoder:
         joined = b"\n".join(segments)
         specials = [x for x in self.specials if x in joined]
         for s in segments:
-            if s[:1] != b" " or s.find(b" ", 1) >= 0 or any(x in s for x in specials):
+            if s[:1] != b" " or len(s) < 2 or not _SURE[s[1]] or s.find(b" ", 1) >= 0 or any(x in s for x in specials):
                 self.kept[s] = array("I", self.whole.encode(s.decode(), add_special_tokens=False).ids).tobytes()
             else:
                 plain.append(s)
