@@ -44,6 +44,15 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return materialise(df, label)
 
 
+#: Rows of a few numbers that may be broadcast (about 50 MB on a worker).
+BROADCAST_ROWS = 1_000_000
+
+
+def if_small(stored: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table of narrow rows, to be broadcast if it has few; a larger one is joined by shuffle."""
+    return F.broadcast(stored) if stored.limit(rows + 1).count() <= rows else stored
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
     return scratch_path(spark, label)
 

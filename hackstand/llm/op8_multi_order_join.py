@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hackstand.llm.common import free_name, narrow, row_key, store, text_slices
+from hackstand.llm.common import free_name, if_small, narrow, row_key, store, text_slices
 from hackstand.llm.components import components
 from hackstand.llm.words import Words, mix, ngrams
 
@@ -232,7 +232,7 @@ class Join:
         rare = made.where("kind = 0").groupBy("key").agg(F.collect_list("blob").alias("blobs")).select("blobs").mapInArrow(_shared_rare, "token long, sign long, size long, place long")
         hot = made.where("kind = 1").select(F.col("key").alias("token"), "sign", "size", "place").distinct()
         self.postings = store(rare.unionByName(hot), "shared")
-        self.classes = made.where("kind = 2").groupBy("sign").agg(F.first("size").alias("size"), F.first("blob").alias("blob"))
+        self.classes = made.where("kind = 2").select("sign", "size", "blob")
         hubbed = self._hub_pairs()
         first = store(self.verified(hubbed), "verified")
         apart = self._apart_pairs(components(first))
@@ -266,15 +266,21 @@ class Join:
         return pairs.distinct()
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        sides = {s: self.classes.select(F.col("sign").alias(s), F.col("size").alias(f"size_{s}"), F.col("blob").alias(f"blob_{s}")) for s in "ab"}
+        """The pairs that every order lets pass and whose whole sets are similar. Profiles and texts move for the pairs' classes only."""
+        pairs = store(pairs, "pairs")
+        classes = self.classes.join(self._members(pairs), "sign", "left_semi").groupBy("sign").agg(F.first("size").alias("size"), F.first("blob").alias("blob"))
+        classes = store(classes, "classes")
+        sides = {s: classes.select(F.col("sign").alias(s), F.col("size").alias(f"size_{s}"), F.col("blob").alias(f"blob_{s}")) for s in "ab"}
         met = store(pairs.join(sides["a"], "a").join(sides["b"], "b").mapInArrow(_orders_meet(self.percent), "a long, b long"), "candidates")
-        wanted = met.select(F.explode(F.array("a", "b")).alias("sign")).distinct()
-        rows = self.docs.join(wanted, "sign", "left_semi").groupBy("sign").agg(F.min("row").alias("row"))
-        texts = self.keyed.join(rows, "row").select("sign", "text")
+        rows = store(self.docs.join(self._members(met), "sign", "left_semi").groupBy("sign").agg(F.min("row").alias("row")), "rows")
+        texts = self.keyed.join(if_small(rows), "row").select("sign", "text")
         sets = store(texts.mapInArrow(_sets(self.n), "sign long, blob binary").dropDuplicates(["sign"]), "sets")
         side = {s: sets.select(F.col("sign").alias(s), F.col("blob").alias(f"blob_{s}")) for s in "ab"}
         return met.join(side["b"], "b").join(side["a"], "a").mapInArrow(_similar(self.percent), "a long, b long")
 
+    def _members(self, pairs: DataFrame) -> DataFrame:
+        return if_small(store(pairs.select(F.explode(F.array("a", "b")).alias("sign")).distinct(), "members"))
+
     def documents(self) -> DataFrame:
         labels = components(self.links())
         classes = self.docs.where("size > 0").groupBy("sign").agg(F.min("doc_id").alias("least"))
