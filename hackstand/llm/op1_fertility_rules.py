@@ -1,7 +1,7 @@
 """Quality rules from tokeniser fertility, with rejection bands per language or script.
 
-Per document, public vocabularies give: characters per token (byte-level vocabulary), the share of tokens that fall back to
-single bytes (vocabulary with byte fallback), and the entropy of its tokens. Documents with the same language (or, where none is
+Per document, public vocabularies give: characters per token (byte-level vocabulary), the share of bytes that fall back to
+single-byte tokens (vocabulary with byte fallback, asked once per character), and the entropy of its tokens. Documents with the same language (or, where none is
 given, the same main script) and about the same number of tokens form a cell; a cell's quartiles, over all documents, give the
 band of each measure: ``FENCE`` quartile distances beyond the quartiles. A document outside a band is rejected, as is one
 that fails the base rules.
@@ -25,7 +25,6 @@ from hackstand.llm.words import Words, ngrams
 
 FENCE = 3.0
 LEAST_WORDS, MOST_REPEATED = 50, 50
-KEPT_WORDS = 600_000
 #: Distance of a band from the quartiles where a cell's documents are all alike.
 SLACK = {"chars_per_token": 0.25, "fallback_share": 0.02, "token_entropy": 0.25}
 
@@ -63,34 +62,21 @@ def repeated_lines(text: bytes) -> int:
     return count
 
 
-def script(text: str) -> str:
-    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    points = points[(points > 0x7F) | ((points | 32) - 97 < 26)]
-    if not len(points):
-        return "none"
-    kinds = np.bincount(np.searchsorted(_SCRIPT_STARTS, points, "right") - 1, minlength=len(SCRIPTS))
-    return SCRIPTS[int(kinds.argmax())][1]
-
-
 class Fallback:
-    """Pieces and single-byte pieces of words under a vocabulary with byte fallback."""
+    """Bytes that a vocabulary with byte fallback spends on each character that it has no piece for; each character is asked once."""
 
     def __init__(self, path: str):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        size = self.model.get_piece_size()
-        self.single = np.array([self.model.is_byte(i) for i in range(size)])
-        self.kept: dict[bytes, tuple[int, int]] = {}
+        self.spent = np.full(0x110000, -1, np.int8)
+        self.scripts = (np.searchsorted(_SCRIPT_STARTS, np.arange(0x110000), "right") - 1).astype(np.int8)
+        self.scripts[[c for c in range(0x80) if not chr(c).isalpha()]] = -1
 
-    def counts(self, words: list[bytes]) -> np.ndarray:
-        new = [w for w in words if w not in self.kept]
-        if len(self.kept) > KEPT_WORDS:
-            self.kept, new = {}, words
-        if new:
-            for w, ids in zip(new, self.model.encode([w.decode("utf-8", "replace") for w in new], num_threads=1)):
-                self.kept[w] = (len(ids), int(self.single[ids].sum()) if ids else 0)
-        return np.array([self.kept[w] for w in words], np.int64).reshape(-1, 2)
+    def bytes_spent(self, points: np.ndarray) -> np.ndarray:
+        for c in np.unique(points[self.spent[points] < 0]):
+            self.spent[c] = sum(self.model.is_byte(i) for i in self.model.encode(chr(c)))
+        return self.spent[points]
 
 
 _FALLBACK: dict[str, Fallback] = {}
@@ -116,22 +102,23 @@ def _measure(byte_vocab: str, fallback_vocab: str):
                 texts = piece.column("text")
                 ids, bounds = encoder(byte_vocab).encode(texts)
                 words = Words(texts, lower=False)
-                h, coded = words.hashes(), words.array().dictionary_encode()
-                pieces = np.zeros((len(words) + 1, 2), np.int64)
-                if len(words):
-                    pieces[1:] = np.cumsum(fallback.counts(coded.dictionary.to_pylist())[coded.indices.to_numpy()], axis=0)
+                h = words.hashes()
+                raw = words.raw.tobytes()
+                points = np.frombuffer(raw.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+                spent = np.append(0, np.cumsum(fallback.bytes_spent(points), dtype=np.int64))
+                kinds = fallback.scripts[points]
                 letter = np.append(0, np.cumsum((words.letters & 0xC0) != 0x80))[words.starts]
                 char = np.append(0, np.cumsum((words.raw & 0xC0) != 0x80))[words.offsets]
                 symbol = np.append(0, np.cumsum(_SYMBOL[words.raw]))[words.offsets]
-                raw = words.raw.tobytes()
                 rows = []
                 for k, own in enumerate(words.texts()):
                     text = raw[words.offsets[k] : words.offsets[k + 1]]
                     mine = ids[bounds[k] : bounds[k + 1]]
                     n, chars = len(mine), int(char[k + 1] - char[k])
-                    total, single = pieces[own.stop] - pieces[own.start]
+                    own_kinds = kinds[char[k] : char[k + 1]]
+                    count = np.bincount(own_kinds[own_kinds >= 0], minlength=len(SCRIPTS))
                     rows.append((own.stop - own.start, int(letter[own.stop] - letter[own.start]), int(symbol[k + 1] - symbol[k]), repeated_lines(text), repeated_words(h[own]),
-                                 chars, n, chars / n if n else 0.0, single / total if total else 0.0, entropy(mine), script(text.decode("utf-8", "replace"))))
+                                 chars, n, chars / n if n else 0.0, int(spent[char[k + 1]] - spent[char[k]]) / max(1, len(text)), entropy(mine), SCRIPTS[int(count.argmax())][1] if count.any() else "none"))
                 columns = [pa.array(c) for c in zip(*rows)]
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("lang"), *[c.cast(pa.int64()) for c in columns[:7]], *[c.cast(pa.float64()) for c in columns[7:10]], columns[10]], names)
 

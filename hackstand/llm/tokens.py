@@ -46,9 +46,6 @@ class Encoder:
         self.tails: dict[str, list[int]] = {}
 
     def _learn(self, segments: list[bytes]) -> None:
-        if len(self.kept) > KEPT_SEGMENTS:
-            self.kept.clear()
-            self.tails.clear()
         plain = []
         joined = b"\n".join(segments)
         specials = [x for x in self.specials if x in joined]
@@ -89,7 +86,12 @@ class Encoder:
         coded = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(raw))]).dictionary_encode()
         segments = coded.dictionary.to_pylist()
         kept = self.kept
-        self._learn([s for s in segments if s not in kept])
+        new = [s for s in segments if s not in kept]
+        if len(kept) + len(new) > KEPT_SEGMENTS and len(new) < len(segments):
+            kept.clear()
+            self.tails.clear()
+            new = segments
+        self._learn(new)
         known = [kept[s] for s in segments]
         flat = np.frombuffer(b"".join(known), np.uint32)
         sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
