@@ -120,20 +120,20 @@ _summary("audit_summary_gold", "audit_gold", audit.summary_gold, {
     section_sql("mode_breakdown", ["mode"], {"count": "count(*)"}, "audit_g"),
 ])
 query("audit_run_flags", compose("select audit_id, source_file, n_corrida, es_ultima_corrida, total_corridas from exp_b"))(
-    lambda t: audit.export_bronze(t.audit_bronze).select("audit_id", "source_file", "n_corrida", "es_ultima_corrida", "total_corridas"))
-query("audit_export", compose(f"select * replace ({_INICIO}, {_FIN}) from exp_b"))(lambda t: audit.export_bronze(t.audit_bronze))
-query("audit_export_silver", compose(f"select * replace ({_INICIO}, {_FIN}) from exp_s"))(lambda t: audit.export_silver(t.audit_silver))
+    lambda t: audit.history("bronze", t.audit_bronze).select("audit_id", "source_file", "n_corrida", "es_ultima_corrida", "total_corridas"))
+query("audit_export", compose(f"select * replace ({_INICIO}, {_FIN}) from exp_b"))(lambda t: audit.history("bronze", t.audit_bronze))
+query("audit_export_silver", compose(f"select * replace ({_INICIO}, {_FIN}) from exp_s"))(lambda t: audit.history("silver", t.audit_silver))
 query("audit_export_gold", compose(f"""
 select gold_audit_id, silver_audit_id, mart_name, subdir, mode, rowcount_output, {_INICIO}, {_FIN}, {_DUR} as duracion_segundos,
   {_FLAGS.format(k='mart_name', t='gold_audit_id')}, filas_en_disco
 from (select *, {_ST} as inicio, {_EN} as fin from audit_g)
 left join (select 'mart_' || service_id as mart_name, count(*) as filas_en_disco from demand group by 1) using (mart_name)
-"""))(lambda t: audit.export_gold(t.audit_gold, t.demand.groupBy(F.concat(F.lit("mart_"), "service_id").alias("mart_name"))
+"""))(lambda t: audit.with_stored_rows(audit.history("gold", t.audit_gold), t.demand.groupBy(F.concat(F.lit("mart_"), "service_id").alias("mart_name"))
                                   .agg(F.count(F.lit(1)).alias("filas_en_disco"))))
 query("audit_export_ml", compose(f"""
 select ml_audit_id, pipeline, rowcount_output, {_INICIO}, {_FLAGS.format(k='pipeline', t='ml_audit_id')}
 from (select *, cast(started_at as timestamp) as inicio from audit_m)
-"""))(lambda t: audit.export_ml(t.audit_ml))
+"""))(lambda t: audit.history("ml", t.audit_ml))
 query("join_audit_lineage", compose(f"""
 select b.source_file, categoria, anio, mes, rowcount as filas_descargadas, bytecount, rowcount_bronze, rowcount_quality, rowcount_quarantined,
   {half('bytecount/1048576e0')} as mb_descargados, {_REJ} as pct_rechazo, rowcount_quality is null as falta_en_silver

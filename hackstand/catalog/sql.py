@@ -203,9 +203,9 @@ select service_id, fecha_viaje, pickup_hour, {block_sql('pickup_hour')} as bloqu
   espera_promedio_min, year, month
 from (
   select service_id, year, month, fecha_viaje, pickup_hour, pu_location_id, hvfhs_license_num, count(*) as viajes,
-    {half(xsum('wait'))} as espera_total_min, count(wait) as viajes_con_espera, {half(xavg('wait'))} as espera_promedio_min
+    {half('cast(sum(wait) as double)/60e0')} as espera_total_min, count(wait) as viajes_con_espera, {half(ratio('(cast(sum(wait) as double)/60e0)', 'count(wait)'))} as espera_promedio_min
   from (select *, cast(pickup_datetime as date) as fecha_viaje, hour(pickup_datetime) as pickup_hour,
-        pickup_location_id as pu_location_id, (epoch(on_scene_datetime) - epoch(request_datetime))/60e0 as wait from facts)
+        pickup_location_id as pu_location_id, cast(epoch(on_scene_datetime) - epoch(request_datetime) as bigint) as wait from facts)
   group by all
 ) left join zones on pu_location_id = location_id
 """)

@@ -57,17 +57,6 @@ def with_position(df: DataFrame) -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW))
 
 
-def spread(positioned: DataFrame) -> DataFrame:
-    """Use all cores when the files give fewer splits than there are cores.
-
-    A large source has many splits and is returned as it is: no shuffle is added.
-    """
-    cores = positioned.sparkSession.sparkContext.defaultParallelism
-    if positioned.rdd.getNumPartitions() >= cores:
-        return positioned
-    return positioned.repartition(cores, FILE, ROW)
-
-
 def incomplete_reason(required) -> Column | None:
     tests = [F.when(F.col(c).isNull(), F.lit(f"incomplete_{c}")) for c in required]
     return F.coalesce(*tests) if tests else None

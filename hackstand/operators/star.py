@@ -85,7 +85,7 @@ def dim_zone_gold(zones: DataFrame, names=fv.BOROUGH_ES) -> DataFrame:
     return zones.select("LocationID", "Borough", "Zone", spanish.alias("borough_name_es"))
 
 
-# Columns a fact copies from its source when they are there.
+# Columns a fact copies from its source when they are there.
 FACT_COPIES = {
     "yellow": (
         "passenger_count", "trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount",

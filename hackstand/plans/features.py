@@ -35,7 +35,7 @@ def fraud_features(facts: DataFrame, tariffs: DataFrame) -> DataFrame:
 
 def cluster_features(
     facts: DataFrame, zones: DataFrame, payments: DataFrame, ratecodes: DataFrame,
-    app_fraction: float = 0.05, seed: int = 42,
+    app_fraction: float = 1.0, seed: int = 42,
 ) -> DataFrame:
     """Categorical features per trip; app trips may be thinned to size the training input.
 

@@ -153,8 +153,8 @@ def forecast_one(pdf: pd.DataFrame, settings: ForecastSettings) -> pd.DataFrame:
 
 
 def forecast_segments(series: DataFrame, settings: ForecastSettings = DEFAULTS.forecast) -> DataFrame:
-    rows = series.filter("pickup_hour is not null and borough is not null").select(
-        "borough", "service_id", "pickup_hour", "trip_count")
+    rows = series.filter("pickup_hour is not null").select(
+        F.coalesce("borough", F.lit("Unknown")).alias("borough"), "service_id", "pickup_hour", "trip_count")
     return rows.groupBy("borough", "service_id").applyInPandas(lambda pdf: forecast_one(pdf, settings), SCHEMA)
 
 

@@ -135,7 +135,7 @@ def isolation(points: np.ndarray, trees: list[dict]) -> np.ndarray:
 
 
 def raw_scores(imputed: DataFrame, forests: dict[int, list[dict]]) -> DataFrame:
-    """Isolation value per trip; ratecodes without a forest are left out.
+    """Isolation value per trip; NULL for a ratecode without a forest.
 
     Works on a batch and on a stream: scoring is row by row.
     """
@@ -152,7 +152,7 @@ def raw_scores(imputed: DataFrame, forests: dict[int, list[dict]]) -> DataFrame:
                     value[rows] = isolation(pdf[FEATURES].iloc[rows].to_numpy(dtype=float), trees)
             yield pdf.assign(isolation=np.round(value, 9))
 
-    return imputed.mapInPandas(score, schema).filter(~F.isnan("isolation"))
+    return imputed.mapInPandas(score, schema).withColumn("isolation", F.nanvl("isolation", F.lit(None).cast("double")))
 
 
 def thresholds(scored: DataFrame, settings: ForestSettings = DEFAULTS.forest) -> DataFrame:

@@ -35,25 +35,24 @@ def _taxi_else_app(facts: DataFrame, taxi: str, app: str) -> Column:
 
 def demand_volume(facts: DataFrame, zones: DataFrame) -> DataFrame:
     """Trips and waits per date, hour, pickup zone and licence."""
-    wait = clock.minutes_between(
-        col_or_null(facts, "request_datetime", "timestamp"), col_or_null(facts, "on_scene_datetime", "timestamp")
-    )
+    seconds = [F.unix_timestamp(col_or_null(facts, c, "timestamp")) for c in ("on_scene_datetime", "request_datetime")]
     trips = facts.select(
         *FILE_KEYS,
         F.to_date("pickup_datetime").alias("fecha_viaje"),
         F.hour("pickup_datetime").alias("pickup_hour"),
         F.col(PU).alias("pu_location_id"),
         col_or_null(facts, "hvfhs_license_num", "string").alias("hvfhs_license_num"),
-        wait.alias("_wait"),
+        (seconds[0] - seconds[1]).alias("_wait"),
     )
     grain = [*FILE_KEYS, "fecha_viaje", "pickup_hour", "pu_location_id", "hvfhs_license_num"]
+    minutes = F.sum("_wait").cast("double") / F.lit(60.0)  # whole seconds add up exactly; rounding follows once
     volume = trips.groupBy(*grain).agg(
         F.count(F.lit(1)).alias("viajes"),
-        half_up(exact_sum(F.col("_wait")), 2).alias("espera_total_min"),
+        half_up(minutes, 2).alias("espera_total_min"),
         F.count("_wait").alias("viajes_con_espera"),
-        half_up(exact_avg(F.col("_wait")), 2).alias("espera_promedio_min"),
+        half_up(guarded_ratio(minutes, F.count("_wait")), 2).alias("espera_promedio_min"),
     )
-    # block and weekday follow from the grain, and zones join thousands of rows, not trips
+    # each group has one hour, date and zone, so their names are looked up once per group
     weekday = clock.iso_weekday(F.col("fecha_viaje"))
     return with_zone(volume, zones, "pu_location_id", "pu_").select(
         "service_id", "fecha_viaje", "pickup_hour",
@@ -263,7 +262,7 @@ def tipping_behavior(
 ) -> DataFrame:
     """Tips per date, boroughs, payment and generosity class.
 
-    Boroughs join before the aggregation: borough pairs are far fewer than zone pairs.
+    Rows are keyed by names, so names come first; a few dozen pairs of names keep the groups small.
     """
     facts = _priced(facts)
     payment = col_or_null(facts, "payment_type_id", "int")

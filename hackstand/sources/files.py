@@ -50,25 +50,31 @@ def committed(spark: SparkSession, path: str) -> bool:
 
 
 def read_month(spark: SparkSession, root: str, category: str, year: int, month: int) -> DataFrame | None:
-    """One category-month with its file month and row positions; None if absent or unreadable."""
+    """One category-month with its file month and row positions; None if absent. Unreadable files raise."""
     path = month_path(root, category, year, month)
     if not exists(spark, path):
         return None
-    try:
-        frame = spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    frame = spark.read.parquet(path)
     return frame.select(
         "*", F.lit(year).alias("file_year"), F.lit(month).alias("file_month"),
         F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW),
     )
 
 
-def read_months(spark: SparkSession, root: str, targets) -> dict[str, DataFrame]:
-    """All months of each category as one frame; columns that came later are NULL before."""
+def read_months(spark: SparkSession, root: str, targets, unreadable: list | None = None) -> dict[str, DataFrame]:
+    """All months of each category as one frame; columns that came later are NULL before.
+
+    An unreadable month raises, unless ``unreadable`` is given: then it is added there for the caller to handle.
+    """
     found: dict[str, list[DataFrame]] = {}
     for category, year, month in targets:
-        frame = read_month(spark, root, category, year, month)
+        try:
+            frame = read_month(spark, root, category, year, month)
+        except AnalysisException as error:
+            if unreadable is None:
+                raise
+            unreadable.append((category, year, month, str(error)))
+            continue
         if frame is not None:
             found.setdefault(category, []).append(frame)
     return {c: union_drift(frames) for c, frames in found.items()}

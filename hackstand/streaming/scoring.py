@@ -32,14 +32,17 @@ def fraud_inputs(rides: DataFrame, flat_fares=fv.FLAT_FARES) -> DataFrame:
 
 
 def score_fraud(rides: DataFrame, model: forest.Model, settings: Settings = DEFAULTS) -> DataFrame:
-    """Anomaly score of each ride with the stored medians; flagged above the live threshold."""
+    """Anomaly score of each ride with the stored medians; flagged above the live threshold.
+
+    A ride whose ratecode has no model stays, with a NULL score, not flagged, and its own candidate mark.
+    """
     inputs = fraud_inputs(rides).select(
         "trip_id", "service_id", "ratecode_id", "pickup_datetime", "is_anomaly_candidate", *forest.FEATURES)
     scored = forest.raw_scores(impute_median(inputs, ["ratecode_id"], forest.FEATURES, model.medians), model.forests)
     score = F.col("isolation") - F.col("offset")
-    return scored.join(model.cuts.select("ratecode_id", "offset"), "ratecode_id").select(
+    return scored.join(model.cuts.select("ratecode_id", "offset"), "ratecode_id", "left").select(
         "trip_id", "service_id", "ratecode_id", score.alias("anomaly_score"),
-        (score > settings.speed.fraud_threshold).alias("is_fraud"), "is_anomaly_candidate",
+        F.coalesce(score > settings.speed.fraud_threshold, F.lit(False)).alias("is_fraud"), "is_anomaly_candidate",
         F.col("pickup_datetime").alias("timestamp"))
 
 

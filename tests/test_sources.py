@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from hackstand.plans import audit
@@ -17,7 +18,11 @@ def test_months_drift_missing_and_unreadable(spark, tmp_path):
     spark.sql("select 1 as a").write.parquet(files.month_path(root, "green", 2024, 1))
     spark.sql("select 2 as a, 0.5D as cbd_congestion_fee").write.parquet(files.month_path(root, "green", 2025, 1))
     (tmp_path / "green" / "2025-02.parquet").mkdir()
-    found = files.read_months(spark, root, files.expand_targets([2024, 2025], ["green"]))
+    targets, unreadable = files.expand_targets([2024, 2025], ["green"]), []
+    found = files.read_months(spark, root, targets, unreadable)
+    assert [m[:3] for m in unreadable] == [("green", 2025, 2)]
+    with pytest.raises(AnalysisException):
+        files.read_months(spark, root, targets)
     rows = found["green"].orderBy("a").collect()
     assert [(r.a, r.cbd_congestion_fee, r.file_year, r.file_month) for r in rows] == [(1, None, 2024, 1), (2, 0.5, 2025, 1)]
     paths = [files.month_path(root, "green", y, 1) for y in (2024, 2025)]
