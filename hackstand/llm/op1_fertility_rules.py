@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hackstand.llm.common import store, text_slices
+from hackstand.llm.common import if_small, store, text_slices
 from hackstand.llm.tokens import encoder, vocabulary
 from hackstand.llm.words import Words, ngrams
 
@@ -140,7 +140,7 @@ def judge(measured: DataFrame, fence: float = FENCE) -> DataFrame:
     quartiles = [F.percentile_approx(m, [0.25, 0.75], 2000).alias(f"q_{m}") for m in SLACK]
     # a row per language and power of two of the length: the sketches combine before the shuffle
     bands = rows.where("n_tokens > 0").groupBy("cell").agg(*quartiles)
-    joined = rows.join(bands, "cell", "left")
+    joined = rows.join(if_small(store(bands, "bands")), "cell", "left")
     reasons = [F.when((F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED), "base")]
     for m, slack in SLACK.items():
         low, high = F.col(f"q_{m}")[0], F.col(f"q_{m}")[1]
