@@ -5,40 +5,63 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Groups up to this many rows are ranked directly; the sketch brackets the rest.
-DIRECT_ROWS = 20_000
+from hackstand.session import materialise
+
+# Half width of the first bracket, in steps of the sketch's accuracy; each further round widens it.
+FIRST_STEPS = 4
+WIDEN = 16
 
 
 def exact_quantile(df: DataFrame, keys, value: str, p: float, alias: str, accuracy: int = 10_000) -> DataFrame:
     """Interpolated quantile ``p`` of ``value`` per key, equal to sorting each group.
 
-    A mergeable sketch brackets the quantile within a few ranks in ten thousand. A second
-    pass counts what lies below the bracket and the distinct values inside it; only those
-    few are ordered. Both passes combine on the map side.
+    A mergeable sketch brackets the quantile. A second pass counts what lies below and above the bracket, keeps the nearest
+    value on either side, and orders the distinct values inside. Both passes combine on the map side. A group whose wanted
+    ranks do not lie within these counts is bracketed again, wider, up to its whole range, so the sketch decides the cost of
+    the result and never its value.
     """
-    pad = 4.0 / accuracy
     x = df.select(*keys, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+    rest, pad, found = x, FIRST_STEPS / accuracy, None
+    while True:
+        ends = materialise(_bracketed(rest, keys, p, pad, accuracy), "quantile")
+        held = ends.filter("_held")
+        found = held if found is None else found.unionByName(held)
+        missed = ends.filter("not _held").select(*[F.col(k).alias(f"_q_{k}") for k in keys])
+        if missed.isEmpty():
+            break
+        rest = x.join(missed, [F.col(k).eqNullSafe(F.col(f"_q_{k}")) for k in keys], "left_semi")
+        pad = max(pad, 1 / accuracy) * WIDEN
+    return found.select(*keys, (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * F.col("_w")).alias(alias))
+
+
+def _bracketed(x: DataFrame, keys, p: float, pad: float, accuracy: int) -> DataFrame:
+    """Per key the values at both ranks around the quantile, the weight between them, and whether the bracket held both."""
     sketch = F.percentile_approx("_x", [max(p - pad, 0.0), min(p + pad, 1.0)], accuracy)
     bracket = x.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), sketch.alias("_b"), F.min("_x").alias("_min"), F.max("_x").alias("_max")
     ).select(
         *[F.col(k).alias(f"_q_{k}") for k in keys], "_n",
-        F.when((F.col("_n") <= DIRECT_ROWS) | F.lit(p - pad <= 0), F.col("_min")).otherwise(F.col("_b")[0]).alias("_lo"),
-        F.when((F.col("_n") <= DIRECT_ROWS) | F.lit(p + pad >= 1), F.col("_max")).otherwise(F.col("_b")[1]).alias("_hi"),
+        F.when(F.lit(p - pad <= 0), F.col("_min")).otherwise(F.col("_b")[0]).alias("_lo"),
+        F.when(F.lit(p + pad >= 1), F.col("_max")).otherwise(F.col("_b")[1]).alias("_hi"),
     )
     same = [F.col(k).eqNullSafe(F.col(f"_q_{k}")) for k in keys]
-    near = x.join(bracket, same).filter(F.col("_x") <= F.col("_hi"))
-    counts = near.groupBy(*keys, "_n", F.when(F.col("_x") >= F.col("_lo"), F.col("_x")).alias("_v")).agg(
-        F.count(F.lit(1)).alias("_c"))
-    upto = Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    pos = F.lit(p) * (F.col("_n") - 1)
-    ranked = counts.withColumn("_upto", F.sum("_c").over(upto)).withColumn("_pos", pos)
+    side = F.when(F.col("_x") < F.col("_lo"), -1).when(F.col("_x") > F.col("_hi"), 1).otherwise(0)
+    counts = x.join(bracket, same).withColumn("_side", side).groupBy(
+        *keys, "_n", "_side", F.when(F.col("_side") == 0, F.col("_x")).alias("_v")
+    ).agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_first"), F.max("_x").alias("_last"))
+    upto = Window.partitionBy(*keys).orderBy("_side", "_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.withColumn("_upto", F.sum("_c").over(upto)).withColumn("_pos", F.lit(p) * (F.col("_n") - 1))
+    start = F.col("_upto") - F.col("_c")
+
+    def at(rank):
+        # of the values below only the last rank is known, of those above only the first
+        inner = (F.col("_side") == 0) & (start <= rank) & (rank < F.col("_upto"))
+        below = (F.col("_side") == -1) & (rank == F.col("_upto") - 1)
+        return F.max(F.when(below, F.col("_last")).when(inner | ((F.col("_side") == 1) & (rank == start)), F.col("_first")))
+
     ends = ranked.groupBy(*keys).agg(
-        F.min(F.when(F.col("_upto") > F.floor("_pos"), F.col("_v"))).alias("_v0"),
-        F.min(F.when(F.col("_upto") > F.ceil("_pos"), F.col("_v"))).alias("_v1"),
-        F.max(F.col("_pos") - F.floor("_pos")).alias("_w"),
-    )
-    return ends.select(*keys, (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * F.col("_w")).alias(alias))
+        at(F.floor("_pos")).alias("_v0"), at(F.ceil("_pos")).alias("_v1"), F.max(F.col("_pos") - F.floor("_pos")).alias("_w"))
+    return ends.withColumn("_held", F.col("_v0").isNotNull() & F.col("_v1").isNotNull())
 
 
 def impute_median(df: DataFrame, keys, columns, medians: DataFrame | None = None) -> DataFrame:

@@ -7,9 +7,7 @@ from hackstand.operators import quantiles, ranking, selection
 
 
 @pytest.mark.parametrize("p", [0.0, 0.05, 0.5, 0.95, 1.0])
-@pytest.mark.parametrize("direct", [20_000, 10])
-def test_exact_quantile_matches_sorting(spark, monkeypatch, p, direct):
-    monkeypatch.setattr(quantiles, "DIRECT_ROWS", direct)
+def test_exact_quantile_matches_sorting(spark, p):
     rng = np.random.default_rng(7)
     groups = {1: rng.lognormal(size=25_000), 2: np.where(rng.random(9000) < 0.4, 3.0, rng.normal(size=9000))}
     rows = [(k, float(v)) for k, vs in groups.items() for v in vs] + [(1, None)]
@@ -19,6 +17,31 @@ def test_exact_quantile_matches_sorting(spark, monkeypatch, p, direct):
         assert got[k] == pytest.approx(float(np.quantile(vs, p)), rel=1e-12)
 
 
+def test_missed_bracket_is_widened(spark, monkeypatch):
+    rounds = []
+
+    def forced(x, keys, p, pad, accuracy):
+        rounds.append(pad)
+        off = p / 4 if len(rounds) == 1 else p
+        tried = bracketed(x, keys, off, pad, accuracy)
+        return tried if len(rounds) > 1 else tried.withColumn("_held", F.col("k") == 2)
+
+    bracketed = quantiles._bracketed
+    monkeypatch.setattr(quantiles, "_bracketed", forced)
+    rows = [(1, float(v)) for v in range(3000)] + [(2, 5.0)]
+    df = spark.createDataFrame(rows, "k int, v double")
+    assert {r.k: r.q for r in quantiles.exact_quantile(df, ["k"], "v", 0.5, "q").collect()} == {1: 1499.5, 2: 5.0}
+    assert len(rounds) == 2
+
+
+def test_bracket_off_target_is_seen(spark):
+    x = spark.createDataFrame([(1, float(v)) for v in range(50_000)], "k int, _x double")
+    for accuracy in (20, 10_000):
+        found = quantiles._bracketed(x, ["k"], 0.5, 0.0, accuracy).first()
+        assert not found._held or (found._v0, found._v1) == (24_999.0, 25_000.0)
+    assert not quantiles._bracketed(x, ["k"], 0.5, 0.0, 20).first()._held
+
+
 def test_small_groups_and_imputation(spark):
     df = spark.createDataFrame([(1, 1.0), (1, None), (1, 4.0), (2, None)], "k int, v double")
     assert sorted(r.v for r in quantiles.impute_median(df, ["k"], ["v"]).collect()) == [0.0, 1.0, 2.5, 4.0]
