@@ -83,7 +83,7 @@ select * {_DAY}, {half(ratio('propina_base_sum', 'tarifa_base_sum') + '*100e0')}
 def _increments(t):
     path = scratch_path(t.spark, "increments")
     sinks.upsert_table(live.demand(t.ride_stream()), path, f"{path}-checkpoint").awaitTermination()
-    return sinks.increments(t.spark, path, -1, {"service_id": "green"}).drop(sinks.BATCH)
+    return sinks.increments(t.spark, path, live.KEYS["demand"], -1, {"service_id": "green"}).drop(sinks.BATCH)
 
 
 # ---- batch and live together: the batch layer knows the rides before the 20th ----

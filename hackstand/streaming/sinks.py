@@ -41,10 +41,11 @@ def latest(spark: SparkSession, path: str, keys, schema=None) -> DataFrame:
     return top_n_per_group(rows, keys, [F.col(BATCH).desc()], 1).drop("_rank", BATCH)
 
 
-def increments(spark: SparkSession, path: str, after_batch: int, filters=None) -> DataFrame:
-    """Rows changed after a snapshot was taken."""
+def increments(spark: SparkSession, path: str, keys, after_batch: int, filters=None) -> DataFrame:
+    """Groups changed after a snapshot was taken, each once, as its newest batch left it."""
     rows = spark.read.parquet(path).filter(F.col(BATCH) > after_batch)
-    return filter_dynamic(rows, filters or {})
+    newest = top_n_per_group(rows, keys, [F.col(BATCH).desc()], 1).drop("_rank")
+    return filter_dynamic(newest, filters or {})
 
 
 def run_append(rows: DataFrame, label: str) -> DataFrame:

@@ -78,3 +78,10 @@ def test_batch_wins_and_keys_compare_by_type_and_null(spark):
     lively = spark.createDataFrame(rows, "service_id string, fecha_viaje string, pickup_hour int, pu_location_id int, viajes long")
     merged = live.merge(batch, lively, live.KEYS["demand"]).orderBy("pickup_hour").collect()
     assert [(r.viajes, r.origen) for r in merged] == [(10, "batch"), (4, "realtime")]
+
+
+def test_increments_give_each_key_once(spark, tmp_path):
+    for batch, rows in enumerate([[("a", 1), ("b", 1)], [("a", 2)], [("a", 3), ("c", 1)]]):
+        spark.createDataFrame(rows, "k string, n int").write.parquet(f"{tmp_path}/live/{sinks.BATCH}={batch}")
+    got = sinks.increments(spark, f"{tmp_path}/live", ["k"], 0)
+    assert sorted((r.k, r.n) for r in got.collect()) == [("a", 3), ("c", 1)]
