@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 from hackstand.operators.cleaning import FILE, REASON, ROW
 from hackstand.operators.columns import union_drift
+from hackstand.session import materialise
 from hackstand.sources.files import exists, listing, partition_value, scan_mart
 
 ROWS_PER_FILE = 2_000_000
 KEYS = ("service_id", "year", "month")
+#: Folder of the commit records; readers of the table skip names that begin with an underscore.
+COMMITS = "_commits"
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def target_files(rows: int, rows_per_file: int = ROWS_PER_FILE, most: int = 32) -> int:
@@ -24,27 +28,42 @@ def _sized(df: DataFrame, keys) -> DataFrame:
     return df.hint("rebalance", *keys) if keys else df.hint("rebalance")
 
 
-def write_partitioned(df: DataFrame, path: str, keys=KEYS, mode: str = "overwrite") -> None:
-    """Replace only the partitions that ``df`` holds."""
-    writer = _sized(df, keys).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+def write_partitioned(df: DataFrame, path: str, keys=KEYS) -> None:
+    """Replace only the partitions that ``df`` holds, then record them as committed.
+
+    The record is written last. A job that dies before it leaves partitions without a record, which count as absent. A
+    partition replaced again keeps its record, so a replacement that died has to be run again by its caller.
+    """
+    spark = df.sparkSession
+    # unlike the listing itself, a written copy outlives the files that are replaced
+    before = materialise(listing(spark, path).select("path"), "listing") if exists(spark, path) else None
+    writer = _sized(df, keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(*keys).parquet(path)
+    added = listing(spark, path)
+    if before is not None:
+        added = added.join(before, "path", "left_anti")
+    _partitions(added, keys).write.mode("append").parquet(f"{path}/{COMMITS}")
+
+
+def _partitions(paths: DataFrame, keys) -> DataFrame:
+    return paths.select(*[F.nullif(partition_value(F.col("path"), k), F.lit(NULL_FOLDER)).alias(k) for k in keys]).distinct()
 
 
-def stored_partitions(spark: SparkSession, path: str, keys=KEYS) -> DataFrame:
-    """Partitions on disk, from folder names."""
-    return listing(spark, path).select(*[partition_value(F.col("path"), k).alias(k) for k in keys]).distinct()
+def committed_partitions(spark: SparkSession, path: str, keys=KEYS) -> DataFrame:
+    """Partitions whose write has finished, as strings."""
+    if not exists(spark, f"{path}/{COMMITS}"):
+        return spark.createDataFrame([], ", ".join(f"`{k}` string" for k in keys))
+    return spark.read.schema(", ".join(f"`{k}` string" for k in keys)).parquet(f"{path}/{COMMITS}").distinct()
 
 
 def write_incremental(df: DataFrame, path: str, keys=KEYS) -> None:
-    """Append the partitions that are not on disk yet; the others are left as they are.
+    """Write the partitions that are not committed yet; the others are left as they are.
 
-    The list of partitions is read before the write starts and is small: names of folders.
+    A partition that an interrupted job wrote in part has no record and is replaced as a whole.
     """
-    if exists(df.sparkSession, path):
-        done = stored_partitions(df.sparkSession, path, keys)
-        same = [F.col(k).cast("string").eqNullSafe(F.col(f"_d_{k}")) for k in keys]
-        df = df.join(done.select(*[F.col(k).alias(f"_d_{k}") for k in keys]), same, "left_anti")
-    write_partitioned(df, path, keys, "append")
+    done = committed_partitions(df.sparkSession, path, keys)
+    same = [F.col(k).cast("string").eqNullSafe(F.col(f"_d_{k}")) for k in keys]
+    write_partitioned(df.join(done.select(*[F.col(k).alias(f"_d_{k}") for k in keys]), same, "left_anti"), path, keys)
 
 
 def write_stage_reject(tagged: DataFrame, path: str, scope) -> None:
