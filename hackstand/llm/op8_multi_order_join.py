@@ -58,6 +58,11 @@ def prefix_size(size: int, percent: int) -> int:
     return size + (percent * size) // -100 + 1
 
 
+def overlap(size_a: int, size_b: int, percent: int) -> int:
+    """The least number of common tokens of two similar sets."""
+    return -(-percent * (size_a + size_b) // (100 + percent))
+
+
 def _int64(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64, copy=False))
 
@@ -174,7 +179,11 @@ def _shared_rare(batches):
 
 
 def _orders_meet(percent: int):
-    """Keeps the pairs whose prefixes meet under every further order."""
+    """Keeps the pairs whose prefixes share enough tokens under every further order.
+
+    The prefix that ends first in an order holds all common tokens up to its end, and these are in both prefixes; any other
+    common token is among the ``size - prefix`` tokens after it.
+    """
 
     def run(batches):
         for batch in batches:
@@ -182,7 +191,8 @@ def _orders_meet(percent: int):
             for a, b, n, m in zip(batch.column("blob_a"), batch.column("blob_b"), batch.column("size_a").to_pylist(), batch.column("size_b").to_pylist()):
                 x, y = np.frombuffer(a.as_buffer(), np.uint32), np.frombuffer(b.as_buffer(), np.uint32)
                 p, q = prefix_size(n, percent), prefix_size(m, percent)
-                keep.append(all(np.isin(x[k * p : (k + 1) * p], y[k * q : (k + 1) * q]).any() for k in range(ORDERS - 1)))
+                least = max(1, overlap(n, m, percent) - max(n - p, m - q))
+                keep.append(all(np.isin(x[k * p : (k + 1) * p], y[k * q : (k + 1) * q]).sum() >= least for k in range(ORDERS - 1)))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -262,8 +272,13 @@ class Join:
         bound = F.least("place_a", "place_b") + 1 + F.least(F.col("size_a") - F.col("place_a") - 1, F.col("size_b") - F.col("place_b") - 1)
         need = F.ceil((F.col("size_a") + F.col("size_b")) * self.percent / (100 + self.percent) - F.lit(1e-9))
         near = (F.col("size_a") <= F.col("size_b")) & (F.col("size_a") * 100 >= F.col("size_b") * self.percent) & (F.col("part_a") != F.col("part_b")) & (bound >= need)
-        pairs = left.join(right, ["token", "level"]).where(near).select(F.least("sign_a", "sign_b").alias("a"), F.greatest("sign_a", "sign_b").alias("b"))
-        return pairs.distinct()
+        # each pair once by token: of sets of one size, that with the smaller signature is on the left
+        once = (F.col("size_a") < F.col("size_b")) | (F.col("sign_a") < F.col("sign_b"))
+        met = left.join(right, ["token", "level"]).where(near & once).groupBy("sign_a", "sign_b", "size_a", "size_b").agg(
+            F.count("*").alias("common"), F.max("place_a").alias("place_a"), F.max("place_b").alias("place_b"))
+        # the tokens that both prefixes hold, and at most all that follow the last of these
+        rest = F.least(F.col("size_a") - F.col("place_a") - 1, F.col("size_b") - F.col("place_b") - 1)
+        return met.where(F.col("common") + rest >= need).select(F.least("sign_a", "sign_b").alias("a"), F.greatest("sign_a", "sign_b").alias("b"))
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs that every order lets pass and whose whole sets are similar. Profiles and texts move for the pairs' classes only."""
