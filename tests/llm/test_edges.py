@@ -1,5 +1,7 @@
 """Nulls, empty and very long texts, ties and repeated rows, empty tables and clashing column names, for every operator."""
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -188,3 +190,19 @@ def test_op3_learns_repetition_and_is_deterministic():
     got = net.score(pa.array(good + bad))
     assert ((got >= 0.5) == y).mean() > 0.95
     assert np.allclose(net.score(pa.array(good[:3])), got[:3], atol=1e-5)
+
+
+def test_op6_holds_every_pair(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    held = [k for k in range(400) if zlib.crc32(str(k).encode()) % 10 == 0][:2]
+    train = [k for k in range(400) if zlib.crc32(str(k).encode()) % 10][:40]
+    words = [f"w{x}" for x in range(60)]
+    texts = {k: " ".join(rng.permutation(words)) for k in train}
+    once = [f"u{x}" for x in range(60)]
+    texts[train[0]] = " ".join(once)  # each pair stands once in training
+    texts[held[0]], texts[held[1]] = texts[train[0]], " ".join([once[0], *rng.permutation(once[1:-1]), once[-1]])
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    whole = {r["doc_id"]: r["score"] for r in op6.score_texts(df).collect()}
+    assert whole[held[0]] > whole[held[1]] + 1e-4
+    monkeypatch.setattr(op6, "FILTER_BYTES", 64, raising=False)
+    assert {r["doc_id"]: r["score"] for r in op6.score_texts(df).collect()} == whole
