@@ -3,8 +3,9 @@
 Per document, public vocabularies give: characters per token (byte-level vocabulary), the share of bytes that fall back to
 single-byte tokens (vocabulary with byte fallback, asked once per character), and the entropy of its tokens. Documents with the same language (or, where none is
 given, the same main script) and about the same number of tokens form a cell; a cell's quartiles, over all documents, give the
-band of each measure: ``FENCE`` quartile distances beyond the quartiles. A document outside a band is rejected, as is one
-that fails the base rules.
+band of each measure: ``FENCE`` quartile distances beyond the quartiles, and ``SLACK`` at least. A cell of fewer than
+``LEAST_CELL`` documents takes the quartiles of its language or script. A document outside a band is rejected, as is one that
+fails the base rules.
 
 * Null or empty text: all counts 0, measures 0, base_failed true, kept false.
 * Repeated rows and ids: each row is judged for itself. A null id stays null.
@@ -23,9 +24,11 @@ from hackstand.llm.common import if_small, store, text_slices
 from hackstand.llm.tokens import encoder, vocabulary
 from hackstand.llm.words import Words, ngrams
 
-FENCE = 3.0
+FENCE = 1.5
+#: Documents that a cell needs for quartiles of its own.
+LEAST_CELL = 20
 LEAST_WORDS, MOST_REPEATED = 50, 50
-#: Distance of a band from the quartiles where a cell's documents are all alike.
+#: Least distance of a band from the quartiles, for cells whose documents are nearly alike.
 SLACK = {"chars_per_token": 0.25, "fallback_share": 0.02, "token_entropy": 0.25}
 
 _SYMBOL = np.zeros(256, np.int64)
@@ -137,14 +140,17 @@ def judge(measured: DataFrame, fence: float = FENCE) -> DataFrame:
     level = F.floor(F.log2(F.greatest(F.col("n_tokens"), F.lit(1)).cast("double"))).cast("int")
     name = F.when(F.coalesce("lang", F.lit("")) == "", F.concat(F.lit("script:"), "script")).otherwise(F.col("lang"))
     rows = measured.withColumn("cell", F.concat_ws("|", name, level))
-    quartiles = [F.percentile_approx(m, [0.25, 0.75], 2000).alias(f"q_{m}") for m in SLACK]
+    counted = rows.where("n_tokens > 0").withColumn("name", name)
+    quartiles = lambda p: [F.percentile_approx(m, [0.25, 0.75], 2000).alias(f"{p}_{m}") for m in SLACK]
     # a row per language and power of two of the length: the sketches combine before the shuffle
-    bands = rows.where("n_tokens > 0").groupBy("cell").agg(*quartiles)
+    cells = counted.groupBy("name", "cell").agg(F.count("*").alias("n"), *quartiles("own"))
+    wider = store(counted.groupBy("name").agg(*quartiles("all")), "languages")
+    bands = cells.join(if_small(wider), "name").select("cell", *[F.when(F.col("n") < LEAST_CELL, F.col(f"all_{m}")).otherwise(F.col(f"own_{m}")).alias(f"q_{m}") for m in SLACK])
     joined = rows.join(if_small(store(bands, "bands")), "cell", "left")
     reasons = [F.when((F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED), "base")]
     for m, slack in SLACK.items():
         low, high = F.col(f"q_{m}")[0], F.col(f"q_{m}")[1]
-        wide = (high - low) * fence + slack
+        wide = F.greatest((high - low) * fence, F.lit(slack))
         reasons.append(F.when((F.col(m) < low - wide) | (F.col(m) > high + wide), m))
     return joined.withColumn("reason", F.coalesce(*reasons)).withColumn("base_failed", F.coalesce(F.col("reason") == "base", F.lit(False))).withColumn(
         "kept", F.col("reason").isNull()).drop(*[f"q_{m}" for m in SLACK])

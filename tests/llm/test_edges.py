@@ -206,3 +206,12 @@ def test_op6_holds_every_pair(spark, monkeypatch):
     assert whole[held[0]] > whole[held[1]] + 1e-4
     monkeypatch.setattr(op6, "FILTER_BYTES", 64, raising=False)
     assert {r["doc_id"]: r["score"] for r in op6.score_texts(df).collect()} == whole
+
+
+def test_op1_rejects_planted_junk(spark):
+    row = lambda i, chars, bits, tokens: (i, "en", 200, 900, 0, 0, 0, 4 * tokens, tokens, chars, 0.0, bits, "latin")
+    good = [row(i, 4.0 + i % 11 * 0.02, 7.0 + i % 7 * 0.03, 300) for i in range(100)]
+    # outside a narrow band, and alone in a cell of its length
+    junk = [row(1000, 3.4, 7.1, 300), row(1001, 4.1, 6.4, 300), row(1002, 1.2, 7.1, 5000), row(1003, 4.1, 1.0, 20_000)]
+    got = {r["doc_id"]: r["reason"] for r in op1.judge(spark.createDataFrame(good + junk, op1.SCHEMA)).collect()}
+    assert {k: v for k, v in got.items() if v} == {1000: "chars_per_token", 1001: "token_entropy", 1002: "chars_per_token", 1003: "token_entropy"}
