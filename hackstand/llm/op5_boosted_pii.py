@@ -104,7 +104,7 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
         while b > a and not text[b - 1].isdigit():
             b -= 1
         n = sum(c.isdigit() for c in text[a:b])
-        if n < 7:
+        if n < 4:
             continue
         runs = [(a, b)]
         for gap in re.finditer(r"(?<=[0-9])[ ().+-]*  [ ().+-]*(?=[0-9(+])|(?<=[0-9])[ .-]+(?=[+(])", text[a:b]):
@@ -300,7 +300,8 @@ def name_spans(found: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(found))
 
 
-_MAY_HOLD = re.compile(r"@|[0-9][0-9 ().+-]{4}|[\[(]at[\])]| dot ")
+#: Stands in every text that has a candidate.
+_MAY_HOLD = re.compile(r"@|[0-9][0-9 ().+-]{4}|[\[(]at[\])]| dot | at [A-Za-z0-9-]+(?:\.| ?[\[(]dot)")
 
 
 def _find(model):

@@ -215,3 +215,9 @@ def test_op1_rejects_planted_junk(spark):
     junk = [row(1000, 3.4, 7.1, 300), row(1001, 4.1, 6.4, 300), row(1002, 1.2, 7.1, 5000), row(1003, 4.1, 1.0, 20_000)]
     got = {r["doc_id"]: r["reason"] for r in op1.judge(spark.createDataFrame(good + junk, op1.SCHEMA)).collect()}
     assert {k: v for k, v in got.items() if v} == {1000: "chars_per_token", 1001: "token_entropy", 1002: "chars_per_token", 1003: "token_entropy"}
+
+
+@pytest.mark.parametrize("span, kind", [("10-0-0-1", "IP"), ("8 . 8 . 8 . 8", "IP"), ("192-0-2-1", "IP"), ("john at mail.org", "EMAIL"), ("john at mail(dot)org", "EMAIL"), ("john at mail [dot] org", "EMAIL")])
+def test_op5_proposes_short_disguises(span, kind):
+    every = op5.Trees([np.zeros(0)] * op5.FEATURES, [], 9.0, [0.5] * len(op5.KINDS))
+    assert op5.redacted(f"so: {span}, yes", every) == f"so: [{kind}], yes"
