@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from hackstand.llm.common import crc_fold, narrow, text_slices
 from hackstand.llm.words import raw_bytes
 
-#: Labelled rows and bytes that training takes at most, in the order of a hash of the id, half of each class.
+#: Labelled rows and bytes that training takes at most, in the order of a hash of the id, half of each class; an id whose text doesn't fit is passed over.
 SAMPLE_ROWS, SAMPLE_BYTES = 2600, 10 << 20
 EPOCHS, BATCH, RATE = 9, 64, 0.006
 EMBED, FILTERS, CHUNK_FILTERS = 8, 24, 16
@@ -134,6 +134,15 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int
     return net
 
 
+def fitting(sizes, room: int) -> list[bool]:
+    """Which sizes are taken, in order; one that doesn't fit in what is left is passed over."""
+    taken = []
+    for n in sizes:
+        taken.append(n <= room)
+        room -= n if taken[-1] else 0
+    return taken
+
+
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES) -> Net | float:
     """The network, or the constant score where there is nothing to tell apart."""
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y"))
@@ -144,8 +153,8 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     order = F.xxhash64(F.lit(3), "doc_id")
     chosen = known.where("y = 0").orderBy(order).limit(rows // 2).union(known.where("y = 1").orderBy(order).limit(rows // 2))
     docs = narrow(df, id_col, text_col).join(F.broadcast(chosen), "doc_id").select("doc_id", "y", F.coalesce("text", F.lit("")).alias("text"))
-    sizes = docs.select("doc_id", "y", F.octet_length("text").alias("n")).orderBy(F.xxhash64(F.lit(3), "doc_id")).toPandas()
-    sizes = sizes[sizes.groupby("y")["n"].cumsum() <= size // 2]
+    sizes = docs.groupBy("doc_id", "y").agg(F.sum(F.octet_length("text")).alias("n")).orderBy(F.xxhash64(F.lit(3), "doc_id")).toPandas()
+    sizes = sizes[sizes.groupby("y")["n"].transform(lambda n: fitting(n, size // 2)).astype(bool)]
     if sizes["y"].nunique() < 2:
         return float(share)
     ids = df.sparkSession.createDataFrame([(int(x),) for x in sizes["doc_id"].unique()], "doc_id long")

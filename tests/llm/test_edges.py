@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from hackstand.llm import (op1_fertility_rules as op1, op2_sentence_spans as op2, op3_byte_convnet as op3, op4_repair_ids as op4, op5_boosted_pii as op5, op6_bloom_lm as op6,
                            op7_sampled_splitters as op7, op8_multi_order_join as op8, op9_nnls_packing as op9, op10_spaced_seeds as op10, repair)
@@ -221,3 +222,11 @@ def test_op1_rejects_planted_junk(spark):
 def test_op5_proposes_short_disguises(span, kind):
     every = op5.Trees([np.zeros(0)] * op5.FEATURES, [], 9.0, [0.5] * len(op5.KINDS))
     assert op5.redacted(f"so: {span}, yes", every) == f"so: [{kind}], yes"
+
+
+def test_op3_long_text_costs_one_row(spark):
+    ids = [k for k in range(40) if zlib.crc32(str(k).encode()) % 3 != 1]
+    df = spark.createDataFrame([(k, f"text {k}") for k in ids], "doc_id long, text string")
+    first = df.where("doc_id % 2 = 0").orderBy(F.xxhash64(F.lit(3), "doc_id")).first()["doc_id"]
+    df = df.withColumn("text", F.when(F.col("doc_id") == first, F.repeat(F.lit("long "), 1000)).otherwise(F.col("text")))
+    assert isinstance(op3.fit(df, df.select("doc_id", (F.col("doc_id") % 2).alias("quality")), size=2000), op3.Net)
