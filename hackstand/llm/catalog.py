@@ -12,6 +12,8 @@ from hackstand.llm import op7_sampled_splitters as op7
 from hackstand.llm import op8_multi_order_join as op8
 from hackstand.llm import op9_nnls_packing as op9
 from hackstand.llm import op10_spaced_seeds as op10
+from hackstand.llm import op11_sum_of_squares as op11
+from hackstand.llm import op13_partenum_variants as op13
 from hackstand.llm.common import documents
 
 
@@ -27,8 +29,10 @@ def queries() -> dict:
         "op8_multi_order_join": lambda spark, sf: op8.near_duplicates(documents(spark, sf)),
         "op9_nnls_packing": lambda spark, sf: op9.digest(documents(spark, sf)),
         "op10_spaced_seeds": lambda spark, sf: op10.contaminated(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet")),
+        "op11_sum_of_squares": lambda spark, sf: op11.digest(documents(spark, sf)),
+        "op13_partenum_variants": lambda spark, sf: op13.variants(documents(spark, sf)),
     }
 
 
 def oracle_sql() -> dict:
-    return {"op2_sentence_spans": op2.sql(), "op8_multi_order_join": op8.sql(), "op10_spaced_seeds": op10.sql()}
+    return {"op2_sentence_spans": op2.sql(), "op8_multi_order_join": op8.sql(), "op10_spaced_seeds": op10.sql(), "op13_partenum_variants": op13.sql()}
