@@ -13,6 +13,7 @@ from hackstand.llm import op8_multi_order_join as op8
 from hackstand.llm import op9_nnls_packing as op9
 from hackstand.llm import op10_spaced_seeds as op10
 from hackstand.llm import op11_sum_of_squares as op11
+from hackstand.llm import op12_identity_map as op12
 from hackstand.llm import op13_partenum_variants as op13
 from hackstand.llm.common import documents
 
@@ -30,6 +31,7 @@ def queries() -> dict:
         "op9_nnls_packing": lambda spark, sf: op9.digest(documents(spark, sf)),
         "op10_spaced_seeds": lambda spark, sf: op10.contaminated(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet")),
         "op11_sum_of_squares": lambda spark, sf: op11.digest(documents(spark, sf)),
+        "op12_identity_map": lambda spark, sf: op12.digest(documents(spark, sf)),
         "op13_partenum_variants": lambda spark, sf: op13.variants(documents(spark, sf)),
     }
 
