@@ -39,7 +39,7 @@ def crc(numbers):
     return zlib.crc32(b"".join(n.to_bytes(4, "little") for n in numbers))
 
 
-@pytest.mark.parametrize("name", ["op2_sentence_spans", "op8_multi_order_join", "op10_spaced_seeds"])
+@pytest.mark.parametrize("name", ["op2_sentence_spans", "op8_multi_order_join", "op10_spaced_seeds", "op13_partenum_variants"])
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
     for t in ("documents", "benchmark", "labels"):
