@@ -181,22 +181,21 @@ def score(df: DataFrame, net: Net | float, id_col: str = "doc_id", text_col: str
     return narrow(df, id_col, text_col).mapInArrow(_scores(model), "doc_id long, score double")
 
 
-def keep_good(df: DataFrame, net: Net | float, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """The rows that score ``least`` or more, with all their columns."""
-    model = df.sparkSession.sparkContext.broadcast(net)
-    column = F.col(f"`{text_col}`")
+def _good(model, at: int, least: float):
+    def run(batches):
+        net = model.value
+        for batch in batches:
+            texts = pa.RecordBatch.from_arrays([batch.column(at)], ["text"])
+            good = [np.full(piece.num_rows, net) if isinstance(net, float) else net.score(piece.column("text")) for piece in text_slices(texts, budget=PASS_BYTES)]
+            yield batch.filter(pa.array(np.concatenate([*good, np.zeros(0)]) >= least))
 
-    @F.pandas_udf("double")
-    def scored(texts):
-        import pandas as pd
+    return run
 
-        batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
-        net = model.value
-        if isinstance(net, float):
-            return pd.Series(np.full(len(texts), net))
-        return pd.Series(np.concatenate([net.score(p.column("text")) for p in text_slices(batch, budget=PASS_BYTES)] or [np.zeros(0)]))
 
-    return df.where(scored(column) >= least)
+def keep_good(df: DataFrame, net: Net | float, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows that score ``least`` or more, with all their columns. Rows stay in Arrow batches; only slices of texts are scored at a time."""
+    model = df.sparkSession.sparkContext.broadcast(net)
+    return df.mapInArrow(_good(model, df.columns.index(text_col), least), df.schema)
 
 
 def digest(df: DataFrame, labels: DataFrame) -> DataFrame:

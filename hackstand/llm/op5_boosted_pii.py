@@ -345,15 +345,21 @@ def redacted(text: str | None, model: Trees | None) -> str | None:
     return "".join([*out, text[at:]])
 
 
-def redact(df: DataFrame, model: Trees | None, text_col: str = "text") -> DataFrame:
-    """``df`` with each span replaced by its kind in brackets; overlapping spans give one sign, that of the first."""
-    held = df.sparkSession.sparkContext.broadcast(model)
+def _redact(model, text_col: str):
+    def run(batches):
+        trees = model.value
+        for batch in batches:
+            at = batch.schema.get_field_index(text_col)
+            for piece in text_slices(batch, text_col):
+                texts = pa.array([redacted(t, trees) for t in piece.column(at).to_pylist()], piece.schema.field(at).type)
+                yield pa.RecordBatch.from_arrays([texts if k == at else piece.column(k) for k in range(piece.num_columns)], schema=piece.schema)
+
+    return run
 
-    @F.pandas_udf("string")
-    def clean(texts):
-        return texts.map(lambda t: redacted(t, held.value))
 
-    return df.withColumn(text_col, clean(F.col(f"`{text_col}`")))
+def redact(df: DataFrame, model: Trees | None, text_col: str = "text") -> DataFrame:
+    """``df`` with each span replaced by its kind in brackets; overlapping spans give one sign, that of the first."""
+    return df.mapInArrow(_redact(df.sparkSession.sparkContext.broadcast(model), text_col), df.schema)
 
 
 def digest(df: DataFrame) -> DataFrame:
