@@ -152,12 +152,12 @@ query("win_dup_count", compose("select order_key, line_no, part_key, count(*) ov
     lambda t: ranking.with_key_stats(t.trips.select("service_id", "order_key", "line_no", "part_key"),
                                      ["service_id", "order_key", "line_no"], copias=F.count(F.lit(1))).drop("service_id"))
 query("win_dup_rank", compose("""
-select order_key, line_no, part_key, row_number() over (partition by service_id, order_key, line_no order by fare_amount desc, part_key) = 1 as es_primera from trips
-"""))(lambda t: ranking.with_key_stats(
-    t.trips.select("service_id", "order_key", "line_no", "part_key", "fare_amount"), ["service_id", "order_key", "line_no"],
-    _best=F.max(F.struct("fare_amount", -F.col("part_key")))).select(
-        "order_key", "line_no", "part_key",
-        (F.struct("fare_amount", -F.col("part_key")) == F.col("_best")).alias("es_primera")))
+select order_key, line_no, part_key, puesto, puesto = 1 as es_primera from (
+  select *, cast(row_number() over (partition by service_id, order_key, line_no order by fare_amount desc, part_key, pickup_datetime, dropoff_datetime) as integer) as puesto from trips)
+"""))(lambda t: ranking.numbered(
+    t.trips.select("service_id", "order_key", "line_no", "part_key", "fare_amount", "pickup_datetime", "dropoff_datetime"), ["service_id", "order_key", "line_no"],
+    [F.col("fare_amount").desc(), "part_key", "pickup_datetime", "dropoff_datetime"], "puesto").select(
+        "order_key", "line_no", "part_key", "puesto", (F.col("puesto") == 1).alias("es_primera")))
 query("win_pareto", compose("select service_id, year, pu_location_id, porcentaje_acumulado_ingresos, clase_abc from abc_xyz"))(
     lambda t: t.abc_xyz.select("service_id", "year", "pu_location_id", "porcentaje_acumulado_ingresos", "clase_abc"))
 query("win_run_number", compose("""

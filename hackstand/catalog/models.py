@@ -10,7 +10,7 @@ from hackstand.catalog.registry import query
 from hackstand.catalog.sections import long_form, section_sql
 from hackstand.catalog.sql import TAXI, compose, define, half, part_sql, passengers_sql, pct, time, values_sql, xavg, xsum
 from hackstand.catalog.trips import CANDIDATE_SQL, COST_SQL, SPEED_SQL, TOLL_SQL
-from hackstand.operators.quantiles import exact_quantile, impute_median
+from hackstand.operators.quantiles import exact_quantiles, impute_median
 from hackstand.plans import forecast, forest, kmodes
 from hackstand.session import materialise
 from hackstand.settings import DEFAULTS
@@ -172,20 +172,17 @@ from fraud_feat group by 1
 
 
 def _two_quantiles(features):
-    high = exact_quantile(features, ["ratecode_id"], "costo_por_distancia", 0.95, "p95")
-    mid = exact_quantile(features, ["ratecode_id"], "costo_por_distancia", 0.5, "mediana")
-    return high.join(mid, "ratecode_id").select(
-        "ratecode_id", forest.half_up(F.col("p95"), 6).alias("p95"), forest.half_up(F.col("mediana"), 6).alias("mediana"))
-
-
-query("impute_median", compose("""
-select trip_id, coalesce(velocidad_promedio_calculada, median(velocidad_promedio_calculada) over (partition by ratecode_id), 0) as velocidad_promedio_calculada,
-  coalesce(ratio, median(ratio) over (partition by ratecode_id), 0) as ratio_peaje_tarifa
-from (select *, case when ratio_peaje_tarifa > 0 then ratio_peaje_tarifa end as ratio from fraud_feat)
-"""))(lambda t: impute_median(
-    t.fraud_features.withColumn("ratio_peaje_tarifa", F.when(F.col("ratio_peaje_tarifa") > 0, F.col("ratio_peaje_tarifa"))),
-    ["ratecode_id"], ["velocidad_promedio_calculada", "ratio_peaje_tarifa"]).select(
-        "trip_id", "velocidad_promedio_calculada", "ratio_peaje_tarifa"))
+    found = exact_quantiles(features, ["ratecode_id"], "costo_por_distancia", {"p95": 0.95, "mediana": 0.5})
+    return found.select("ratecode_id", *[forest.half_up(F.col(c), 6).alias(c) for c in ("p95", "mediana")])
+
+
+_SIX = {"ratio_peaje_tarifa": "case when ratio_peaje_tarifa > 0 then ratio_peaje_tarifa end"}
+query("impute_median", compose(
+    "select trip_id, " + ", ".join(f"coalesce({c}, median({c}) over (partition by ratecode_id), 0)::double as {c}" for c in forest.FEATURES)
+    + " from (select trip_id, ratecode_id, " + ", ".join(f"{_SIX.get(c, c)} as {c}" for c in forest.FEATURES) + " from fraud_feat)"))(
+    lambda t: impute_median(
+        t.fraud_features.withColumn("ratio_peaje_tarifa", F.when(F.col("ratio_peaje_tarifa") > 0, F.col("ratio_peaje_tarifa"))),
+        ["ratecode_id"], forest.FEATURES).select("trip_id", *forest.FEATURES))
 
 define("ratio_iso", f"""
 select f.*, {half('costo_por_distancia/mid', 6)} as isolation from fraud_feat f

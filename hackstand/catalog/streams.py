@@ -1,5 +1,7 @@
 """Queries: ride events through streams, live accumulators, merged views."""
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from hackstand import fixed_values as fv
@@ -12,7 +14,7 @@ from hackstand.catalog.sql import (
 from hackstand.catalog.tables import AS_OF
 from hackstand.plans import forest, serving
 from hackstand.session import materialise, scratch_path
-from hackstand.streaming import live, rides, scoring, sinks
+from hackstand.streaming import expiry, live, rides, scoring, sinks
 
 _T = (f"{time('pickup_datetime')} as pickup_datetime, {time('dropoff_datetime')} as dropoff_datetime")
 _PARSED = ["event_id", "service_id", "pickup_datetime", "dropoff_datetime", "pu_location_id", "do_location_id", "vendor_id",
@@ -71,8 +73,30 @@ for _view, _name, _r in (("demand", "stream_demand", _DAY), ("financial", "strea
     query(_name, compose(f"select * {_r} from live_{_view}"))(
         lambda t, v=_view: sinks.run_upsert(live.VIEWS[v](t.ride_stream()), live.KEYS[v], v))
 
-query("stream_state_ttl", compose(f"select * {_DAY} from live_demand where fecha_viaje >= (select max(fecha_viaje) from live_demand) - interval 48 hour"))(
-    lambda t: live.within_ttl(live.demand(t.rides), "fecha_viaje"))
+_TTL_KEYS = ["service_id", "pu_location_id", "payment_type_id"]
+
+
+@query("stream_state_ttl", compose(f"""
+select service_id, pu_location_id, payment_type_id, count(*) as viajes, {time('min(pickup_datetime)')} as desde, {time('max(pickup_datetime)')} as hasta,
+  max(pickup_datetime) + interval 48 hour < (select max(pickup_datetime) from rides) as expirado
+from (select *, sum(nueva) over (partition by service_id, pu_location_id, payment_type_id order by pickup_datetime) as racha
+      from (select *, case when pickup_datetime - lag(pickup_datetime) over (partition by service_id, pu_location_id, payment_type_id order by pickup_datetime)
+                              > interval 48 hour then 1 else 0 end as nueva from rides)) group by 1, 2, 3, racha
+"""))
+def _state_ttl(t):
+    """Rides arrive in slices of five days; each slice is a run of one stream that goes on from its checkpoint."""
+    arrivals = materialise(t.rides.select(*_TTL_KEYS, "pickup_datetime"), "arrivals")
+    feed, out = scratch_path(t.spark, "feed"), scratch_path(t.spark, "living")
+    first, last = arrivals.agg(F.min("pickup_datetime"), F.max("pickup_datetime")).first()
+    while first <= last:
+        upto = first + timedelta(days=5)
+        arrivals.filter((F.col("pickup_datetime") >= F.lit(first)) & (F.col("pickup_datetime") < F.lit(upto))).write.mode("append").parquet(feed)
+        stream = expiry.accumulate(t.spark.readStream.schema(arrivals.schema).parquet(feed), _TTL_KEYS, "pickup_datetime", {"viajes": F.lit(1)})
+        sinks.upsert_table(stream, out, f"{out}-checkpoint", keys=[*_TTL_KEYS, expiry.FROM], compact_every=4).awaitTermination()
+        first = upto
+    return sinks.latest(t.spark, out, [*_TTL_KEYS, expiry.FROM])
+
+
 query("stream_to_row", compose(f"""
 select * {_DAY}, {half(ratio('propina_base_sum', 'tarifa_base_sum') + '*100e0')} as porcentaje_propina_ponderado,
   {half(ratio('propina_total', 'millas_sum'), 4)} as propina_por_milla from live_tipping
@@ -82,7 +106,7 @@ select * {_DAY}, {half(ratio('propina_base_sum', 'tarifa_base_sum') + '*100e0')}
 @query("stream_snapshot_increments", compose(f"select * {_DAY} from live_demand where service_id = 'green'"))
 def _increments(t):
     path = scratch_path(t.spark, "increments")
-    sinks.upsert_table(live.demand(t.ride_stream()), path, f"{path}-checkpoint").awaitTermination()
+    sinks.upsert_table(live.demand(t.ride_stream()), path, f"{path}-checkpoint", keys=live.KEYS["demand"]).awaitTermination()
     return sinks.increments(t.spark, path, live.KEYS["demand"], -1, {"service_id": "green"}).drop(sinks.BATCH)
 
 

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from hackstand import fixed_values as fv
 from hackstand.functions.numeric import count_where
 from hackstand.operators.columns import first_match, normalize_types
+from hackstand.operators.selection import top_n_per_group
+from hackstand.session import materialise
 
 REASON = "_reject_reason"
 FILE, ROW = "_file", "_row"
@@ -84,26 +86,30 @@ def flag_known_zone(df: DataFrame, zones: DataFrame, location: str, flag: str) -
     return df.join(ids, F.col(location) == F.col(flag), "left")
 
 
-def repeated_trips(df: DataFrame, roles: TripRoles) -> DataFrame:
-    """One row per repeated key: the key and the position of the row to keep.
+def key_hash(columns) -> Column:
+    """64 bits of a key; unequal keys may share them."""
+    return F.xxhash64(*columns)
 
-    A maximum combines on the map side, so a key that holds a third of all rows costs
-    each task one candidate; a window would gather the whole group in one task.
+
+def surplus_trips(df: DataFrame, roles: TripRoles) -> DataFrame:
+    """Positions (file, row) of all trips but the best of each key: largest amounts, then content, then position.
+
+    Keys are counted by a hash of fixed width first; only trips whose hash repeats are compared by their whole keys. The best of a
+    key is cut to one candidate per task before the shuffle, so a key that holds a third of all rows is no burden. The
+    narrow columns are written once: the trips themselves are read once here and once where they are tagged.
     """
     by = [*roles.scope, *roles.keys]
     rest = [c for c in df.columns if c not in (FILE, ROW, REASON, *by, *roles.prefer)]
-    best = F.max(F.struct(
-        *[F.col(c) for c in roles.prefer],
-        F.xxhash64(*rest).alias("_content") if rest else F.lit(0).alias("_content"),
-        F.col(FILE).alias("_kept_file"), F.col(ROW).alias("_kept_row"),
-    ))
-    return (
-        df.groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("_copies"), best.alias("_best"))
-        .filter("_copies > 1")
-        .select(*[F.col(c).alias(f"_k_{c}") for c in by], "_copies",
-                "_best._kept_file", "_best._kept_row")
-    )
+    keys, amounts = [f"_k{i}" for i in range(len(by))], [f"_p{i}" for i in range(len(roles.prefer))]
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(0).cast("long")
+    narrow = materialise(df.select(
+        key_hash(by).alias("_hash"), *[F.col(c).alias(k) for c, k in zip(by, keys)], *[F.col(c).alias(p) for c, p in zip(roles.prefer, amounts)],
+        content.alias("_content"), F.col(FILE).alias("_surplus_file"), F.col(ROW).alias("_surplus_row")), "trip_keys")
+    repeated = narrow.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_hash")
+    rivals = narrow.join(repeated, "_hash", "left_semi")
+    order = [F.col(c).desc_nulls_last() for c in (*amounts, "_content", "_surplus_file", "_surplus_row")]
+    best = top_n_per_group(rivals, keys, order, 1).select("_surplus_file", "_surplus_row")
+    return rivals.select("_surplus_file", "_surplus_row").join(best, ["_surplus_file", "_surplus_row"], "left_anti")
 
 
 def tag_rejects(
@@ -132,14 +138,11 @@ def tag_rejects(
         return flagged
 
     contenders = flagged.filter(F.col(REASON).isNull()).drop(REASON) if dedup_after_rejects else df
-    repeats = repeated_trips(contenders, roles)
-    same_key = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in (*roles.scope, *roles.keys)]
-    surplus = F.col("_kept_row").isNotNull() & ~(
-        (F.col(ROW) == F.col("_kept_row")) & (F.col(FILE) == F.col("_kept_file"))
-    )
-    return flagged.join(repeats, same_key, "left").select(
+    surplus = surplus_trips(contenders, roles)
+    place = (F.col(FILE) == F.col("_surplus_file")) & (F.col(ROW) == F.col("_surplus_row"))
+    return flagged.join(surplus, place, "left").select(
         *business,
-        F.coalesce(F.col(REASON), F.when(surplus, F.lit("uniqueness_duplicate"))).alias(REASON),
+        F.coalesce(F.col(REASON), F.when(F.col("_surplus_row").isNotNull(), F.lit("uniqueness_duplicate"))).alias(REASON),
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hackstand.functions.numeric import percent
 from hackstand.operators.selection import top_n_per_group
+from hackstand.session import materialise
 
 
 def _prefixed(df: DataFrame, keys, prefix: str, *rest) -> DataFrame:
@@ -25,20 +26,33 @@ def with_key_stats(df: DataFrame, keys, **stats: Column) -> DataFrame:
     return _attach(df, _prefixed(sums, keys, "_s_", *stats), keys, "_s_")
 
 
-def ordinal(df: DataFrame, keys, moment: str, ties, alias: str, bucket: str = "month") -> DataFrame:
-    """Position 1..n of each row within its key by time.
+def numbered(df: DataFrame, keys, order, alias: str, parts: int | None = None) -> DataFrame:
+    """Position 1..n of each row within its key by ``order`` (columns; null keys are a key of their own).
 
-    Rows are numbered inside (key, calendar bucket) and shifted by the number of rows in
-    the key's earlier buckets, so a long history is ranked by many tasks.
+    Rows are dealt into ranges of (keys, order) by sampled splitters, so a key with many rows spans many ranges, each is numbered by
+    itself and shifted by the key's rows in earlier ranges. The ranges are written once, so a lost task finds the same ones.
+    Only rows equal in all of keys and order stay together; end ``order`` in a unique column.
     """
-    df = df.withColumn("_bucket", F.date_trunc(bucket, moment))
-    counts = df.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = counts.withColumn("_shift", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
-    inside = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(moment, *ties))
-    by = [*keys, "_bucket"]
-    numbered = _attach(df.withColumn("_inside", inside), _prefixed(shifts, by, "_b_", "_shift"), by, "_b_")
-    return numbered.withColumn(alias, (F.col("_inside") + F.col("_shift")).cast("int")).drop("_inside", "_shift", "_bucket")
+    order = [F.col(c) if isinstance(c, str) else c for c in order]
+    by = [*[F.col(k) for k in keys], *order]
+    ranged = df.repartitionByRange(parts, *by) if parts else df.repartitionByRange(*by)
+    placed = materialise(ranged.withColumn("_part", F.spark_partition_id()), "ranges")
+    return _shifted(placed, keys, order, alias).drop("_part")
+
+
+def _shifted(placed: DataFrame, keys, order, alias: str) -> DataFrame:
+    counts = placed.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    shifts = counts.withColumn("_shift", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    inside = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order))
+    cells = [*keys, "_part"]
+    out = _attach(placed.withColumn("_inside", inside), _prefixed(shifts, cells, "_r_", "_shift"), cells, "_r_")
+    return out.withColumn(alias, (F.col("_inside") + F.col("_shift")).cast("int")).drop("_inside", "_shift")
+
+
+def ordinal(df: DataFrame, keys, moment: str, ties, alias: str) -> DataFrame:
+    """Position 1..n of each row within its key by time, then by ``ties``."""
+    return numbered(df, keys, [moment, *ties], alias)
 
 
 def run_flags(df: DataFrame, key: str, start: str = "inicio", ties=()) -> DataFrame:

@@ -90,3 +90,17 @@ def test_same_key_in_two_files_is_not_a_duplicate(spark):
     zones = spark.createDataFrame([(1, "A", "a"), (2, "B", "b")], "LocationID int, Borough string, Zone string")
     again = c.tag_rejects(both, zones, c.only(c.roles_for("yellow", both.columns), "uniqueness"))
     assert reasons(again) == ["clean", "clean"]
+
+
+def test_dedup_counts_hashes_before_it_compares(spark):
+    """No aggregate sorts the trips, the plan of the tagged trips holds their source once, and a hot key meets in no task."""
+    tagged = tag(spark, "yellow", [YELLOW] * 50 + [{**YELLOW, "PULocationID": 2, "total_amount": float(i)} for i in range(20)])
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "trip_keys" in plan and plan.count("Scan ExistingRDD[VendorID") == 1
+    assert reasons(tagged) == ["clean"] * 2 + ["uniqueness_duplicate"] * 68
+
+
+def test_equal_hash_of_unequal_keys_is_no_duplicate(spark, monkeypatch):
+    monkeypatch.setattr(c, "key_hash", lambda columns: F.lit(1).cast("long"))
+    rows = [YELLOW, {**YELLOW, "PULocationID": 2}, {**YELLOW, "VendorID": 2}, YELLOW]
+    assert reasons(tag(spark, "yellow", rows)) == ["clean"] * 3 + ["uniqueness_duplicate"]

@@ -17,29 +17,42 @@ def test_exact_quantile_matches_sorting(spark, p):
         assert got[k] == pytest.approx(float(np.quantile(vs, p)), rel=1e-12)
 
 
-def test_missed_bracket_is_widened(spark, monkeypatch):
-    rounds = []
-
-    def forced(x, keys, p, pad, accuracy):
-        rounds.append(pad)
-        off = p / 4 if len(rounds) == 1 else p
-        tried = bracketed(x, keys, off, pad, accuracy)
-        return tried if len(rounds) > 1 else tried.withColumn("_held", F.col("k") == 2)
-
-    bracketed = quantiles._bracketed
-    monkeypatch.setattr(quantiles, "_bracketed", forced)
-    rows = [(1, float(v)) for v in range(3000)] + [(2, 5.0)]
+def test_bracket_off_target_corrects_itself(spark, monkeypatch):
+    """The sketch may be wrong by any amount: brackets at the far end, or of one value, still lead to the wanted ranks."""
+    sketched, rows = quantiles._sketched, [(1, float(v % 977)) for v in range(9000)] + [(2, 5.0)]
     df = spark.createDataFrame(rows, "k int, v double")
-    assert {r.k: r.q for r in quantiles.exact_quantile(df, ["k"], "v", 0.5, "q").collect()} == {1: 1499.5, 2: 5.0}
-    assert len(rounds) == 2
-
-
-def test_bracket_off_target_is_seen(spark):
-    x = spark.createDataFrame([(1, float(v)) for v in range(50_000)], "k int, _x double")
-    for accuracy in (20, 10_000):
-        found = quantiles._bracketed(x, ["k"], 0.5, 0.0, accuracy).first()
-        assert not found._held or (found._v0, found._v1) == (24_999.0, 25_000.0)
-    assert not quantiles._bracketed(x, ["k"], 0.5, 0.0, 20).first()._held
+    for lo, hi in ((-5.0, -4.0), (970.0, 2000.0), (3.0, 3.0), (-1e308, 1e308)):
+        monkeypatch.setattr(quantiles, "_sketched", lambda *a, lo=lo, hi=hi: sketched(*a).withColumns({"_lo": F.lit(lo), "_hi": F.lit(hi)}))
+        got = {r.k: (r.a, r.b) for r in quantiles.exact_quantiles(df, ["k"], "v", {"a": 0.31, "b": 0.99}).collect()}
+        assert got == {1: tuple(np.quantile([v for k, v in rows if k == 1], [0.31, 0.99])), 2: (5.0, 5.0)}
+
+
+def test_quantiles_of_odd_distributions(spark):
+    rng = np.random.default_rng(3)
+    groups = {1: 2.0 ** rng.integers(-900, 900, 3000), 2: np.array([1e-300] * 5 + [1.0] * 5 + [1e300]), 3: np.append(rng.random(2000) * 1e-12, 1e12),
+              4: np.array([float("inf"), 1.0, 2.0, 3.0, 4.0]), 5: np.repeat([-1e308, 0.0, 1e308], 40)}
+    df = spark.createDataFrame([(k, float(v)) for k, vs in groups.items() for v in vs], "k int, v double")
+    wanted = {f"q{i}": p for i, p in enumerate((0.0, 0.25, 0.5, 0.75))}
+    got = {r.k: tuple(r[a] for a in wanted) for r in quantiles.exact_quantiles(df, ["k"], "v", wanted, accuracy=50).collect()}
+    for k, vs in groups.items():
+        vs = np.sort(vs)
+        for g, p in zip(got[k], wanted.values()):
+            at = p * (len(vs) - 1)
+            a, b = vs[int(at)], vs[min(int(at) + 1, len(vs) - 1)]
+            assert g == pytest.approx(a if at == int(at) else a + (b - a) * (at % 1), rel=1e-9)
+
+
+def test_large_group_of_distinct_values_is_spread(spark):
+    """A group of a million distinct values: what meets in one task is at most a row per sub-interval and map task."""
+    df = spark.range(0, 1_000_000, 1, 8).select(F.lit(1).alias("k"), (F.xxhash64("id") / 1e3).alias("v"))
+    x = df.select("k", F.col("v").alias("_x"))
+    brackets = quantiles._sketched(x, ["k"], {"q": 0.5}, 100)
+    narrowed = quantiles._narrowed(x, brackets, ["k"], True)
+    assert "_x" not in narrowed.columns and narrowed.count() == 1
+    plan = narrowed._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [_x" not in plan and "SortAggregate" not in plan
+    got = quantiles.exact_quantile(df, ["k"], "v", 0.5, "q", accuracy=100).first().q
+    assert got == pytest.approx(df.agg(F.median("v")).first()[0])
 
 
 def test_small_groups_and_imputation(spark):
@@ -57,6 +70,21 @@ def test_ordinal_equals_row_number(spark):
     assert got.count() == 3000
 
 
+def test_hot_key_is_numbered_in_many_ranges(spark):
+    """A key with a third of all rows, all within one month, is dealt over many tasks of about equal size."""
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 500).cast("string")).alias("k"), F.when(F.col("id") % 7 != 0, F.col("id") % 5).alias("j"), "id",
+        F.timestamp_seconds(F.pmod(F.xxhash64("id"), F.lit(86_400 * 28))).alias("t"))
+    for keys, order in ((["k"], ["t", "id"]), (["k", "j"], [F.col("t").desc(), "id"])):
+        got = ranking.numbered(df, keys, order, "n", parts=24)
+        want = df.withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+        assert got.columns == [*df.columns, "n"] and got.join(want.select("id", "rn"), "id").filter("n = rn").count() == 30_000
+    placed = df.filter("k = 'hot'").repartitionByRange(24, "k", "t", "id").groupBy(F.spark_partition_id()).count().collect()
+    assert len(placed) == 24 and max(r["count"] for r in placed) < 3 * 10_000 / 24
+    cells = ranking._shifted(df.withColumn("_part", F.pmod("id", F.lit(9))), ["k"], [F.col("t")], "n")
+    assert "_part" in cells.columns
+
+
 def test_run_flags(spark):
     df = spark.createDataFrame([("a", "2024-01-01", 1), ("a", "2024-03-01", 2), ("b", "2024-02-01", 3)], "f string, s string, id int")
     rows = {r.id: r for r in ranking.run_flags(df.withColumn("inicio", F.to_timestamp("s")), "f", ties=("id",)).collect()}
