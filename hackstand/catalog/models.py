@@ -255,24 +255,41 @@ query("fraud_counts", compose(f"""
 select count(case when is_fraud then 1 end) as fraudes, count(case when is_anomaly_candidate then 1 end) as candidatos,
   {half(f"{xsum('anomaly_score', 6)}/count(*)", 6)} as score_medio from scores
 """))(lambda t: forest.panel_counts(forest.ratio_scores(t.fraud_features)))
-query("model_registry", compose("""
-select 'isolation_forest' as pipeline, cast(ratecode_id as varchar) as model, count(*) as n_rows_source, 6 as n_features,
-  0.05e0 as contamination, 100 as n_estimators, 42 as random_state from scores group by 2
-"""))(lambda t: forest.registry_rows(forest.ratio_scores(t.fraud_features)))
+_SIZES = "(select ratecode_id, count(*) as n from fraud_feat where ratecode_id is not null group by 1)"
+query("model_registry", compose(f"""
+select 'isolation_forest' as pipeline, cast(ratecode_id as varchar) as model, n as n_rows_source, 6 as n_features,
+  0.05e0 as contamination, 100 as n_estimators, cast(least(n, 256) as integer) as max_samples, 42 as random_state from {_SIZES} where n >= 200
+"""))(lambda t: forest.registry_rows(_trained(t)[0]))
 
 
-@query("iforest_fit")
+def _trained(t):
+    return forest.train(materialise(t.fraud_features, "fraud"))
+
+
+@query("iforest_fit", compose(f"select ratecode_id, n as viajes, 100 as arboles, cast(least(n, 256) as integer) as muestra, 100 as arboles_completos from {_SIZES} where n >= 200"))
 def _forest_fit(t):
-    features = materialise(t.fraud_features.filter("ratecode_id is not null"), "fraud")
-    nodes = forest.fit(materialise(impute_median(features, ["ratecode_id"], forest.FEATURES), "imputed"))
-    return nodes.groupBy("ratecode_id").agg(
-        F.count_distinct("tree").alias("arboles"), F.count(F.lit(1)).alias("nodos"), F.max("sampled").alias("muestra"))
+    features = materialise(t.fraud_features, "fraud")
+    trees = forest.fit(materialise(impute_median(features, ["ratecode_id"], forest.FEATURES), "imputed"))
+    # a tree over n rows has an odd number of nodes, and each inner node has two followers
+    whole = (F.size(F.filter("feature", lambda x: x >= 0)) * 2 + 1 == F.size("feature")) & (F.size("feature") < 2 * F.col("sampled"))
+    grown = trees.groupBy("ratecode_id").agg(F.count_distinct("tree").cast("int").alias("arboles"), F.max("sampled").alias("muestra"), F.count(F.when(whole, 1)).cast("int").alias("arboles_completos"))
+    return features.groupBy("ratecode_id").agg(F.count(F.lit(1)).alias("viajes")).join(grown, "ratecode_id")
 
 
-@query("iforest_score")
-def _forest_score(t):
-    _, scores = forest.train(materialise(t.fraud_features, "fraud"))
-    return scores
+query("iforest_score")(lambda t: _trained(t)[1])
+
+
+@query("iforest_status", compose(f"""
+select ratecode_id, case when ratecode_id is null then 'skipped_no_ratecode' when n >= 2000 then 'ok' else 'skipped_low_rows' end as model_status, is_anomaly_candidate, count(*) as viajes,
+  count(case when n >= 2000 then 1 end) as con_valor, bool_or(case when n >= 2000 then true end) as con_corte
+from fraud_feat left join (select ratecode_id as rc, count(*) as n from fraud_feat group by 1) on rc = ratecode_id group by 1, 2, 3
+"""))
+def _status(t):
+    """A status for every trip, of models that ask for 2,000 trips: ratecodes with fewer stay in the table without a score."""
+    _, scores = forest.train(materialise(t.fraud_features, "fraud"), replace(DEFAULTS.forest, trees=10, min_rows=2000))
+    return scores.groupBy("ratecode_id", "model_status", "is_anomaly_candidate").agg(
+        F.count(F.lit(1)).alias("viajes"), F.count("anomaly_score").alias("con_valor"),
+        F.max(F.when(F.col("model_status") == forest.OK, F.col("is_fraud").isNotNull())).alias("con_corte"))
 
 
 # ---- forecasts on the hourly rides ----

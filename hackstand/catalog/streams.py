@@ -167,12 +167,15 @@ from ride_inputs
     "is_anomaly_candidate"), "candidates"))
 
 
-def _model(t):
-    return forest.train(materialise(t.fraud_features, "fraud"))[0]
+def _stored_model(t) -> str:
+    """Training is a job of its own; the stream reads the model it has written."""
+    path = f"{scratch_path(t.spark, 'fraud_model')}/version=1"
+    forest.train(materialise(t.fraud_features, "fraud"))[0].save(path)
+    return path
 
 
 query("stream_fraud")(lambda t: sinks.run_append(
-    scoring.score_fraud(rides.first_delivery(t.accepted(t.stream_lines)), _model(t)), "fraud"))
+    scoring.score_fraud(rides.first_delivery(t.accepted(t.stream_lines)), forest.Model.load(t.spark, _stored_model(t))), "fraud"))
 query("read_fraud", compose(f"""
 select event_id as trip_id, service_id, ratecode_id, {time('pickup_datetime')} as timestamp, costo_por_distancia as anomaly_score
 from ride_inputs where service_id in ('yellow','green') and ratecode_id = 1 order by pickup_datetime desc, event_id limit 40 offset 10

@@ -1,7 +1,8 @@
 """Isolation forest per ratecode.
 
-Trees grow in parallel, one small sample each (``applyInPandas``); all trips are scored by
-``mapInPandas`` against the broadcast trees, whose number of nodes is fixed by the settings.
+Every tree draws its rows from all trips of its ratecode and grows in a task of its own (``applyInPandas``). The model is a table:
+trees, medians, cuts and a registry, written once and loaded by whoever scores. All trips are scored, against broadcast trees while
+these are few, else beside the trees of their ratecode in groups of bounded size.
 """
 
 from __future__ import annotations
@@ -10,22 +11,26 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hackstand import fixed_values as fv
 from hackstand.functions.numeric import count_where, exact_avg, exact_sum, half_up, percent
-from hackstand.operators.quantiles import exact_quantile, group_medians, impute_median
+from hackstand.operators.quantiles import exact_quantile, exact_quantiles, group_medians, impute_median
 from hackstand.operators.selection import page, sample_cap
 from hackstand.session import materialise
 from hackstand.settings import DEFAULTS, ForestSettings
 
 FEATURES = list(fv.FRAUD_FEATURES)
-NODE_SCHEMA = ("ratecode_id int, tree int, node int, feature int, threshold double, left int, right int, "
-               "path double, sampled int")
+TREE_SCHEMA = ("ratecode_id int, tree int, sampled int, feature array<int>, threshold array<double>, left array<int>, "
+               "right array<int>, path array<double>")
 EULER = 0.5772156649015329
-MAX_MODELS = 100
+#: Nodes that are broadcast (about 28 bytes each, 112 MB); a larger forest meets its trips by a shuffle.
+BROADCAST_NODES = 4_000_000
+#: Trips of one ratecode that meet a larger forest in one task.
+GROUP_ROWS = 1_000_000
+OK, LOW_ROWS, NO_RATECODE = "ok", "skipped_low_rows", "skipped_no_ratecode"
 
 
 def mean_path(n) -> np.ndarray:
@@ -63,57 +68,57 @@ def grow_tree(points: np.ndarray, rng: np.random.Generator, depth_limit: int) ->
 
 
 def training_rows(features: DataFrame, settings: ForestSettings) -> DataFrame:
-    """Rows for every (ratecode, tree): bounded pools, then bounded draws from them."""
-    enough = features.groupBy("ratecode_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= settings.min_rows)
-    eligible = features.filter(F.col("ratecode_id").isNotNull()).join(enough.select("ratecode_id"), "ratecode_id", "left_semi")
-    pool = sample_cap(eligible, ["ratecode_id"], F.col("trip_id"), settings.trees * settings.rows_per_tree, str(settings.seed))
-    trees = pool.select("ratecode_id", "trip_id", *FEATURES,
-                        F.explode(F.sequence(F.lit(0), F.lit(settings.trees - 1))).alias("tree"))
-    ticket = F.pmod(F.xxhash64(F.lit(settings.seed), "trip_id", "tree"), F.lit(2**32)) / float(2**32)
-    sizes = pool.groupBy("ratecode_id").agg(F.count(F.lit(1)).alias("_pool"))
-    slack = settings.rows_per_tree + 6.0 * math.sqrt(settings.rows_per_tree)
-    return (
-        trees.withColumn("_draw", ticket).join(sizes, "ratecode_id")
-        .filter(F.col("_draw") < F.lit(slack) / F.col("_pool")).drop("_pool")
-    )
+    """Rows for every (ratecode, tree) drawn from all trips of the ratecode: those with the smallest tickets.
+
+    A trip has one ticket per tree, by hash. Per ratecode, tickets under a bound are kept that lets through some more than a tree
+    takes; the rest falls away in the task that reads the trip, so only the drawn rows move.
+    """
+    sizes = features.filter(F.col("ratecode_id").isNotNull()).groupBy("ratecode_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= settings.min_rows)
+    slack = settings.rows_per_tree + 8.0 * math.sqrt(settings.rows_per_tree) + 8.0
+    rows = features.join(sizes, "ratecode_id").select(
+        "ratecode_id", "trip_id", *FEATURES, F.xxhash64(F.lit(settings.seed), "trip_id").alias("_hash"), (F.lit(slack) / F.col("_n")).alias("_bound"))
+    trees = settings.trees
+
+    def draw(batches):
+        for pdf in batches:
+            ticket = tickets(pdf["_hash"].to_numpy(np.int64), trees)
+            row, tree = np.nonzero(ticket < pdf["_bound"].to_numpy()[:, None])
+            yield pdf.iloc[row].drop(columns=["_hash", "_bound"]).assign(tree=tree.astype(np.int32), _draw=ticket[row, tree])
+
+    schema = rows.drop("_hash", "_bound").schema.add("tree", T.IntegerType()).add("_draw", T.DoubleType())
+    return rows.mapInPandas(draw, schema)
+
+
+def tickets(hashes: np.ndarray, trees: int) -> np.ndarray:
+    """Uniform numbers in [0, 1), fixed by row and tree."""
+    with np.errstate(over="ignore"):
+        x = hashes.view(np.uint64)[:, None] + (np.arange(trees, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+    return (x >> np.uint64(11)).astype(np.float64) / float(1 << 53)
 
 
 def fit(imputed: DataFrame, settings: ForestSettings = DEFAULTS.forest) -> DataFrame:
-    """Node table of all trees."""
+    """One row per tree, its nodes as arrays."""
     rows, seed = settings.rows_per_tree, settings.seed
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["_draw", "trip_id"]).head(rows)
         ratecode, tree = int(pdf["ratecode_id"].iloc[0]), int(pdf["tree"].iloc[0])
-        rng = np.random.default_rng([seed, ratecode, tree])
+        rng = np.random.default_rng([seed, ratecode & 0xFFFFFFFF, tree])
         limit = max(1, math.ceil(math.log2(max(len(pdf), 2))))
-        nodes = grow_tree(pdf[FEATURES].to_numpy(dtype=float), rng, limit)
-        out = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "left", "right", "path"])
-        return out.assign(ratecode_id=ratecode, tree=tree, sampled=len(pdf))[
-            ["ratecode_id", "tree", "node", "feature", "threshold", "left", "right", "path", "sampled"]]
+        _, feature, threshold, left, right, path = map(list, zip(*grow_tree(pdf[FEATURES].to_numpy(dtype=float), rng, limit)))
+        return pd.DataFrame({"ratecode_id": [ratecode], "tree": [tree], "sampled": [len(pdf)], "feature": [feature], "threshold": [threshold],
+                             "left": [left], "right": [right], "path": [path]})
 
-    return training_rows(imputed, settings).groupBy("ratecode_id", "tree").applyInPandas(build, NODE_SCHEMA)
+    return training_rows(imputed, settings).groupBy("ratecode_id", "tree").applyInPandas(build, TREE_SCHEMA)
 
 
-def pack(nodes: DataFrame) -> dict[int, list[dict]]:
-    """Trees as arrays, by ratecode: at most trees x (2 x rows per tree) nodes per ratecode.
-
-    Ratecodes come from a code table; a column with too many of them is not one.
-    """
-    nodes = materialise(nodes, "forest")
-    models = nodes.select("ratecode_id").distinct().limit(MAX_MODELS + 1).count()
-    if models > MAX_MODELS:
-        raise ValueError(f"more than {MAX_MODELS} ratecodes: not a code column")
-    frame = nodes.toPandas()
-    forests: dict[int, list[dict]] = {}
-    for (ratecode, _), tree in frame.groupby(["ratecode_id", "tree"]):
-        tree = tree.sort_values("node")
-        forests.setdefault(int(ratecode), []).append({
-            "feature": tree["feature"].to_numpy(), "threshold": tree["threshold"].to_numpy(),
-            "left": tree["left"].to_numpy(), "right": tree["right"].to_numpy(),
-            "path": tree["path"].to_numpy(), "sampled": int(tree["sampled"].iloc[0]),
-        })
-    return forests
+def unpack(frame: pd.DataFrame) -> list[dict]:
+    """Rows of trees as arrays."""
+    return [{**{c: np.asarray(r[c]) for c in ("feature", "threshold", "left", "right", "path")}, "sampled": int(r["sampled"])}
+            for _, r in frame.sort_values("tree").iterrows()]
 
 
 def isolation(points: np.ndarray, trees: list[dict]) -> np.ndarray:
@@ -134,14 +139,34 @@ def isolation(points: np.ndarray, trees: list[dict]) -> np.ndarray:
     return np.power(2.0, -(depth / len(trees)) / max(scale, 1e-12))
 
 
-def raw_scores(imputed: DataFrame, forests: dict[int, list[dict]]) -> DataFrame:
+def raw_scores(imputed: DataFrame, trees: DataFrame, most: int = BROADCAST_NODES) -> DataFrame:
     """Isolation value per trip; NULL for a ratecode without a forest.
 
-    Works on a batch and on a stream: scoring is row by row.
+    Scoring is row by row, so a forest of up to ``most`` nodes serves a stream as well as a batch. A larger one is for batches, also those
+    of ``foreachBatch``: trips of a ratecode are dealt into groups of bounded size, and each group meets the ratecode's trees.
     """
-    model = imputed.sparkSession.sparkContext.broadcast(forests)
     schema = T.StructType([*imputed.schema.fields, T.StructField("isolation", T.DoubleType())])
-
+    nodes = trees.agg(F.coalesce(F.sum(F.size("feature")), F.lit(0)).alias("n")).first()["n"]
+    if nodes <= most:
+        out = imputed.mapInPandas(_scorer(imputed.sparkSession.sparkContext.broadcast({int(k): unpack(g) for k, g in trees.toPandas().groupby("ratecode_id")})), schema)
+    elif imputed.isStreaming:
+        raise ValueError(f"{nodes} nodes are too many to broadcast to a stream: score its batches in foreachBatch")
+    else:
+        groups = imputed.groupBy("ratecode_id").agg(F.ceil(F.count(F.lit(1)) / GROUP_ROWS).alias("_groups"))
+        groups = groups.select(F.col("ratecode_id").alias("_rc"), "_groups")
+        dealt = imputed.join(groups, F.col("ratecode_id").eqNullSafe(F.col("_rc"))).withColumn("_group", F.pmod(F.xxhash64("trip_id"), F.col("_groups"))).drop("_rc", "_groups")
+        copies = trees.join(groups, F.col("ratecode_id") == F.col("_rc")).withColumn("_group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_groups") - 1))).select(
+            F.col("ratecode_id").alias("_rc"), F.col("_group").alias("_of"), "tree", "sampled", "feature", "threshold", "left", "right", "path")
+
+        def beside(trips: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+            value = isolation(trips[FEATURES].to_numpy(dtype=float), unpack(own)) if len(own) and len(trips) else np.full(len(trips), np.nan)
+            return trips.drop(columns="_group").assign(isolation=np.round(value, 9))
+
+        out = dealt.groupBy("ratecode_id", "_group").cogroup(copies.groupBy("_rc", "_of")).applyInPandas(beside, schema)
+    return out.withColumn("isolation", F.nanvl("isolation", F.lit(None).cast("double")))
+
+
+def _scorer(model):
     def score(batches):
         for pdf in batches:
             value = np.full(len(pdf), np.nan)
@@ -152,43 +177,60 @@ def raw_scores(imputed: DataFrame, forests: dict[int, list[dict]]) -> DataFrame:
                     value[rows] = isolation(pdf[FEATURES].iloc[rows].to_numpy(dtype=float), trees)
             yield pdf.assign(isolation=np.round(value, 9))
 
-    return imputed.mapInPandas(score, schema).withColumn("isolation", F.nanvl("isolation", F.lit(None).cast("double")))
+    return score
 
 
 def thresholds(scored: DataFrame, settings: ForestSettings = DEFAULTS.forest) -> DataFrame:
     """Per ratecode: the contamination offset and the fraud quantile of the isolation value."""
-    offset = exact_quantile(scored, ["ratecode_id"], "isolation", 1.0 - settings.contamination, "offset")
-    if settings.fraud_quantile == 1.0 - settings.contamination:
-        return offset.withColumn("cut", F.col("offset"))
-    return offset.join(exact_quantile(scored, ["ratecode_id"], "isolation", settings.fraud_quantile, "cut"), "ratecode_id")
+    return exact_quantiles(scored.filter(F.col("isolation").isNotNull()), ["ratecode_id"], "isolation",
+                           {"offset": 1.0 - settings.contamination, "cut": settings.fraud_quantile})
 
 
 def flag(scored: DataFrame, cuts: DataFrame) -> DataFrame:
-    """Anomaly score (isolation above the offset) and the strict fraud flag."""
-    return scored.join(cuts, "ratecode_id").select(
+    """Anomaly score (isolation above the offset) and the strict fraud flag; trips without a model have neither and say why."""
+    status = F.when(F.col("isolation").isNotNull(), OK).when(F.col("ratecode_id").isNull(), NO_RATECODE).otherwise(LOW_ROWS)
+    return scored.join(cuts, "ratecode_id", "left").select(
         "trip_id", "ratecode_id", "service_id", "year", "month",
         (F.col("isolation") - F.col("offset")).alias("anomaly_score"),
         (F.col("isolation") > F.col("cut")).alias("is_fraud"),
-        F.lit("ok").alias("model_status"), "is_anomaly_candidate",
+        status.alias("model_status"), "is_anomaly_candidate",
     )
 
 
 class Model:
-    """Trees, medians and cuts, kept together so that serving imputes as training did."""
+    """Trees, medians, cuts and registry as tables, kept together so that serving imputes as training did."""
+
+    PARTS = ("trees", "medians", "cuts", "registry")
+
+    def __init__(self, trees: DataFrame, medians: DataFrame, cuts: DataFrame, registry: DataFrame):
+        self.trees, self.medians, self.cuts, self.registry = trees, medians, cuts, registry
+
+    def save(self, path: str) -> Model:
+        """Write the model once under ``path``, a folder per version, and give it back as read from there."""
+        for part in self.PARTS:
+            getattr(self, part).write.parquet(f"{path}/{part}")
+        return Model.load(self.trees.sparkSession, path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Model:
+        return cls(*[spark.read.parquet(f"{path}/{part}") for part in cls.PARTS])
 
-    def __init__(self, forests, medians: DataFrame, cuts: DataFrame):
-        self.forests, self.medians, self.cuts = forests, medians, cuts
+    def score(self, features: DataFrame) -> DataFrame:
+        """Isolation value of every row, its missing features filled with the stored medians."""
+        return raw_scores(impute_median(features, ["ratecode_id"], FEATURES, self.medians), self.trees)
 
 
 def train(features: DataFrame, settings: ForestSettings = DEFAULTS.forest) -> tuple[Model, DataFrame]:
-    """Fit, score all trips, set the cuts; returns the model and the score table."""
-    usable = features.filter(F.col("ratecode_id").isNotNull())
-    medians = materialise(group_medians(usable, ["ratecode_id"], FEATURES), "medians")
-    imputed = materialise(impute_median(usable, ["ratecode_id"], FEATURES, medians), "imputed")
-    forests = pack(fit(imputed, settings))
-    scored = materialise(raw_scores(imputed, forests), "isolation")
+    """Fit, score all trips, set the cuts; returns the model and the score table, one row per trip."""
+    medians = materialise(group_medians(features, ["ratecode_id"], FEATURES), "medians")
+    imputed = materialise(impute_median(features, ["ratecode_id"], FEATURES, medians), "imputed")
+    trees = materialise(fit(imputed, settings), "trees")
+    scored = materialise(raw_scores(imputed, trees), "isolation")
     cuts = materialise(thresholds(scored, settings), "cuts")
-    return Model(forests, medians, cuts), flag(scored, cuts)
+    sizes = imputed.groupBy("ratecode_id").agg(F.count(F.lit(1)).alias("n_rows_source"))
+    registry = trees.groupBy("ratecode_id").agg(F.count(F.lit(1)).cast("int").alias("n_estimators"), F.max("sampled").alias("max_samples")).join(sizes, "ratecode_id")
+    registry = registry.withColumns({"contamination": F.lit(settings.contamination), "random_state": F.lit(settings.seed)})
+    return Model(trees, medians, cuts, registry), flag(scored, cuts)
 
 
 def ratio_scores(features: DataFrame) -> DataFrame:
@@ -254,9 +296,8 @@ def panel_counts(rows: DataFrame) -> DataFrame:
         half_up(F.coalesce(exact_avg(F.col("anomaly_score"), 6), F.lit(0.0)), 6).alias("score_medio"))
 
 
-def registry_rows(scores: DataFrame, settings: ForestSettings = DEFAULTS.forest) -> DataFrame:
+def registry_rows(model: Model) -> DataFrame:
     """One metadata row per fitted ratecode."""
-    return scores.groupBy("ratecode_id").agg(F.count(F.lit(1)).alias("n_rows_source")).select(
-        F.lit("isolation_forest").alias("pipeline"), F.col("ratecode_id").cast("string").alias("model"),
-        "n_rows_source", F.lit(len(FEATURES)).alias("n_features"), F.lit(settings.contamination).alias("contamination"),
-        F.lit(settings.trees).alias("n_estimators"), F.lit(settings.seed).alias("random_state"))
+    return model.registry.select(
+        F.lit("isolation_forest").alias("pipeline"), F.col("ratecode_id").cast("string").alias("model"), "n_rows_source",
+        F.lit(len(FEATURES)).alias("n_features"), "contamination", "n_estimators", "max_samples", "random_state")

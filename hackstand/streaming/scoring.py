@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from hackstand import fixed_values as fv
 from hackstand.functions import rules
-from hackstand.operators.quantiles import impute_median
 from hackstand.plans import forest, kmodes
 from hackstand.settings import DEFAULTS, Settings
 
@@ -38,7 +37,7 @@ def score_fraud(rides: DataFrame, model: forest.Model, settings: Settings = DEFA
     """
     inputs = fraud_inputs(rides).select(
         "trip_id", "service_id", "ratecode_id", "pickup_datetime", "is_anomaly_candidate", *forest.FEATURES)
-    scored = forest.raw_scores(impute_median(inputs, ["ratecode_id"], forest.FEATURES, model.medians), model.forests)
+    scored = model.score(inputs)
     score = F.col("isolation") - F.col("offset")
     return scored.join(model.cuts.select("ratecode_id", "offset"), "ratecode_id", "left").select(
         "trip_id", "service_id", "ratecode_id", score.alias("anomaly_score"),

@@ -55,21 +55,71 @@ def test_hand_worked_tree():
     assert float(forest.mean_path(2)) == 1.0 and float(forest.mean_path(1)) == 0.0
 
 
+def trips(spark, counts):
+    """Normal trips of several ratecodes with an outlier first in each."""
+    rng, parts = np.random.default_rng(1), []
+    for code, n in counts.items():
+        pdf = pd.DataFrame(rng.normal(size=(n, len(forest.FEATURES))), columns=forest.FEATURES)
+        pdf.iloc[0], pdf.iloc[1, 2] = 40.0, np.nan
+        parts.append(pdf.assign(trip_id=np.arange(n) + 10_000 * len(parts), ratecode_id=float("nan") if code is None else float(code)))
+    df = spark.createDataFrame(pd.concat(parts).assign(service_id="yellow", year=2024, month=1, is_anomaly_candidate=False))
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in (*forest.FEATURES, "ratecode_id")}).withColumn("ratecode_id", F.col("ratecode_id").cast("int"))
+
+
 def test_forest_scores_every_trip_and_ranks_the_outlier_first(spark):
-    rng = np.random.default_rng(1)
-    pdf = pd.DataFrame(rng.normal(size=(400, len(forest.FEATURES))), columns=forest.FEATURES)
-    pdf.iloc[0] = 40.0
-    pdf.iloc[1, 2] = np.nan
-    pdf["trip_id"], pdf["ratecode_id"], pdf["service_id"] = range(400), 1, "yellow"
-    pdf["year"], pdf["month"], pdf["is_anomaly_candidate"] = 2024, 1, False
-    small = pdf.head(50).assign(ratecode_id=2, trip_id=range(1000, 1050))
-    df = spark.createDataFrame(pd.concat([pdf, small])).withColumn("ratecode_id", F.col("ratecode_id").cast("int"))
-    df = df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in forest.FEATURES})
-    model, scores = forest.train(df, replace(DEFAULTS.forest, trees=20))
+    model, scores = forest.train(trips(spark, {1: 400, 2: 50, None: 30}), replace(DEFAULTS.forest, trees=20))
     rows = scores.collect()
-    assert len(rows) == 400 and set(model.forests) == {1}
-    assert max(rows, key=lambda r: r.anomaly_score).trip_id == 0
-    assert sum(r.is_fraud for r in rows) == 20
+    by = {s: [r for r in rows if r.model_status == s] for s in (forest.OK, forest.LOW_ROWS, forest.NO_RATECODE)}
+    assert [len(v) for v in by.values()] == [400, 50, 30] and len(rows) == 480
+    assert {r.ratecode_id for r in model.trees.collect()} == {1} and {r.ratecode_id for r in by[forest.LOW_ROWS]} == {2}
+    assert max(by[forest.OK], key=lambda r: r.anomaly_score).trip_id == 0
+    assert sum(r.is_fraud for r in by[forest.OK]) == 20
+    assert all(r.anomaly_score is None and r.is_fraud is None for s in (forest.LOW_ROWS, forest.NO_RATECODE) for r in by[s])
+
+
+def test_draw_is_from_all_rows_and_layout_free(spark):
+    settings = replace(DEFAULTS.forest, trees=12, rows_per_tree=64, min_rows=100)
+    df = spark.range(40_000).select("id", (F.col("id") % 10 == 0).cast("int").alias("ratecode_id"), *[(F.col("id") + k).cast("double").alias(f) for k, f in enumerate(forest.FEATURES)]).withColumnRenamed("id", "trip_id")
+    drawn = [forest.training_rows(d, settings).toPandas().sort_values(["ratecode_id", "tree", "_draw"]) for d in (df, df.repartition(7, "trip_id"))]
+    assert np.array_equal(drawn[0][["trip_id", "tree"]].to_numpy(), drawn[1][["trip_id", "tree"]].to_numpy())
+    sizes = drawn[0].groupby(["ratecode_id", "tree"]).size()
+    assert len(sizes) == 24 and sizes.min() >= 64 and sizes.max() < 220
+    own = drawn[0][drawn[0].ratecode_id == 0].groupby("tree").head(64)
+    # no pool: twelve draws of 64 from 36,000 rows hardly meet, and lie all over them
+    assert own.trip_id.nunique() > 750 and 15_000 < own.trip_id.mean() < 25_000
+
+
+def plain_walk(trees, point):
+    """Mean depth of one point, node by node."""
+    depths = []
+    for t in trees:
+        at = 0
+        while t["feature"][at] >= 0:
+            at = t["left"][at] if point[t["feature"][at]] <= t["threshold"][at] else t["right"][at]
+        depths.append(t["path"][at])
+    scale = np.mean([float(forest.mean_path(t["sampled"])) for t in trees])
+    return 2.0 ** -(np.mean(depths) / scale)
+
+
+def test_stored_model_scores_as_a_plain_walk_and_by_shuffle_alike(spark, tmp_path):
+    df = trips(spark, {1: 300, 2: 260, 3: 40, None: 5})
+    model = forest.train(df, replace(DEFAULTS.forest, trees=8))[0].save(str(tmp_path / "version=1"))
+    medians = {r.ratecode_id: r for r in model.medians.collect()}
+    trees = {code: [r.asDict() for r in model.trees.collect() if r.ratecode_id == code] for code in (1, 2)}
+    got = {r.trip_id: r for r in model.score(df).collect()}
+    for r in df.collect():
+        point = [r[f] if r[f] is not None else medians[r.ratecode_id][f] for f in forest.FEATURES]
+        want = plain_walk(trees[r.ratecode_id], point) if r.ratecode_id in trees else None
+        assert got[r.trip_id].isolation == (want if want is None else pytest.approx(want, abs=1e-8))
+    imputed = forest.impute_median(df, ["ratecode_id"], forest.FEATURES, model.medians)
+    for rows in (1_000_000, 50):
+        forest.GROUP_ROWS, kept = rows, forest.GROUP_ROWS
+        try:
+            shuffled = {r.trip_id: r.isolation for r in forest.raw_scores(imputed, model.trees, most=0).collect()}
+        finally:
+            forest.GROUP_ROWS = kept
+        assert shuffled == {k: r.isolation for k, r in got.items()}
+    assert model.registry.count() == 2
 
 
 def series(hours, level=10.0, borough="Queens"):
