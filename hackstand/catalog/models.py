@@ -1,7 +1,9 @@
 """Queries: feature stores, clustering, anomaly scores, forecasts."""
 
 from dataclasses import replace
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hackstand import fixed_values as fv
@@ -140,27 +142,42 @@ def _step(t):
 _N = "(select cast(sum(w) as double) as n{c} from labelled where cluster_id = {c})"
 
 
+_COMPLETE = " union all ".join(
+    f"select service_id, count(*) as viajes from kfeat where service_id = '{s}' and " + " and ".join(f"{f} is not null" for f in kmodes.features_of(s)) + " group by 1"
+    for s in fv.PRICED_SERVICES)
+
+
 @query("kmodes_fit")
 def _fit(t):
-    store = materialise(t.cluster_features, "clusters")
-    out = None
-    for service in fv.PRICED_SERVICES:
-        combos = materialise(kmodes.combinations(store, service), "combos")
-        names = kmodes.features_of(service)
-        found = kmodes.fit(combos, names, kmodes.initial_modes(combos, names, 3))
-        rows = kmodes.sizes(kmodes.labels(store, service, found.modes)).withColumns(
-            {"service_id": F.lit(service), "costo": F.lit(found.cost), "iteraciones": F.lit(found.iterations)})
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    """Sizes of the clusters of the tuned number of clusters, for every service."""
+    store, out = materialise(t.cluster_features, "clusters"), []
+    for service, tuned in kmodes.train_all(store).items():
+        best = kmodes.best_of(tuned)
+        out.append(kmodes.sizes(kmodes.labels(store, service, best.fit.modes)).withColumns(
+            {"service_id": F.lit(service), "k": F.lit(best.k), "costo": F.lit(best.fit.cost), "rondas": F.lit(best.fit.iterations)}))
+    return reduce(DataFrame.unionByName, out)
+
+
+@query("kmodes_labelled", compose(f"select service_id, viajes, viajes as repartidos, true as k_valido from ({_COMPLETE})"))
+def _labelled_all(t):
+    """Every complete trip of every service has one cluster of the tuned model."""
+    store, out = materialise(t.cluster_features, "clusters"), []
+    for service, tuned in kmodes.train_all(store).items():
+        best = kmodes.best_of(tuned)
+        sizes = kmodes.labels(store, service, best.fit.modes).groupBy("service_id").agg(
+            F.count(F.lit(1)).alias("repartidos"), F.min(F.col("cluster_id") < best.k).alias("k_valido"))
+        out.append(kmodes.combinations(store, service).agg(F.sum("w").alias("viajes")).withColumn("service_id", F.lit(service)).join(sizes, "service_id"))
+    return reduce(DataFrame.unionByName, out)
 
 
 @query("kmodes_tune")
 def _tune(t):
-    settings = replace(DEFAULTS.clusters, max_k=4)
-    combos, tuned, best = kmodes.train(t.cluster_features, "fhvhv", settings)
-    rows = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(cost).alias("cost"), F.lit(round(s, 6)).alias("silhouette"),
-                              F.lit(found is best).alias("elegido")) for k, cost, s, found in tuned])
-    return combos.agg(F.sum("w").alias("viajes")).select(F.inline(rows), "viajes")
+    """Cost and silhouette of every number of clusters from 2 to 8 of every service, and which one is taken."""
+    rows = []
+    for service, tuned in kmodes.train_all(t.cluster_features).items():
+        best = kmodes.best_of(tuned)
+        rows += [(service, x.k, x.fit.cost, round(x.silhouette, 6), x is best) for x in tuned]
+    return t.spark.createDataFrame(rows, "service_id string, k int, cost long, silhouette double, elegido boolean")
 
 
 # ---- quantiles and anomaly scores ----

@@ -117,9 +117,9 @@ select service_id, count(*) as filas, cast(greatest(1, least(32, ceil(count(*)/1
 """))(lambda t: t.trips.groupBy("service_id").agg(F.count(F.lit(1)).alias("filas")).withColumn(
     "archivos", F.greatest(F.lit(1), F.least(F.lit(sinks.target_files(10**12)), F.ceil(F.col("filas") / 1000.0))).cast("int")))
 query("export_cluster_artifacts", compose("""
-select service_id, franja_horaria, count(*) as count from kfeat where service_id in ('yellow', 'fhvhv') group by 1,2
+select service_id, franja_horaria, count(*) as count from kfeat where service_id in ('yellow', 'green', 'fhvhv') group by 1,2
 """))(lambda t: sinks.merge_artifacts({s: t.cluster_features.filter(F.col("service_id") == s).groupBy("franja_horaria").count()
-                                       for s in ("yellow", "fhvhv")}))
+                                       for s in ("yellow", "green", "fhvhv")}))
 
 
 @query("audit_append", compose("select audit_id, source_file, rowcount_quality from audit_s"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from hackstand import fixed_values as fv
 from hackstand.functions.numeric import percent
 from hackstand.operators.ranking import group_share
+from hackstand.operators.selection import top_n_per_group
 from hackstand.session import materialise
 from hackstand.settings import DEFAULTS, ClusterSettings
 
@@ -100,17 +101,19 @@ def step(combos: DataFrame, features, modes) -> tuple[list[tuple[str, ...]], int
     return moved, sum(r["missed"] for r in found)
 
 
-def fit(combos: DataFrame, features, seeds, max_iterations: int = DEFAULTS.clusters.max_iterations) -> Fit:
-    """Alternate assignment and modes until the cost is flat."""
-    modes, best = list(seeds), None
-    for i in range(max_iterations):
+def fit(combos: DataFrame, features, seeds) -> Fit:
+    """Alternate assignment and modes until the cost is flat; it falls with every round, so there is an end."""
+    modes, best, rounds = list(seeds), None, 0
+    while True:
         moved, cost = step(combos, features, modes)
-        if moved == modes or (best is not None and cost >= best[0]):
-            if best is None or cost < best[0]:
-                best = (cost, modes)
-            return Fit(tuple(features), tuple(best[1]), int(best[0]), i + 1)
-        best, modes = (cost, modes), moved
-    return Fit(tuple(features), tuple(modes), int(step(combos, features, modes)[1]), max_iterations)
+        rounds += 1
+        if best is None or cost < best[0]:
+            best = (cost, modes)
+        elif moved != modes:
+            return Fit(tuple(features), tuple(best[1]), int(best[0]), rounds)
+        if moved == modes:
+            return Fit(tuple(features), tuple(best[1]), int(best[0]), rounds)
+        modes = moved
 
 
 def silhouette(labelled: DataFrame, features, k: int) -> DataFrame:
@@ -136,29 +139,115 @@ def silhouette(labelled: DataFrame, features, k: int) -> DataFrame:
     return out.agg((F.sum(width * F.col("w")) / F.sum("w")).alias("silhouette"))
 
 
-def tune(combos: DataFrame, features, settings: ClusterSettings = DEFAULTS.clusters) -> list[tuple[int, int, float, Fit]]:
-    """(k, cost, silhouette, fit) for k = 2..max_k; seeds for k are a prefix of the next ones."""
-    seeds = initial_modes(combos, features, settings.max_k)
-    out = []
-    for k in range(2, len(seeds) + 1):
-        found = fit(combos, features, seeds[:k], settings.max_iterations)
-        labelled = assign(combos, features, found.modes)
-        used = labelled.select(LABEL).distinct().count()
-        score = silhouette(labelled, features, k).first()[0] if used > 1 else -1.0
-        out.append((k, found.cost, float(score), found))
-    return out
+# ---- all services and numbers of clusters in one plan per round ----
 
+@dataclass(frozen=True)
+class Tuned:
+    """One fitted number of clusters of one service."""
+
+    service: str
+    k: int
+    fit: Fit
+    silhouette: float
+
+
+def all_combinations(store: DataFrame, services) -> DataFrame:
+    """service_id, values (in the order of the service's features), w of every distinct combination."""
+    parts = [combinations(store, s).select(F.lit(s).alias("service_id"), F.array(*features_of(s)).alias("values"), "w") for s in services]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _gap(values: Column, mode: Column) -> Column:
+    return F.size(F.filter(F.zip_with(values, mode, lambda a, b: a != b), lambda x: x))
+
+
+def all_seeds(combos: DataFrame, k: int) -> dict[str, list[tuple[str, ...]]]:
+    """Density-first seeds of every service, one job per seed for all services."""
+    cells = combos.select("service_id", "values", "w", F.posexplode("values").alias("pos", "value"))
+    common = cells.groupBy("service_id", "pos", "value").agg(F.sum("w").alias("n"))
+    dense = materialise(cells.join(common, ["service_id", "pos", "value"]).groupBy("service_id", "values").agg(F.sum("n").alias("density")), "dense")
+    seeds: dict[str, list[tuple[str, ...]]] = {}
+    for _ in range(k):
+        known = F.coalesce(*[F.when(F.col("service_id") == s, F.array_min(F.array(*[_gap(F.col("values"), F.array(*map(F.lit, m))) for m in modes]))) for s, modes in seeds.items()],
+                           F.lit(1))
+        best = top_n_per_group(dense.withColumn("_far", known * F.col("density")), ["service_id"], [F.col("_far").desc(), F.col("values")], 1).collect()
+        fresh = [(r["service_id"], tuple(r["values"])) for r in best if tuple(r["values"]) not in seeds.get(r["service_id"], [])]
+        if not fresh:
+            break
+        for service, seed in fresh:
+            seeds.setdefault(service, []).append(seed)
+    return seeds
+
+
+def _labelled(combos: DataFrame, modes: dict[tuple[str, int], list]) -> DataFrame:
+    """Every combination once per model of its service, with its cluster and its distance. The models are a few rows."""
+    models = combos.sparkSession.createDataFrame([(s, k, [list(m) for m in found]) for (s, k), found in modes.items()], "service_id string, k int, modes array<array<string>>")
+    gaps = combos.join(F.broadcast(models), "service_id").withColumn("_gaps", F.transform("modes", lambda m: _gap(F.col("values"), m)))
+    return gaps.withColumn("gap", F.array_min("_gaps")).withColumn(LABEL, (F.array_position("_gaps", F.col("gap")) - 1).cast("int")).drop("_gaps", "modes")
+
+
+def _round(combos: DataFrame, modes: dict[tuple[str, int], list]) -> tuple[dict, dict]:
+    """The modes of the clusters that ``modes`` make, and the cost of ``modes``, for all models."""
+    cells = _labelled(combos, modes).select("service_id", "k", LABEL, "w", "gap", F.posexplode("values").alias("pos", "value"))
+    counts = cells.groupBy("service_id", "k", LABEL, "pos", "value").agg(F.sum("w").alias("n"), F.sum(F.col("w") * F.col("gap")).alias("cost"))
+    # models x clusters x features rows
+    tops = counts.groupBy("service_id", "k", LABEL, "pos").agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("value"), F.sum("cost").alias("cost")).collect()
+    moved, cost = {m: [list(x) for x in found] for m, found in modes.items()}, dict.fromkeys(modes, 0)
+    for r in tops:
+        moved[r["service_id"], r["k"]][r[LABEL]][r["pos"]] = r["value"]
+        cost[r["service_id"], r["k"]] += r["cost"] if r["pos"] == 0 else 0
+    return {m: [tuple(x) for x in found] for m, found in moved.items()}, cost
+
+
+def all_fits(combos: DataFrame, seeds: dict[tuple[str, int], list]) -> dict[tuple[str, int], Fit]:
+    """Every model to its end; a round works on those whose cost still falls."""
+    open_, best, done, rounds = dict(seeds), {}, {}, 0
+    while open_:
+        moved, cost = _round(combos, open_)
+        rounds += 1
+        for m in list(open_):
+            better = m not in best or cost[m] < best[m][0]
+            if better:
+                best[m] = (cost[m], open_[m])
+            if not better or moved[m] == open_[m]:
+                done[m] = Fit(tuple(features_of(m[0])), tuple(best[m][1]), int(best[m][0]), rounds)
+        open_ = {m: moved[m] for m in open_ if m not in done}
+    return done
+
+
+def all_silhouettes(combos: DataFrame, fits: dict[tuple[str, int], Fit]) -> dict[tuple[str, int], float]:
+    """Exact mean silhouette of every model over all trips from value counts (see ``silhouette``), in one plan."""
+    most = max(k for _, k in fits)
+    rows = _labelled(combos, {m: list(f.modes) for m, f in fits.items()})
+    model, clusters = ["service_id", "k"], range(most)
+    share = lambda name: [F.sum(F.when(F.col(LABEL) == c, F.col("w")).otherwise(0)).alias(f"_{name}{c}") for c in clusters]
+    cells = rows.select(*model, LABEL, "w", "values", F.posexplode("values").alias("pos", "value"))
+    same = cells.join(cells.groupBy(*model, "pos", "value").agg(*share("m")), [*model, "pos", "value"]).groupBy(*model, LABEL, "w", "values").agg(
+        *[F.sum(f"_m{c}").alias(f"_m{c}") for c in clusters])
+    wide = same.join(rows.groupBy(*model).agg(*share("n")), model)
+    width = F.size("values")
+    away = [width * F.col(f"_n{c}") - F.col(f"_m{c}") for c in clusters]
+    own_size, own = (F.coalesce(*[F.when(F.col(LABEL) == c, x[c]) for c in clusters]) for x in ([F.col(f"_n{c}") for c in clusters], away))
+    other = F.array_min(F.array(*[F.when((F.col(LABEL) != c) & (F.col(f"_n{c}") > 0), away[c] / F.col(f"_n{c}").cast("double")) for c in clusters]))
+    a = F.when(own_size > 1, own / (own_size - 1).cast("double"))
+    value = F.when((own_size > 1) & (F.greatest(a, other) > 0), (other - a) / F.greatest(a, other)).otherwise(0.0)
+    used = reduce(lambda x, y: x + y, [(F.max(f"_n{c}") > 0).cast("int") for c in clusters])
+    found = wide.groupBy(*model).agg((F.sum(value * F.col("w")) / F.sum("w")).alias("s"), used.alias("used")).collect()
+    return {(r["service_id"], r["k"]): float(r["s"]) if r["used"] > 1 else -1.0 for r in found}
 
-def best_fit(tuned) -> Fit:
-    """The first strictly best silhouette."""
-    return max(tuned, key=lambda r: (r[2], -r[0]))[3]
 
+def train_all(store: DataFrame, services=fv.PRICED_SERVICES, settings: ClusterSettings = DEFAULTS.clusters) -> dict[str, list[Tuned]]:
+    """Every number of clusters from 2 to ``max_k`` of every service, fitted to its end; seeds for k are a prefix of the next ones."""
+    combos = materialise(all_combinations(store, services), "combos")
+    seeds = all_seeds(combos, settings.max_k)
+    fits = all_fits(combos, {(s, k): found[:k] for s, found in seeds.items() for k in range(2, len(found) + 1)})
+    scores = all_silhouettes(combos, fits) if fits else {}
+    return {s: [Tuned(s, k, fits[s, k], scores[s, k]) for k in range(2, len(found) + 1)] for s, found in seeds.items()}
 
-def train(store: DataFrame, service: str, settings: ClusterSettings = DEFAULTS.clusters):
-    """Tune and fit one service; the combination table is written once and re-read."""
-    combos = materialise(combinations(store, service), f"combos-{service}")
-    tuned = tune(combos, features_of(service), settings)
-    return combos, tuned, best_fit(tuned)
+
+def best_of(tuned: list[Tuned]) -> Tuned:
+    """The first strictly best silhouette."""
+    return max(tuned, key=lambda x: (x.silhouette, -x.k))
 
 
 def labels(store: DataFrame, service: str, modes) -> DataFrame:

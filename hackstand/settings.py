@@ -50,7 +50,6 @@ class ForestSettings:
 @dataclass(frozen=True)
 class ClusterSettings:
     max_k: int = 8
-    max_iterations: int = 20
 
 
 @dataclass(frozen=True)

@@ -45,6 +45,56 @@ def test_kmodes_finds_separate_groups(spark):
     assert set(found.modes) == {("a", "a", "a"), ("z", "z", "z")} and found.cost == 9
 
 
+def plain_kmodes(rows, seeds):
+    """Modes and cost by loops over all rows, under the same rules."""
+    def nearest(row, modes):
+        gaps = [sum(a != b for a, b in zip(row, m)) for m in modes]
+        return gaps.index(min(gaps)), min(gaps)
+
+    modes, best = [tuple(m) for m in seeds], None
+    while True:
+        found = [nearest(r, modes) for r in rows]
+        cost = sum(g for _, g in found)
+        if best is not None and cost >= best[0]:
+            return best[1], best[0]
+        best, moved = (cost, modes), []
+        for c, mode in enumerate(modes):
+            own = [r for r, (x, _) in zip(rows, found) if x == c]
+            moved.append(tuple(min(set(v), key=lambda x: (-v.count(x), x)) for v in zip(*own)) if own else mode)
+        if moved == modes:
+            return best[1], best[0]
+        modes = moved
+
+
+def test_all_services_and_k_equal_plain_kmodes(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for service in ("yellow", "fhvhv"):
+        names = kmodes.features_of(service)
+        for n in range(150):
+            group = rng.integers(0, 3)
+            rows.append({"service_id": service, "trip_id": len(rows), "year": 2024, "month": 1,
+                         **{f: f"{f}{group if rng.random() < 0.8 else rng.integers(0, 4)}" for f in names}})
+    columns = ["service_id", "trip_id", "year", "month", *dict.fromkeys([*kmodes.features_of("yellow"), *kmodes.features_of("fhvhv")])]
+    df = spark.createDataFrame([tuple(r.get(c) for c in columns) for r in rows], ", ".join(f"{c} {'int' if c in ('trip_id', 'year', 'month') else 'string'}" for c in columns))
+    tuned = kmodes.train_all(df, ("yellow", "fhvhv"), replace(DEFAULTS.clusters, max_k=5))
+    assert set(tuned) == {"yellow", "fhvhv"}
+    for service, found in tuned.items():
+        names = kmodes.features_of(service)
+        data = [tuple(r[f] for f in names) for r in rows if r["service_id"] == service]
+        combos = kmodes.combinations(df, service)
+        seeds = kmodes.initial_modes(combos, names, 5)
+        assert [x.k for x in found] == [2, 3, 4, 5]
+        for x in found:
+            modes, cost = plain_kmodes(data, seeds[: x.k])
+            assert (list(x.fit.modes), x.fit.cost) == (modes, cost)
+            labels = np.array([min(range(x.k), key=lambda c: (sum(a != b for a, b in zip(r, modes[c])), c)) for r in data])
+            assert x.silhouette == pytest.approx(brute_silhouette(data, labels), abs=1e-9)
+            one = kmodes.fit(combos, names, seeds[: x.k])
+            assert (one.modes, one.cost) == (x.fit.modes, x.fit.cost)
+        assert kmodes.best_of(found).silhouette == max(x.silhouette for x in found)
+
+
 def test_hand_worked_tree():
     # root splits feature 0 at 1.0; left leaf at depth 1, right leaf holds 3 points
     tree = {"feature": np.array([0, -1, -1]), "threshold": np.array([1.0, 0, 0]), "left": np.array([1, -1, -1]),
