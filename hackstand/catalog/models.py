@@ -364,6 +364,23 @@ def _segments(t):
     return forecast.forecast_segments(t.ride_hours, settings)
 
 
+@query("forecast_year_end", compose(f"""
+select borough, service_id, 'actual' as forecast_type, count(*) as horas, {time('min(pickup_hour)')} as desde, {time('max(pickup_hour)')} as hasta, count(*) as con_viajes,
+  count(*) >= {MIN_ROWS} as con_modelo, true as ordenado from ride_series group by 1, 2
+union all
+select borough, service_id, 'forecast', cast((epoch(timestamp '2024-12-31 23:00:00') - epoch(max(pickup_hour)))/3600 as bigint), {time("max(pickup_hour) + interval 1 hour")},
+  '2024-12-31 23:00:00', 0, true, true from ride_series group by 1, 2 having count(*) >= {MIN_ROWS}
+"""))
+def _year_end(t):
+    """The hour grid of the forecast to the year's end, and whether every hour has an interval around its value."""
+    done = forecast.forecast_segments(t.ride_hours, replace(DEFAULTS.forecast, min_rows=MIN_ROWS, until_year=2024))
+    future = F.col("forecast_type") == "forecast"
+    return done.groupBy("borough", "service_id", "forecast_type").agg(
+        F.count(F.lit(1)).alias("horas"), F.min("pickup_hour").alias("desde"), F.max("pickup_hour").alias("hasta"), F.count("trip_count").alias("con_viajes"),
+        F.max(F.col("model_status") == "ok").alias("con_modelo"),
+        F.min(F.when(future, (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))).otherwise(True)).alias("ordenado"))
+
+
 @query("forecast_skipped", compose(f"""
 select borough, service_id, count(*) as horas, 'skipped_low_rows' as model_status from ride_series group by 1,2
 """))

@@ -1,9 +1,9 @@
 """Hourly forecasts, one seasonal autoregression per borough and service.
 
 Segments are fitted in parallel by ``applyInPandas``; one segment is at most the hours of
-the calendar, so a group stays small however many trips it counts. The model is ordinary
-least squares on the first and seasonal difference with lags 1 and 24 and the calendar
-flags. Moving-average terms are not estimated.
+the calendar, so a group stays small however many trips it counts. The model is least
+squares in two stages on the first and seasonal difference, with lags of the series and of its innovations
+at one hour and one day and the calendar flags; an information criterion chooses among the orders.
 """
 
 from __future__ import annotations
@@ -49,72 +49,127 @@ def _polynomial(lags: dict[int, float], season: int, regular: bool) -> np.ndarra
     return -(times(full, np.array([1.0, -1.0])) if regular else full)[1:]
 
 
-class Autoregression:
-    """Differenced least squares with lags and differenced regressors."""
+#: Candidate lags (autoregressive, moving average), the season in one of them: the pair with the least information criterion is taken.
+ORDERS = tuple((ar, ma) for ar in ((1, "season"), (1,), ()) for ma in ((1, "season"), ("season",), (1,), ()) if "season" in (*ar, *ma))
+#: Seasons that the first stage reaches back at most, and rounds in which the model's own errors replace its innovations.
+LONG_SEASONS, REFITS = 6, 12
 
-    def __init__(self, y: np.ndarray, x: np.ndarray, season: int, regular: bool):
+
+class SeasonalModel:
+    """Least squares in two stages on the differenced series, with lags, past innovations and differenced regressors.
+
+    A long autoregression estimates the innovations; the second stage regresses on the wanted lags of the series and of these
+    innovations. Then the innovations are the model's own one-step errors, from its recursion; one that does not damp past errors is refused.
+    """
+
+    def __init__(self, y: np.ndarray, x: np.ndarray, season: int, regular: bool, ar=(1, "season"), ma=()):
         self.season, self.regular = season, regular
-        self.order = (1, season) if regular else (1,)
+        self.ar, self.ma = (tuple(season if v == "season" else v for v in lags) for lags in (ar, ma))
         z, dx = self._difference(y), self._difference(x)
-        reach = max(self.order)
-        if len(z) <= reach + dx.shape[1] + len(self.order) + 2:
+        self.skip = max(self.ar, default=0)
+        if len(z) <= max((*self.ar, *self.ma), default=0) + dx.shape[1] + len(self.ar) + len(self.ma) + 2:
             raise ValueError("series too short for the model")
-        design = np.column_stack([*[z[reach - lag:len(z) - lag] for lag in self.order], dx[reach:]])
-        target = z[reach:]
-        beta, *_ = np.linalg.lstsq(design, target, rcond=None)
+        if not self.ma:
+            self._set(z, dx, np.zeros(len(z)), self.skip)
+        else:
+            seasons = min(LONG_SEASONS, len(z) // (4 * season))
+            if not seasons:
+                raise ValueError("series too short for innovations")
+            lags = [1, 2, 3, *[k * season + d for k in range(1, seasons + 1) for d in (0, 1)]]
+            reach = lags[-1]
+            innovations = np.zeros(len(z))
+            innovations[reach:] = self._regress(z, np.column_stack([*self._lagged(z, lags, reach), dx[reach:]]), reach)[1]
+            self._set(z, dx, innovations, reach + max((*self.ar, *self.ma)))
+            for _ in range(REFITS):  # as long as the model's own errors explain more than the innovations before
+                best = (self.phi, self.theta, self.slopes, self.errors)
+                rss = float(self.errors @ self.errors)
+                self._set(z, dx, self.errors, max((*self.ar, *self.ma)))
+                now = float(self.errors @ self.errors)
+                if not now < rss * (1 - 1e-5):
+                    if not now < rss:
+                        self.phi, self.theta, self.slopes, self.errors = best
+                    break
+        n, k = len(z) - self.skip, len(self.phi) + len(self.theta) + len(self.slopes)
+        rss = float(self.errors @ self.errors)
+        if not np.isfinite(rss) or rss > 4.0 * float(z @ z) + 1e-9:
+            raise ValueError("past errors grow")
+        self.sigma = float(np.sqrt(rss / max(n - k, 1)))
+        # on the rows that every candidate has, so that criteria can be compared
+        own = self.errors[self.season + 1:] if len(z) > 2 * self.season + 2 else self.errors[self.skip:]
+        self.aic = float(len(own) * np.log(max(float(own @ own), 1e-12) / len(own)) + 2 * k)
+        self.past = _polynomial(dict(zip(self.ar, self.phi)), season, regular)
+
+    def _set(self, z: np.ndarray, dx: np.ndarray, innovations: np.ndarray, start: int) -> None:
+        beta, _ = self._regress(z, np.column_stack([*self._lagged(z, self.ar, start), *self._lagged(innovations, self.ma, start), dx[start:]]), start)
+        self.phi, self.theta, self.slopes = np.split(beta, [len(self.ar), len(self.ar) + len(self.ma)])
+        with np.errstate(over="ignore", invalid="ignore"):
+            self.errors = self._errors(z, dx)
+
+    @staticmethod
+    def _lagged(v: np.ndarray, lags, start: int) -> list[np.ndarray]:
+        return [v[start - lag:len(v) - lag] for lag in lags]
+
+    @staticmethod
+    def _regress(z: np.ndarray, design: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+        beta, *_ = np.linalg.lstsq(design, z[start:], rcond=None)
         if not np.isfinite(beta).all():
             raise ValueError("no finite solution")
-        residual = target - design @ beta
-        n, k = len(target), design.shape[1]
-        rss = float(residual @ residual)
-        self.sigma = float(np.sqrt(rss / max(n - k, 1)))
-        self.aic = float(n * np.log(max(rss, 1e-12) / n) + 2 * k)
-        self.slopes = beta[len(self.order):]
-        self.past = _polynomial(dict(zip(self.order, beta)), season, regular)
-        self.skip = len(y) - n
+        return beta, z[start:] - design @ beta
 
     def _difference(self, values: np.ndarray) -> np.ndarray:
         out = values[self.season:] - values[:-self.season]
         return out[1:] - out[:-1] if self.regular else out
 
-    def _drift(self, x: np.ndarray) -> np.ndarray:
-        """Regressor effect on the differenced scale, for rows that have a full past."""
-        return self._difference(x) @ self.slopes
-
-    def fitted(self, y: np.ndarray, x: np.ndarray) -> np.ndarray:
-        out = np.full(len(y), np.nan)
-        drift = self._drift(x)
-        reach, first = len(self.past), len(y) - len(drift)
-        start = max(reach, first)
-        windows = np.lib.stride_tricks.sliding_window_view(y, reach)[: len(y) - reach]
-        out[reach:] = windows @ self.past[::-1]
-        out[start:] += drift[start - first:]
-        out[:start] = np.nan
+    def _errors(self, z: np.ndarray, dx: np.ndarray) -> np.ndarray:
+        """One-step errors on the differenced scale; those before the first are 0."""
+        out = z - dx @ self.slopes
+        for lag, value in zip(self.ar, self.phi):
+            out[lag:] -= value * z[:-lag]
+        out[:self.skip] = 0.0
+        if self.ma:
+            terms = list(zip(self.ma, self.theta.tolist()))
+            errors = out.tolist()
+            for t in range(self.skip, len(errors)):
+                for lag, value in terms:
+                    if t >= lag:
+                        errors[t] -= value * errors[t - lag]
+            out = np.array(errors)
         return out
 
+    def fitted(self, y: np.ndarray) -> np.ndarray:
+        """One step ahead for each hour of the fitted series: differences are sums of known hours, so errors are those of the series."""
+        lost = len(y) - len(self.errors) + self.skip
+        return np.concatenate([np.full(lost, np.nan), y[lost:] - self.errors[self.skip:]])
+
     def ahead(self, y: np.ndarray, x: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
         """Forecasts and their standard errors; ``x`` covers history and future."""
-        reach = len(self.past)
+        reach, n = len(self.past), len(self.errors)
         path = np.concatenate([y[-reach:], np.zeros(steps)])
-        drift = self._drift(x)[-steps:]
-        psi = np.zeros(steps)
+        drift = (self._difference(x) @ self.slopes)[-steps:]
+        psi, weights = np.zeros(steps), dict(zip(self.ma, self.theta))
         lags = np.flatnonzero(self.past)
         for h in range(steps):
-            path[reach + h] = path[h:reach + h] @ self.past[::-1] + drift[h]
+            known = sum(value * self.errors[n + h - lag] for lag, value in weights.items() if h < lag <= n + h)
+            path[reach + h] = path[h:reach + h] @ self.past[::-1] + drift[h] + known
             earlier = lags[lags < h]
-            psi[h] = 1.0 if h == 0 else float(self.past[earlier] @ psi[h - 1 - earlier])
-            if h and len(earlier) == 0:
-                psi[h] = 0.0
+            psi[h] = 1.0 if h == 0 else float(self.past[earlier] @ psi[h - 1 - earlier]) + weights.get(h, 0.0)
         return path[reach:], self.sigma * np.sqrt(np.cumsum(psi**2))
 
 
 def _fit(y, x, season):
-    for regular, status in ((True, "ok"), (False, "fallback_order")):
+    """The candidate with the least criterion; where none can be fitted, one without the regular difference."""
+    found = []
+    for ar, ma in ORDERS:
         try:
-            return Autoregression(y, x, season, regular), status
+            found.append(SeasonalModel(y, x, season, True, ar, ma))
         except (ValueError, np.linalg.LinAlgError):
             continue
-    return None, "fit_failed"
+    if found:
+        return min(found, key=lambda m: m.aic), "ok"
+    try:
+        return SeasonalModel(y, x, season, False, (1,), ()), "fallback_order"
+    except (ValueError, np.linalg.LinAlgError):
+        return None, "fit_failed"
 
 
 def forecast_one(pdf: pd.DataFrame, settings: ForecastSettings) -> pd.DataFrame:
@@ -143,7 +198,7 @@ def forecast_one(pdf: pd.DataFrame, settings: ForecastSettings) -> pd.DataFrame:
         return out.iloc[:n].assign(model_status=status, holdout=False)[COLUMNS]
     yhat = np.full(len(out), np.nan)
     error = np.full(len(out), model.sigma)
-    yhat[:known] = model.fitted(y[:known], x[:known])
+    yhat[:known] = model.fitted(y[:known])
     steps = len(out) - known
     if steps:
         yhat[known:], error[known:] = model.ahead(y[:known], x, steps)

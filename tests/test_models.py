@@ -199,3 +199,62 @@ def test_forecast_short_series_are_skipped_or_fall_back():
     assert set(forecast.forecast_one(series(100), DEFAULTS.forecast).model_status) == {"skipped_low_rows"}
     tiny = replace(DEFAULTS.forecast, min_rows=10, horizon_hours=0)
     assert set(forecast.forecast_one(series(45), tiny).model_status) == {"fallback_order"}
+
+
+def simulated(n, ar, ma, seed=5, season=24):
+    """A series whose first and seasonal difference follows given coefficients, with calendar regressors that matter."""
+    rng = np.random.default_rng(seed)
+    hours = pd.date_range("2024-01-01", periods=n, freq="h")
+    x = forecast.exog(hours, "Queens")
+    drift = np.zeros(n)
+    drift[season + 1:] = np.diff((x[season:] - x[:-season]) @ np.array([5.0, -3.0, 2.0, 0.0]))
+    e, z = rng.normal(size=n), np.zeros(n)
+    for t in range(n):
+        z[t] = drift[t] + e[t] + sum(v * z[t - k] for k, v in ar.items() if t >= k) + sum(v * e[t - k] for k, v in ma.items() if t >= k)
+    y = np.zeros(n)
+    for t in range(n):
+        y[t] = z[t] + (y[t - 1] if t else 0) + (y[t - season] if t >= season else 0) - (y[t - season - 1] if t > season else 0)
+    return y + 1000.0, x, e
+
+
+def test_moving_average_terms_are_recovered():
+    y, x, e = simulated(8000, {1: 0.5}, {1: -0.4, 24: -0.6})
+    model = forecast.SeasonalModel(y, x, 24, True, (1,), (1, "season"))
+    assert model.phi == pytest.approx([0.5], abs=0.08) and model.theta == pytest.approx([-0.4, -0.6], abs=0.08)
+    # rush hours return every day, so the seasonal difference removes them
+    assert model.slopes == pytest.approx([5.0, -3.0, 0.0, 0.0], abs=0.6) and model.sigma == pytest.approx(1.0, abs=0.08)
+    assert np.corrcoef(model.errors[500:], e[-len(model.errors):][500:])[0, 1] > 0.97
+    assert np.allclose(y[60:] - model.fitted(y)[60:], model.errors[60 - 25:])
+    chosen, status = forecast._fit(y, x, 24)
+    assert status == "ok" and set(chosen.ma) == {1, 24} and chosen.aic <= model.aic
+
+
+def test_forecast_path_and_errors_equal_a_simulation():
+    """The mean path is the recursion without shocks, and a unit shock spreads by the weights behind the standard errors."""
+    y, x, _ = simulated(1500, {1: 0.5}, {24: -0.6})
+    model = forecast.SeasonalModel(y[:1400], x[:1400], 24, True, (1, "season"), (1, "season"))
+    steps = 60
+
+    def run(shock):
+        own, errors = list(y[:1400]), list(np.concatenate([np.zeros(25), model.errors]))
+        slope = np.concatenate([np.zeros(25), model._difference(x) @ model.slopes])
+        z = [0.0] * 25 + list(model._difference(y[:1400]))
+        for h in range(steps):
+            t = 1400 + h
+            errors.append(shock if h == 0 else 0.0)
+            z.append(slope[t] + errors[t] + sum(v * z[t - k] for k, v in zip(model.ar, model.phi)) + sum(v * errors[t - k] for k, v in zip(model.ma, model.theta)))
+            own.append(z[t] + own[t - 1] + own[t - 24] - own[t - 25])
+        return np.array(own[1400:])
+
+    path, error = model.ahead(y[:1400], x[:1400 + steps], steps)
+    assert np.allclose(path, run(0.0))
+    psi = run(1.0) - run(0.0)
+    assert np.allclose(error, model.sigma * np.sqrt(np.cumsum(psi**2)))
+
+
+def test_model_without_moving_average_is_plain_least_squares():
+    y, x, _ = simulated(600, {1: 0.3, 24: -0.2}, {})
+    model = forecast.SeasonalModel(y, x, 24, True)
+    z, dx = np.diff(y[24:] - y[:-24]), np.diff(x[24:] - x[:-24], axis=0)
+    beta, *_ = np.linalg.lstsq(np.column_stack([z[23:-1], z[:-24], dx[24:]]), z[24:], rcond=None)
+    assert np.allclose(np.concatenate([model.phi, model.slopes]), beta)
