@@ -70,6 +70,11 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", budget: int = SLICE
         start = stop
 
 
+def small_batches(spark: SparkSession, size: int = 2 * SLICE_BYTES) -> None:
+    """Arrow batches of about ``size`` bytes in this session: whole rows go through Python in few at a time, however long their texts. Results stay the same."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
 def crc_fold(column: str = "doc_id") -> Column:
     """The unsigned crc32 of an id's decimal text; null for a null id."""
     return F.crc32(F.encode(F.col(column).cast("string"), "UTF-8"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hackstand.llm.common import crc_fold, narrow, text_slices
+from hackstand.llm.common import crc_fold, narrow, small_batches, text_slices
 from hackstand.llm.words import raw_bytes
 
 #: Labelled rows and bytes that training takes at most, in the order of a hash of the id, half of each class; an id whose text doesn't fit is passed over.
@@ -194,6 +194,7 @@ def _good(model, at: int, least: float):
 
 def keep_good(df: DataFrame, net: Net | float, text_col: str = "text", least: float = 0.5) -> DataFrame:
     """The rows that score ``least`` or more, with all their columns. Rows stay in Arrow batches; only slices of texts are scored at a time."""
+    small_batches(df.sparkSession)
     model = df.sparkSession.sparkContext.broadcast(net)
     return df.mapInArrow(_good(model, df.columns.index(text_col), least), df.schema)
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hackstand.llm.common import narrow, text_slices
+from hackstand.llm.common import narrow, small_batches, text_slices
 
 KINDS = ("email", "ip", "card", "phone")
 #: Expected documents that training looks at, drawn by a hash of id and text.
@@ -359,6 +359,7 @@ def _redact(model, text_col: str):
 
 def redact(df: DataFrame, model: Trees | None, text_col: str = "text") -> DataFrame:
     """``df`` with each span replaced by its kind in brackets; overlapping spans give one sign, that of the first."""
+    small_batches(df.sparkSession)
     return df.mapInArrow(_redact(df.sparkSession.sparkContext.broadcast(model), text_col), df.schema)
 
 
