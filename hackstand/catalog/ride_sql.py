@@ -14,7 +14,7 @@ select event_id, k, case event_type when 'click' then 'yellow' when 'view' then
   case when k % 19 <> 0 then cast(user_id % 3 as integer) end as vendor_id, k % 6 + 1 as ratecode_id, k % 4 + 1 as payment_type_id,
   k % 7 as passenger_count, case when k % 23 <> 0 then {half('value/7e0')} end as trip_distance, value, value as fare_amount,
   {half('value*(k % 30)/100e0')} as tip_amount, {half('value*(k % 5)/50e0')} as tolls_amount,
-  'HV000' || cast(user_id % 4 + 2 as varchar) as hvfhs_license_num, {half('value*0.75e0')} as driver_pay,
+  'HV000' || cast(user_id % 4 + 2 as varchar) as hvfhs_license_num, 'B' || cast(user_id as varchar) as dispatching_base_num, {half('value*0.75e0')} as driver_pay,
   case when k % 5 = 0 then 'Y' else 'N' end as shared_request_flag, case when k % 10 = 0 then 'Y' else 'N' end as shared_match_flag,
   unnest(generate_series(1, case when k % 5 = 0 then 2 else 1 end)) as delivery
 from (select *, {_K} as k, date_trunc('second', ts) as moment from events))
@@ -41,4 +41,14 @@ select r.*, cast(pickup_datetime as date) as fecha_viaje, hour(pickup_datetime)
 from rides_judged r left join zones p on p.location_id = pu_location_id left join zones d on d.location_id = do_location_id
 where reject_reason is null
 """)
-define("rides", "select * from rides_all where delivery = 1")
+# the fields that make a trip, by service; of its deliveries within 48 hours after another only the first counts
+_TRIP = (f"case when {TAXI} then concat_ws('|', 't', coalesce(cast(vendor_id as varchar), ''), pickup_datetime, coalesce(cast(dropoff_datetime as varchar), ''), coalesce(cast(pu_location_id as varchar), '')) "
+         "when service_id = 'fhvhv' then concat_ws('|', 'h', hvfhs_license_num, request_datetime, pickup_datetime, coalesce(cast(dropoff_datetime as varchar), '')) "
+         "else concat_ws('|', 'f', dispatching_base_num, pickup_datetime, coalesce(cast(dropoff_datetime as varchar), '')) end")
+define("rides", f"""
+select * exclude (viaje, puesto, antes) from (
+  select *, lag(pickup_datetime) over (partition by viaje order by pickup_datetime, event_id, delivery) as antes,
+    row_number() over (partition by viaje, pickup_datetime order by event_id, delivery) as puesto
+  from (select *, {_TRIP} as viaje from rides_all))
+where puesto = 1 and (antes is null or pickup_datetime > antes + interval 48 hour or antes = pickup_datetime)
+""")

@@ -6,7 +6,9 @@ from hackstand import fixed_values as fv
 from hackstand.catalog.registry import query
 from hackstand.catalog.sql import compose, day
 from hackstand.catalog.tables import TRIP_ROLES
+from hackstand.plans import audit
 from hackstand.session import scratch_path
+from hackstand.settings import DEFAULTS
 from hackstand.sources import files, sinks
 
 _D = f"replace ({day('fecha_viaje')} as fecha_viaje)"
@@ -112,19 +114,27 @@ def _export(t):
     return t.spark.read.parquet(f"{source}-export")
 
 
-query("file_sizing", compose("""
+@query("file_sizing", compose("""
 select service_id, count(*) as filas, cast(greatest(1, least(32, ceil(count(*)/1000e0))) as integer) as archivos from trips group by 1
-"""))(lambda t: t.trips.groupBy("service_id").agg(F.count(F.lit(1)).alias("filas")).withColumn(
-    "archivos", F.greatest(F.lit(1), F.least(F.lit(sinks.target_files(10**12)), F.ceil(F.col("filas") / 1000.0))).cast("int")))
+"""))
+def _sizing(t):
+    counts = t.trips.groupBy("service_id").agg(F.count(F.lit(1)).alias("filas")).collect()  # four services
+    rows = [(r["service_id"], r["filas"], sinks.target_files(r["filas"], 1000)) for r in counts]
+    return t.spark.createDataFrame(rows, "service_id string, filas long, archivos int")
+
+
 query("export_cluster_artifacts", compose("""
 select service_id, franja_horaria, count(*) as count from kfeat where service_id in ('yellow', 'green', 'fhvhv') group by 1,2
 """))(lambda t: sinks.merge_artifacts({s: t.cluster_features.filter(F.col("service_id") == s).groupBy("franja_horaria").count()
                                        for s in ("yellow", "green", "fhvhv")}))
 
 
-@query("audit_append", compose("select audit_id, source_file, rowcount_quality from audit_s"))
+@query("audit_append", compose(
+    "select pipeline, filas from (select service_id as pipeline, count(*) as filas from trips group by 1) union all select 'todos', count(*) from trips"))
 def _append(t):
+    """One run is appended per service and one for all, each as a record of its own."""
     path = scratch_path(t.spark, "audit")
-    for log in (t.audit_silver.filter("rowcount_quarantined > 20"), t.audit_silver.filter("rowcount_quarantined <= 20")):
-        log.write.mode("append").parquet(path)
-    return t.spark.read.parquet(path).select("audit_id", "source_file", "rowcount_quality")
+    counts = t.trips.groupBy("service_id").agg(F.count(F.lit(1)).alias("n")).orderBy("service_id").collect()  # four services
+    for name, rows in [*((r["service_id"], r["n"]) for r in counts), ("todos", sum(r["n"] for r in counts))]:
+        audit.append_run(t.spark, path, {"pipeline": name, "filas": rows}, DEFAULTS)
+    return t.spark.read.parquet(path).select("pipeline", "filas")

@@ -47,9 +47,9 @@ select service_id, fecha_viaje, bloque_horario, pu_location_id, count(*) as viaj
 from rides group by 1,2,3,4
 """)
 define("live_operational", f"""
-select service_id, fecha_viaje, bloque_horario, pu_location_id, count(*) as viajes, {xsum('trip_duration_minutes')} as duracion_total_min,
+select service_id, fecha_viaje, bloque_horario, pu_location_id, count(*) as viajes, sum(cast(round(trip_duration_minutes*60) as bigint))/60e0 as duracion_total_min,
   {xsum('trip_distance')} as distancia_total_millas, {xsum('case when trip_duration_minutes > 0 and trip_distance > 0 then trip_distance end')} as millas_validas_sum,
-  {half(xsum('case when trip_duration_minutes > 0 and trip_distance > 0 then trip_duration_minutes end') + '/60e0', 4)} as horas_validas_sum,
+  {half("sum(case when trip_duration_minutes > 0 and trip_distance > 0 then cast(round(trip_duration_minutes*60) as bigint) end)/3600e0", 4)} as horas_validas_sum,
   count(case when shared_request_flag = 'Y' then 1 end) as solicitud_compartida, count(case when shared_match_flag = 'Y' then 1 end) as match_compartido
 from rides group by 1,2,3,4
 """)

@@ -100,7 +100,9 @@ def listing(spark: SparkSession, root: str) -> DataFrame:
 
 
 def partition_value(path, key: str):
-    return F.regexp_extract(path, rf"/{key}=([^/]+)/", 1)
+    """A partition's value as its folder names it, with the writer's escapes undone (a space or slash is a percent code there)."""
+    raw = F.regexp_extract(path, rf"/{key}=([^/]+)/", 1)
+    return F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
 
 
 def present_months(spark: SparkSession, root: str, category_key: str = "service_id") -> DataFrame:

@@ -54,13 +54,14 @@ def financial(rides: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 def operational(rides: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     miles = F.when(rules.is_taxi(F.col("service_id")), F.col("trip_distance")).otherwise(F.col("trip_miles"))
     length = F.col("trip_duration_minutes")
+    seconds = F.round(length * 60.0).cast("long")  # whole seconds add up exactly; rounded minutes do not
     usable = (length > 0) & (miles > 0)
     return _grouped(rides, KEYS["operational"], "1 day", settings).agg(
         F.count(F.lit(1)).alias("viajes"),
-        exact_sum(length).alias("duracion_total_min"),
+        (F.sum(seconds) / 60.0).alias("duracion_total_min"),
         exact_sum(miles).alias("distancia_total_millas"),
         exact_sum(F.when(usable, miles)).alias("millas_validas_sum"),
-        half_up(exact_sum(F.when(usable, length)) / 60.0, 4).alias("horas_validas_sum"),
+        half_up(F.sum(F.when(usable, seconds)) / 3600.0, 4).alias("horas_validas_sum"),
         count_where(F.col("shared_request_flag") == "Y").alias("solicitud_compartida"),
         count_where(F.col("shared_match_flag") == "Y").alias("match_compartido"),
     ).drop("_window")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hackstand import fixed_values as fv
 from hackstand.functions import clock, rules
 from hackstand.functions.numeric import half_up
+from hackstand.operators.selection import top_n_per_group
 from hackstand.operators.zones import with_zone
 from hackstand.settings import DEFAULTS, Settings
 
@@ -109,8 +110,16 @@ def enrich(accepted: DataFrame, zones: DataFrame, settings: Settings = DEFAULTS)
 
 
 def first_delivery(rides: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """One event per trip id within the state window; plain distinct on a batch."""
-    if not rides.isStreaming:
-        return rides.dropDuplicates(["trip_id"])
+    """One event per trip id within the state window, on a batch as on a stream: an event within ``state_hours`` after another of its
+    trip is a repeat. Of events at one time the first stays: by ``event_id`` where there is one, else by content.
+
+    On a batch, events of one trip and time are cut to one per task before the shuffle; what is then compared per trip is one row per time.
+    """
     late = f"{settings.speed.state_hours} hours"
-    return rides.withWatermark("pickup_datetime", late).dropDuplicatesWithinWatermark(["trip_id"])
+    if rides.isStreaming:
+        return rides.withWatermark("pickup_datetime", late).dropDuplicatesWithinWatermark(["trip_id"])
+    first = "event_id" if "event_id" in rides.columns else F.xxhash64(*[c for c, kind in rides.dtypes if not kind.startswith("map")])
+    once = top_n_per_group(rides, ["trip_id", "pickup_datetime"], [first], 1).drop("_rank")
+    before = F.lag("pickup_datetime").over(Window.partitionBy("trip_id").orderBy("pickup_datetime"))
+    fresh = before.isNull() | (F.col("pickup_datetime") > before + F.make_dt_interval(F.lit(0), F.lit(settings.speed.state_hours)))
+    return once.withColumn("_fresh", fresh).filter("_fresh").drop("_fresh")

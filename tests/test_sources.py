@@ -77,3 +77,12 @@ def test_half_written_partition_is_rebuilt(spark, tmp_path):
     assert sinks.committed_partitions(spark, path).count() == 3
     sinks.write_incremental(df, path)
     assert files.scan_mart(spark, path).count() == 30
+
+
+def test_incremental_finds_keys_with_escaped_names(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    df = spark.createDataFrame([("a b/c+d%", 1), ("plain", 2), (None, 3)], "k string, n int")
+    sinks.write_partitioned(df, path, ("k",))
+    assert {r.k for r in sinks.committed_partitions(spark, path, ("k",)).collect()} == {"a b/c+d%", "plain", None}
+    sinks.write_incremental(df.withColumn("n", F.col("n") + 10), path, ("k",))
+    assert sorted(r.n for r in files.scan_mart(spark, path).collect()) == [1, 2, 3]

@@ -159,3 +159,10 @@ def test_crash_during_compaction_loses_nothing(spark, tmp_path):
     write_batch(spark, path, 4, [("a", 4)])
     os.remove(f"{path}/{sinks.BATCH}=4/_SUCCESS")  # a batch that has not ended does not show
     assert {r.k: r.n for r in sinks.latest(spark, path, ["k"]).collect()} == want
+
+
+def test_batch_dedup_has_the_window_and_the_order_of_the_stream(spark):
+    rows = [("a", "2024-01-01 00:00:00", 5), ("a", "2024-01-01 00:00:00", 2), ("a", "2024-01-02 12:00:00", 1), ("a", "2024-01-04 12:00:00", 3),
+            ("a", "2024-01-06 12:00:01", 4), ("b", "2024-01-01 00:00:00", 9)]
+    df = spark.createDataFrame(rows, "trip_id string, s string, event_id int").select("trip_id", "event_id", F.to_timestamp("s").alias("pickup_datetime"))
+    assert sorted(r.event_id for r in rides.first_delivery(df).collect()) == [2, 4, 9]
