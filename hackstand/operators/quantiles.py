@@ -27,7 +27,8 @@ def exact_quantiles(df: DataFrame, keys, value: str, wanted: dict[str, float], a
     decides the cost of the result and never its value. Counts combine on the map side: a group of any size is spread over
     all tasks, and what meets per group and quantile is a row per sub-interval.
     """
-    x = df.select(*keys, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+    # up to three passes: the narrow rows are written once, so that nothing before them is computed again
+    x = materialise(df.select(*keys, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull()), "values")
     brackets, rest, found = materialise(_sketched(x, keys, wanted, accuracy), "brackets"), x, None
     while True:
         narrowed = materialise(_narrowed(rest, brackets, keys, first=rest is x), "brackets")
