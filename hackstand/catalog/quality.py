@@ -98,6 +98,20 @@ for _dim, _rows in METRIC_SQL.items():
     query(f"dq_{_dim}", compose(_long([(_dim, m, _plain(v), _plain(ok)) for m, v, ok in _rows], _FLAGGED)))(
         lambda t, d=_dim: q.metrics(q.measure(t.trips, t.zones, PROFILE), PROFILE, d))
 
+_NULLS = " union all ".join(
+    f"select {_S}, '{c}' as \"column\", count(*) - count({c}) as null_count, {str(c in PROFILE.nullable).lower()} as nullable, {pct(f'(count(*) - count({c}))', 'count(*)', 4)} as null_pct "
+    "from trips group by 1, 2, 3" for c in COLUMNS)
+query("dq_emptiest_columns", compose(f"""
+select * exclude (rn) from (select *, row_number() over (partition by {_S} order by null_pct desc, "column") as rn from ({_NULLS}) where null_count > 0) where rn <= 15
+"""))(lambda t: q.emptiest_columns(t.trips, PROFILE))
+_IDS = (f"select {_S}, 0 as e, 'pickup_location_id' as \"column\", pickup_location_id as value from {_FLAGGED} where bad_pu union all "
+        f"select {_S}, 1, 'dropoff_location_id', dropoff_location_id from {_FLAGGED} where bad_do")
+query("dq_unknown_zones", compose(f"""
+select * exclude (rn, e, least_e) from (
+  select *, row_number() over (partition by {_S} order by ocurrencias desc, value) as rn from (
+    select *, min(e) over (partition by {_S}) as least_e from (select {_S}, e, "column", value, count(*) as ocurrencias from ({_IDS}) group by all)) where e = least_e) where rn <= 5
+"""))(lambda t: q.unknown_zones(t.trips, t.zones, PROFILE))
+
 _KEYED = f"(select {_S}, order_key, line_no, count(*) as n from trips group by all)"
 query("dq_uniqueness", compose(f"""
 select {_S}, cast(sum(n) as bigint) as total_rows, cast(sum(case when n > 1 then n else 0 end) as bigint) as duplicated_rows,

@@ -348,3 +348,29 @@ def invalid_values(df: DataFrame, p: Profile, dictionary: DataFrame, n: int = 5)
         .groupBy("column", "value").agg(F.sum("n").alias("ocurrencias"))
     )
     return top_n_per_group(counts, ["column"], [F.col("ocurrencias").desc(), F.col("value")], n).drop("_rank")
+
+
+def emptiest_columns(df: DataFrame, p: Profile, n: int = 15) -> DataFrame:
+    """Per file the n columns with the largest share of nulls, those without nulls left out. One pass for all columns and files."""
+    scope = list(p.roles.scope)
+    counts = df.groupBy(*scope).agg(F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(c)).alias(f"_c{i}") for i, c in enumerate(p.columns)])
+    optional = {c.lower() for c in p.nullable}
+    tall = counts.select(*scope, "_rows", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), (F.col("_rows") - F.col(f"_c{i}")).alias("null_count"), F.lit(c.lower() in optional).alias("nullable")) for i, c in enumerate(p.columns)])))
+    found = tall.filter("null_count > 0").withColumn("null_pct", percent(F.col("null_count"), F.col("_rows"), 4)).drop("_rows")
+    return top_n_per_group(found, scope, [F.col("null_pct").desc(), F.col("column")], n).drop("_rank")
+
+
+def unknown_zones(df: DataFrame, zones: DataFrame, p: Profile, n: int = 5) -> DataFrame:
+    """Per file up to n zone ids that no zone has, the most frequent first: those of the pick-up, or of the drop-off where all pick-ups are known.
+
+    Ids are counted before they are looked up, so the lookup sees one row per file and id.
+    """
+    scope = list(p.roles.scope)
+    ends = [(i, c) for i, c in enumerate((p.roles.pu, p.roles.do)) if c is not None]
+    ids = df.select(*scope, F.inline(F.array(*[F.struct(F.lit(i).alias("_end"), F.lit(c).alias("column"), F.col(c).alias("value")) for i, c in ends])))
+    counts = ids.filter(F.col("value").isNotNull()).groupBy(*scope, "_end", "column", "value").agg(F.count(F.lit(1)).alias("ocurrencias"))
+    bad = flag_known_zone(counts, zones, "value", "_known").filter(F.col("_known").isNull()).drop("_known")
+    first = bad.groupBy(*[F.col(c).alias(f"_s_{c}") for c in scope]).agg(F.min("_end").alias("_first"))
+    shown = bad.join(first, [*[F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in scope], F.col("_end") == F.col("_first")]).drop("_first", "_end", *[f"_s_{c}" for c in scope])
+    return top_n_per_group(shown, scope, [F.col("ocurrencias").desc(), F.col("value")], n).drop("_rank")
