@@ -30,8 +30,28 @@ select service_id, file_year as year, file_month as month, order_key, line_no, p
 where service_id = 'yellow' and file_year = 1997 and file_month in (3, 4)
 """))
 def _month(t):
-    path = _stored(t, _trips(t), "trips")
-    return files.scan_mart(t.spark, path, [1997], [3, 4]).filter("service_id = 'yellow'")
+    """Two months as files whose keys differ in width, and a month that is absent."""
+    root, trips = scratch_path(t.spark, "months"), _trips(t).filter("service_id = 'yellow' and year = 1997")
+    for month, kind in ((3, "int"), (4, "long")):
+        one = trips.filter(F.col("month") == month).drop("year", "month").withColumn("order_key", F.col("order_key").cast(kind))
+        one.write.parquet(files.month_path(root, "yellow", 1997, month))
+    found = files.read_months(t.spark, root, files.expand_targets([("yellow", 1997, m) for m in (3, 4, 5)]))["yellow"]
+    return found.select("service_id", F.col("file_year").alias("year"), F.col("file_month").alias("month"), "order_key", "line_no", "part_key", "fare_amount")
+
+
+@query("month_footers", compose("""
+select category, year, month, filas, case when filas is null then 'absent' end as error from (
+  select c as category, cast(1998 as integer) as year, cast(m as integer) as month from (values ('green'), ('fhv')) s(c), generate_series(1, 4) b(m))
+left join (select service_id as category, file_year as year, file_month as month, count(*) as filas from trips
+           where service_id = 'green' and file_year = 1998 and file_month in (1, 2) group by 1,2,3) using (category, year, month)
+"""))
+def _month_footers(t):
+    """Rows of each wanted month as its footers tell them, without a scan."""
+    root, trips = scratch_path(t.spark, "months"), _trips(t).filter("service_id = 'green' and year = 1998")
+    for month in (1, 2):
+        trips.filter(F.col("month") == month).write.parquet(files.month_path(root, "green", 1998, month))
+    wanted = files.expand_targets([(c, 1998, m) for c in ("green", "fhv") for m in range(1, 5)])
+    return files.month_footers(t.spark, root, wanted).groupBy("category", "year", "month").agg(F.sum("rows").alias("filas"), F.min("error").alias("error"))
 
 
 @query("src_zone_lookup", compose("select location_id as \"LocationID\", borough as \"Borough\", zone as \"Zone\", 'zone ' || zone as service_zone from zones"))
@@ -114,6 +134,17 @@ def _export(t):
     return t.spark.read.parquet(f"{source}-export")
 
 
+@query("export_drift", compose("""
+select 'recargo' as name, 'double' as kinds, (select count(*) from (select distinct service_id, year, month from demand where year > 1998)) as present,
+  (select count(*) from (select distinct service_id, year, month from demand)) as groups
+"""))
+def _drift(t):
+    """A column that came in a later year, found in the footers."""
+    path = _stored(t, t.demand.filter("year <= 1998"))
+    sinks.write_incremental(t.demand.withColumn("recargo", F.lit(0.5)), path)
+    return sinks.export_drift(t.spark, path).withColumn("kinds", F.array_join("kinds", ","))
+
+
 @query("file_sizing", compose("""
 select service_id, count(*) as filas, cast(greatest(1, least(32, ceil(count(*)/1000e0))) as integer) as archivos from trips group by 1
 """))

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hackstand import fixed_values as fv
 from hackstand.operators.cleaning import FILE, ROW
-from hackstand.operators.columns import union_drift
+from hackstand.session import materialise
+from hackstand.sources.footers import read_footers, read_grouped
 
 ZONE_SCHEMA = "LocationID int, Borough string, Zone string, service_zone string"
 DICTIONARY_SCHEMA = "nombre_campo string, tipo_dato string, valor string"
@@ -61,23 +61,52 @@ def read_month(spark: SparkSession, root: str, category: str, year: int, month:
     )
 
 
+def month_names(spark: SparkSession, root: str) -> list[str]:
+    """Names of the category-months below ``root``, from one listing of the storage; a month is a file or a folder of files."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/*/*.parquet")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return [status.getPath().toString() for status in found or ()]
+
+
+def month_footers(spark: SparkSession, root: str, targets) -> DataFrame:
+    """category, year, month with the footer of each of its files; months without a file have one row with the error ``absent``.
+
+    A month whose folder holds no file has the error ``no data files``.
+    """
+    named = spark.createDataFrame([(n,) for n in month_names(spark, root)], "name string")
+    keys = lambda c: [
+        F.regexp_extract(c, MONTH_FILE, 1).alias("category"), F.regexp_extract(c, MONTH_FILE, 2).cast("int").alias("year"),
+        F.regexp_extract(c, MONTH_FILE, 3).cast("int").alias("month")]
+    dated = lambda df, c: df.filter(F.col(c).rlike(MONTH_FILE))
+    wanted = targets_frame(spark, targets)
+    on = ["category", "year", "month"]
+    months = dated(named, "name").select(*keys(F.col("name")), F.lit(True).alias("named")).distinct()
+    files = dated(listing(spark, root), "path").select("*", *keys(F.col("path"))).join(wanted, on, "left_semi")
+    read = read_footers(files.select("path", "length")).select("*", *keys(F.col("path")))
+    state = F.coalesce(F.col("error"), F.when(F.col("path").isNull(), F.when(F.col("named"), "no data files").otherwise("absent")))
+    return wanted.join(months, on, "left").join(read, on, "left").select(*on, "path", "bytes", "rows", "columns", state.alias("error"))
+
+
 def read_months(spark: SparkSession, root: str, targets, unreadable: list | None = None) -> dict[str, DataFrame]:
-    """All months of each category as one frame; columns that came later are NULL before.
+    """All months of each category as one frame, by one read per distinct schema; columns that came later are NULL before.
 
-    An unreadable month raises, unless ``unreadable`` is given: then it is added there for the caller to handle.
+    An unreadable month raises, unless ``unreadable`` is given: then it is added there for the caller to handle. Absent months are left out.
     """
-    found: dict[str, list[DataFrame]] = {}
-    for category, year, month in targets:
-        try:
-            frame = read_month(spark, root, category, year, month)
-        except AnalysisException as error:
-            if unreadable is None:
-                raise
-            unreadable.append((category, year, month, str(error)))
-            continue
-        if frame is not None:
-            found.setdefault(category, []).append(frame)
-    return {c: union_drift(frames) for c, frames in found.items()}
+    footers = materialise(month_footers(spark, root, targets), "footers")
+    bad = footers.filter("error is not null and error <> 'absent'").orderBy("category", "year", "month", "path").collect()
+    if bad and unreadable is None:
+        raise AnalysisException(f"unreadable months: {', '.join(f'{r.category} {r.year}-{r.month:02d} ({r.error})' for r in bad)}")
+    skipped = {(r.category, r.year, r.month) for r in bad}
+    for r in bad:
+        if (r.category, r.year, r.month) not in {m[:3] for m in unreadable}:
+            unreadable.append((r.category, r.year, r.month, r.error))
+    if skipped:  # a month with one damaged file is not read in part
+        footers = footers.join(F.broadcast(targets_frame(spark, skipped)), ["category", "year", "month"], "left_anti")
+    path = F.col("_metadata.file_path")
+    extra = [F.regexp_extract(path, MONTH_FILE, 2).cast("int").alias("file_year"), F.regexp_extract(path, MONTH_FILE, 3).cast("int").alias("file_month"),
+             path.alias(FILE), F.col("_metadata.row_index").alias(ROW)]
+    frames = {c: read_grouped(spark, footers.filter((F.col("category") == c) & F.col("path").isNotNull()), extra=extra) for c in dict.fromkeys(t[0] for t in targets)}
+    return {c: frame for c, frame in frames.items() if frame is not None}
 
 
 def zone_lookup(spark: SparkSession, csv: str) -> DataFrame:
@@ -106,9 +135,9 @@ def partition_value(path, key: str):
 
 
 def present_months(spark: SparkSession, root: str, category_key: str = "service_id") -> DataFrame:
-    """Category-months that hold at least one non-empty file of a partitioned table."""
+    """Category-months of a partitioned table that hold at least one file whose footer can be read."""
     path = F.col("path")
-    return listing(spark, root).filter("length > 0").select(
+    return read_footers(listing(spark, root)).filter("error is null").select(
         partition_value(path, category_key).alias("category"),
         partition_value(path, "year").cast("int").alias("year"),
         partition_value(path, "month").cast("int").alias("month"),
@@ -142,35 +171,16 @@ def inventory_pivot(counts: DataFrame) -> DataFrame:
 
 
 def scan_mart(spark: SparkSession, path: str, years=None, months=None, integers=()) -> DataFrame:
-    """A partitioned mart; year and month prune folders, drifted number types are cast back."""
-    try:
-        df = spark.read.option("basePath", path).option("mergeSchema", True).parquet(path)
-    except (PySparkException, Py4JJavaError) as error:
-        if "CANNOT_MERGE" not in str(error):
-            raise
-        df = _scan_folders(spark, path, integers)
-    for key, wanted in (("year", years), ("month", months)):
-        if wanted is not None and key in df.columns:
+    """A partitioned mart, by one read per distinct schema; year and month choose the files, drifted number types are cast back."""
+    files = listing(spark, path)
+    limits = [(k, wanted) for k, wanted in (("year", years), ("month", months)) if wanted is not None]
+    for key, wanted in limits:
+        value = partition_value(F.col("path"), key)
+        files = files.filter((value == "") | value.cast("int").isin(*wanted))
+    df = read_grouped(spark, read_footers(files), path, integers)
+    if df is None:  # no file is left: the table's own columns, without rows
+        df = spark.read.option("basePath", path).parquet(path).limit(0)
+    for key, wanted in limits:
+        if key in df.columns:
             df = df.filter(F.col(key).isin(*wanted))
     return df.withColumns({c: F.col(c).cast("long") for c in integers if c in df.columns})
-
-
-def _scan_folders(spark: SparkSession, path: str, integers) -> DataFrame:
-    """Union of the partition folders when a column's number type differs between them.
-
-    The loop runs over folder names (months), not over data.
-    """
-    folder = F.regexp_replace("path", r"/[^/]+$", "")
-    folders = [r[0] for r in listing(spark, path).select(folder.alias("f")).distinct().orderBy("f").collect()]
-    frames = [spark.read.option("basePath", path).parquet(f) for f in folders]
-    kinds: dict[str, set] = {}
-    for frame in frames:
-        for name, kind in frame.dtypes:
-            kinds.setdefault(name, set()).add(kind)
-    whole = {"tinyint", "smallint", "int", "bigint"}
-    mixed = {
-        name: "long" if name in integers or found <= whole else "double"
-        for name, found in kinds.items() if len(found) > 1 and found <= whole | {"float", "double"}
-    }
-    return union_drift([
-        f.withColumns({n: F.col(n).cast(kind) for n, kind in mixed.items() if n in f.columns}) for f in frames])

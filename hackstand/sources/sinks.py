@@ -11,6 +11,7 @@ from hackstand.operators.cleaning import FILE, REASON, ROW
 from hackstand.operators.columns import union_drift
 from hackstand.session import materialise
 from hackstand.sources.files import exists, listing, partition_value, scan_mart
+from hackstand.sources.footers import drift_report, read_footers
 
 ROWS_PER_FILE = 2_000_000
 KEYS = ("service_id", "year", "month")
@@ -84,14 +85,19 @@ def read_reject(spark: SparkSession, path: str) -> DataFrame:
 
 
 def export_table(spark: SparkSession, source: str, target: str, rows_per_file: int = 5 * ROWS_PER_FILE) -> int:
-    """A partitioned table as plain snappy parquet with its keys as columns.
+    """A partitioned table as plain snappy parquet with its keys as columns. Returns the number of files.
 
-    One file while the table is small, more beyond ``rows_per_file``. Returns the number of files.
+    Rows are gathered by size, so a small table is one file; none holds more than ``rows_per_file``.
     """
-    df = scan_mart(spark, source)
-    files = max(1, math.ceil(df.count() / rows_per_file))
-    df.coalesce(files).write.mode("overwrite").option("compression", "snappy").parquet(target)
-    return files
+    writer = _sized(scan_mart(spark, source), ()).write.mode("overwrite").option("compression", "snappy")
+    writer.option("maxRecordsPerFile", rows_per_file).parquet(target)
+    return listing(spark, target).count()
+
+
+def export_drift(spark: SparkSession, source: str, keys=KEYS) -> DataFrame:
+    """Columns that only some partitions of ``source`` hold, from the footers: name, kinds, present, groups."""
+    files = read_footers(listing(spark, source))
+    return drift_report(files.select("*", *[partition_value(F.col("path"), k).alias(k) for k in keys]), *keys)
 
 
 def drifted_columns(spark: SparkSession, paths) -> list[str]:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from hackstand.plans import audit
 from hackstand.settings import DEFAULTS
-from hackstand.sources import files, sinks
+from hackstand.sources import files, footers, sinks
 
 
 def test_targets():
@@ -86,3 +86,47 @@ def test_incremental_finds_keys_with_escaped_names(spark, tmp_path):
     assert {r.k for r in sinks.committed_partitions(spark, path, ("k",)).collect()} == {"a b/c+d%", "plain", None}
     sinks.write_incremental(df.withColumn("n", F.col("n") + 10), path, ("k",))
     assert sorted(r.n for r in files.scan_mart(spark, path).collect()) == [1, 2, 3]
+
+
+def test_footers_tell_rows_schemas_and_damage(spark, tmp_path):
+    root = str(tmp_path)
+    for year, sql in ((2023, "select 1 as a from range(3)"), (2024, "select 2L as a, 'x' as b from range(4)")):
+        spark.sql(sql).coalesce(1).write.parquet(files.month_path(root, "green", year, 1))
+    (tmp_path / "green" / "2024-02.parquet").write_bytes(b"PAR1 cut off")
+    (tmp_path / "green" / "2024-03.parquet").mkdir()
+    targets = files.expand_targets([("green", 2023, 1), *[("green", 2024, m) for m in (1, 2, 3, 4)]])
+    rows = {(r.year, r.month): r for r in files.month_footers(spark, root, targets).collect()}
+    assert (rows[2023, 1].rows, rows[2024, 1].rows) == (3, 4)
+    assert [(c.name, c.kind) for c in rows[2024, 1].columns] == [("a", "int64"), ("b", "string")]
+    assert rows[2024, 2].error and rows[2024, 2].rows is None
+    assert (rows[2024, 3].error, rows[2024, 4].error) == ("no data files", "absent")
+    unreadable = []
+    green = files.read_months(spark, root, targets, unreadable)["green"]
+    assert sorted(m[:3] for m in unreadable) == [("green", 2024, 2), ("green", 2024, 3)]
+    assert sorted((r.file_year, r.a, r.b) for r in green.distinct().select("file_year", "a", "b").distinct().collect()) == [(2023, 1, None), (2024, 2, "x")]
+    assert green.count() == 7 and dict(green.dtypes)["a"] == "bigint"
+    groups = footers.schema_groups(files.month_footers(spark, root, targets).filter("path is not null"))
+    assert sorted((r.files, r.rows, r.unreadable) for r in groups.collect() if r["columns"]) == [(1, 3, 0), (1, 4, 0)]
+
+
+def test_mart_with_drifted_kinds_reads_once_per_schema(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    kinds = ("int", "bigint", "double")
+    for month in range(1, 13):
+        spark.range(5).selectExpr(f"cast(id as {kinds[month % 3]}) as n", f"'{month}' as label", f"{month} as month").write.mode("append").partitionBy("month").parquet(path)
+    df = files.scan_mart(spark, path)
+    assert dict(df.dtypes)["n"] == "double" and df.count() == 60
+    assert df._jdf.queryExecution().analyzed().toString().count("parquet") <= len(kinds)
+    assert dict(files.scan_mart(spark, path, integers=("n",)).dtypes)["n"] == "bigint"
+    assert {r.label for r in files.scan_mart(spark, path, months=[3, 4]).collect()} == {"3", "4"}
+    assert files.scan_mart(spark, path, months=[99]).count() == 0
+    with open(f"{path}/month=3/broken.parquet", "wb") as out:
+        out.write(b"no parquet")
+    with pytest.raises(AnalysisException, match="unreadable files"):
+        files.scan_mart(spark, path)
+
+
+def test_file_names_with_pattern_signs(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    spark.createDataFrame([("a[b]*", 1), ("{c}?", 2), ("x y/%41", 3)], "k string, n int").write.partitionBy("k").parquet(path)
+    assert sorted((r.k, r.n) for r in files.scan_mart(spark, path).collect()) == [("a[b]*", 1), ("x y/%41", 3), ("{c}?", 2)]
