@@ -1,5 +1,6 @@
 """Nulls, empty and very long texts, ties and repeated rows, empty tables and clashing column names, for every operator."""
 
+import random
 import zlib
 
 import numpy as np
@@ -230,3 +231,24 @@ def test_op3_long_text_costs_one_row(spark):
     first = df.where("doc_id % 2 = 0").orderBy(F.xxhash64(F.lit(3), "doc_id")).first()["doc_id"]
     df = df.withColumn("text", F.when(F.col("doc_id") == first, F.repeat(F.lit("long "), 1000)).otherwise(F.col("text")))
     assert isinstance(op3.fit(df, df.select("doc_id", (F.col("doc_id") % 2).alias("quality")), size=2000), op3.Net)
+
+
+def test_op5_secrets_recall_and_precision():
+    """Trees taught on some texts find planted secrets of others, with their exact ends, and leave lookalikes alone."""
+    rng = random.Random(5)
+    words = ["ordinary", "winter", "harbour", "letters", "number", "follow", "street", "under"]
+    fill = lambda: " ".join(rng.choice(words) for _ in range(25))
+    taught = [op5.examples(f"{fill()} mail jane{i}@host{i}.example or +1 555 {1000 + i} 22 {fill()}") for i in range(250)]
+    flat = lambda part: (np.array([f for r in part for f, _ in r]), np.array([y for r in part for _, y in r], float))
+    model = op5.boost(*flat(taught[:180]))
+    op5.calibrate(model, *flat(taught[180:]))
+    found = right = planted = 0
+    for i in range(300):
+        value = op5.made_secret(rng)
+        text = f"{fill()} " + op5.ASSIGNMENTS[i % len(op5.ASSIGNMENTS)].format(n=op5.NAMES[i % len(op5.NAMES)], v=value) + f" {fill()}"
+        text += f" commit {i:040x} and release-2021-{words[i % 8]}-notes {fill()}"
+        at = text.index(value)
+        added = op5.spans(text, model)[1]
+        planted, found, right = planted + 1, found + len(added), right + ((at, 4, at + len(value)) in added)
+    assert right / planted >= 0.9 and right / found >= 0.95, (planted, found, right)
+    assert op5.redacted('x token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" y', model) == 'x token = "[SECRET]" y'
