@@ -1,7 +1,8 @@
 """Benchmark decontamination by spaced seeds: DataFrame functions only.
 
 Words are lower-cased (A-Z) and cut at ASCII white space. Each fixed mask says which words of a window count; the window's
-hash skips the others, so a changed word under a gap does no harm. Hashes of all windows of all documents meet those of
+hash skips the others, so a changed word under a gap does no harm. All masks count both ends of a window; the pair of ends is looked up
+first, and only windows whose ends stand in the benchmark are hashed by the masks. Hashes of all windows of all documents meet those of
 the benchmark; around each hit the benchmark window of up to ``WINDOW`` words is laid beside the document, and the pair
 stands if at least ``SHARE`` per cent of its words are equal in place.
 
@@ -32,24 +33,29 @@ def _words(text: str) -> Column:
     return F.split(F.trim(F.translate(text, UPPER, LOWER), F.lit(SPACES)), "[ \\t-\\r]+")
 
 
-def _seeds(df: DataFrame, keep: list[str]) -> DataFrame:
-    """One row per mask and window: ``keep``, pos, seed.
+def _windows(df: DataFrame, keep: list[str]) -> DataFrame:
+    """One row per window: ``keep``, h (hashes of all words), pos, pair (hash of the window's two ends, which every mask counts).
 
-    The seeds of a text are made inside an array of word hashes; exploding then copies one number, never the words.
+    Windows are made inside an array; exploding copies numbers, and h goes along by reference up to the next join. The outer form keeps
+    Spark from testing the array for emptiness first, which would make it twice; a text without a window has one row without a pair.
     """
-    hashed = df.where(F.size("words") >= REACH).select(*keep, F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
-    seeds = F.transform(F.sequence(F.lit(0), F.size("h") - REACH), lambda i: F.array(*[
-        F.xxhash64(F.lit(m), *[F.get("h", i + k) for k, c in enumerate(mask) if c == "1"]) for m, mask in enumerate(MASKS)]))
-    exploded = hashed.select(*keep, F.posexplode(F.flatten(seeds)).alias("n", "seed"))
-    return exploded.select(*keep, F.floor(F.col("n") / len(MASKS)).cast("int").alias("pos"), "seed")
+    hashed = df.select(*keep, F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
+    ends = F.zip_with(F.slice("h", 1, F.greatest(F.size("h") - (REACH - 1), F.lit(0))), F.slice("h", REACH, F.size("h")), lambda a, b: F.xxhash64(a, b))
+    return hashed.select(*keep, "h", ends.alias("ends")).select(*keep, "h", F.posexplode_outer("ends").alias("pos", "pair"))
+
+
+def _seeds(windows: DataFrame, keep: list[str]) -> DataFrame:
+    """One row per mask and window: ``keep``, pos, pair, seed."""
+    seeds = F.array(*[F.xxhash64(F.lit(m), *[F.get("h", F.col("pos") + k) for k, c in enumerate(mask) if c == "1"]) for m, mask in enumerate(MASKS)])
+    return windows.select(*keep, "pos", "pair", seeds.alias("seeds")).select(*keep, "pos", "pair", F.explode_outer("seeds").alias("seed"))
 
 
 def seed_table(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """seed, item_id, ahead (words of the window before the hit), window (its words)."""
+    """seed, pair, item_id, ahead (words of the window before the hit), window (its words)."""
     items = narrow(benchmark, item_col, text_col).select(F.col("doc_id").alias("item_id"), _words("text").alias("words"))
     length = F.least(F.size("words"), F.lit(WINDOW))
     begin = F.greatest(F.lit(0), F.least(F.col("pos") - F.lit((WINDOW - REACH) // 2), F.size("words") - length))
-    return _seeds(items, ["item_id", "words"]).select("seed", "item_id", (F.col("pos") - begin).alias("ahead"), F.slice("words", begin + 1, length).alias("window"))
+    return _seeds(_windows(items, ["item_id", "words"]), ["item_id", "words"]).select("seed", "pair", "item_id", (F.col("pos") - begin).alias("ahead"), F.slice("words", begin + 1, length).alias("window"))
 
 
 def verified_hits(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
@@ -58,11 +64,13 @@ def verified_hits(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
     docs = narrow(df, id_col, text_col).select(row_key().alias("row"), "doc_id", _words("text").alias("words"))
     seeds = seed_table(benchmark, item_col, item_text_col)
     passes = max(1, -(-seeds.count() // seeds_per_pass))
-    windows = _seeds(docs, ["row"])
+    windows = _windows(docs, ["row"])
     hits = None
     for k in range(passes):  # each broadcast is bounded; a larger benchmark takes more passes, not more memory
         part = seeds.where(F.pmod("seed", F.lit(passes)) == k) if passes > 1 else seeds
-        found = windows.join(F.broadcast(part), "seed")
+        # a window whose ends the benchmark does not have can match under no mask, so only the others are hashed by the masks
+        met = windows.join(F.broadcast(part.select("pair").distinct()), "pair")
+        found = _seeds(met, ["row"]).drop("pair").join(F.broadcast(part.drop("pair")), "seed")
         hits = found if hits is None else hits.unionByName(found)
     # a row's hits are bounded by its own words and its windows' occurrences in the benchmark
     hits = hits.groupBy("row").agg(F.collect_set(F.struct("pos", "item_id", "ahead", "window")).alias("hits"))
