@@ -4,6 +4,6 @@ from hackstand.catalog import registry
 
 
 def load():
-    from hackstand.catalog import audit, marts, models, quality, serving, storage, streams, trips  # noqa: F401
+    from hackstand.catalog import audit, categories, marts, models, quality, serving, storage, streams, trips  # noqa: F401
 
     return registry.QUERIES

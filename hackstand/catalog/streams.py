@@ -12,7 +12,7 @@ from hackstand.catalog.sql import (
     TAXI, block_sql, compose, day, define, generosity_sql, half, part_sql, passengers_sql, ratio, time, values_sql, xsum,
 )
 from hackstand.catalog.tables import AS_OF
-from hackstand.plans import forest, serving
+from hackstand.plans import forest, kmodes, serving
 from hackstand.session import materialise, scratch_path
 from hackstand.streaming import expiry, live, rides, scoring, sinks
 
@@ -103,6 +103,33 @@ select * {_DAY}, {half(ratio('propina_base_sum', 'tarifa_base_sum') + '*100e0')}
 """))(lambda t: live.mart_rows("tipping", live.tipping(t.rides)))
 
 
+def _live_rows(t, view, zones=None, miles=None):
+    """Mart rows of a view that a stream has filled."""
+    fill = lambda v: sinks.run_upsert(live.VIEWS[v](t.ride_stream()), live.KEYS[v], v)
+    return live.mart_rows(view, fill(view), zones, fill(miles) if miles else None)
+
+
+query("stream_to_row_demand", compose(f"""
+select * {_DAY}, borough as pu_borough, zone as pu_zone, {block_sql('pickup_hour')} as bloque_horario, isodow(fecha_viaje) as dia_semana, isodow(fecha_viaje) >= 6 as is_weekend
+from (select d.*, borough, zone from live_demand d left join zones on pu_location_id = location_id)
+""".replace(f"* {_DAY}", f"* exclude (borough, zone) {_DAY}")))(lambda t: _live_rows(t, "demand", t.zones))
+query("stream_to_row_financial", compose(f"""
+select f.* {_DAY}, {half('base_passenger_fare - driver_pay')} as margen_plataforma, {half(ratio('driver_pay', 'base_passenger_fare'), 4)} as ratio_pago_conductor,
+  {half(ratio("case when f.service_id = 'fhvhv' then base_passenger_fare else total_amount end", 'distancia_total_millas'), 4)} as ingreso_bruto_por_milla
+from live_financial f left join live_operational o on f.service_id is not distinct from o.service_id and f.fecha_viaje is not distinct from o.fecha_viaje
+  and f.bloque_horario is not distinct from o.bloque_horario and f.pu_location_id is not distinct from o.pu_location_id
+""".replace(day('fecha_viaje'), day('f.fecha_viaje'))))(lambda t: _live_rows(t, "financial", miles="operational"))
+query("stream_to_row_operational", compose(f"""
+select * {_DAY}, {half(ratio('duracion_total_min', 'viajes'))} as duracion_promedio_min, {half(ratio('millas_validas_sum', 'horas_validas_sum'))} as velocidad_promedio_mph,
+  {half(ratio('distancia_total_millas', 'viajes'), 4)} as distancia_promedio_millas,
+  case when service_id = 'fhvhv' then {half(ratio('match_compartido', 'viajes'), 4)} end as tasa_ocupacion_compartida from live_operational
+"""))(lambda t: _live_rows(t, "operational"))
+query("stream_to_row_balance", compose(f"""
+select l.* {_BLK}, borough, zone, {time('l.bloque_temporal_t + interval 15 minute')} as bloque_temporal_t_plus_1
+from live_balance l left join zones z on z.location_id = l.location_id
+""".replace(time('bloque_temporal_t'), time('l.bloque_temporal_t'))))(lambda t: _live_rows(t, "balance", t.zones))
+
+
 @query("stream_snapshot_increments", compose(f"select * {_DAY} from live_demand where service_id = 'green'"))
 def _increments(t):
     path = scratch_path(t.spark, "increments")
@@ -210,6 +237,47 @@ def _clusters(t, source):
     return scoring.score_clusters(source.withColumn("trip_id", F.col("event_id")), modes)
 
 
+# the same for every service that has features, each with its own
+_SERVICES = ("yellow", "green", "fhvhv")
+
+
+def _differ(left, right, features):
+    return "(" + " + ".join(f"(case when {left}.{f} = {right}.{f} then 0 else 1 end)" for f in features) + ")"
+
+
+for _s in _SERVICES:
+    _fs = list(kmodes.features_of(_s))
+    _all, _own = ", ".join(_fs), ", ".join(f"d.{f}" for f in _fs)
+    _filled = " and ".join(f"{f} is not null" for f in _fs)
+    _g0, _g1 = _differ("d", "a", _fs), _differ("d", "b", _fs)
+    define(f"dense_{_s}", f"select *, {' + '.join(f'sum(w) over (partition by {f})' for f in _fs)} as density from "
+           f"(select {_all}, count(*) as w from kfeat where service_id = '{_s}' and {_filled} group by all)")
+    define(f"first_{_s}", f"select {_all} from dense_{_s} order by density desc, {_all} limit 1")
+    define(f"second_{_s}", f"select {_own} from dense_{_s} d join first_{_s} a on true order by {_g0}*density desc, {_own} limit 1")
+    define(f"third_{_s}", f"select {_own} from dense_{_s} d join first_{_s} a on true join second_{_s} b on true order by least({_g0}, {_g1})*density desc, {_own} limit 1")
+_RIDE_NAMES = {**_RNAMES, "hvfhs_license_num": "hvfhs_license_num"}
+define("service_rides", "select event_id, service_id, " + ", ".join(f"{e} as {n}" for n, e in _RIDE_NAMES.items()) + " from rides")
+
+
+def _nearest_sql(service):
+    features = list(kmodes.features_of(service))
+    gaps = ", ".join(f"{_differ('r', m, features)} as g{i}" for i, m in enumerate("abc"))
+    filled = " and ".join(f"r.{f} is not null" for f in features)
+    return (f"select event_id as trip_id, case when g0 <= g1 and g0 <= g2 then 0 when g1 <= g2 then 1 else 2 end as cluster_id, service_id from "
+            f"(select r.event_id, r.service_id, {gaps} from service_rides r join first_{service} a on true join second_{service} b on true "
+            f"join third_{service} c on true where r.service_id = '{service}' and {filled})")
+
+
+@query("stream_cluster_services", compose(" union all ".join(_nearest_sql(s) for s in _SERVICES)))
+def _cluster_services(t):
+    modes = {}
+    for service in _SERVICES:
+        combos = materialise(kmodes.combinations(t.cluster_features, service), "combos")
+        modes[service] = kmodes.initial_modes(combos, list(kmodes.features_of(service)), 3)
+    kept = rides.first_delivery(t.accepted(t.stream_lines)).withColumn("trip_id", F.col("event_id"))
+    return sinks.run_append(scoring.score_clusters(kept, modes), "clusters")
+
+
 query("stream_cluster", compose("select event_id as trip_id, cluster_id, service_id from ride_clusters"))(
     lambda t: sinks.run_append(_clusters(t, rides.first_delivery(t.accepted(t.stream_lines))), "clusters"))
 query("read_clusters", compose("select event_id as trip_id, cluster_id, service_id from ride_clusters where cluster_id in (0, 1) order by event_id limit 30 offset 5"))(

@@ -38,6 +38,25 @@ TRIP_ROLES = cleaning.TripRoles(
 )
 
 
+_METERED = {
+    "passenger_count": "passenger_count", "trip_distance": "trip_distance", "RatecodeID": "ratecode_id", "store_and_fwd_flag": "store_and_fwd_flag",
+    "PULocationID": "pickup_location_id", "DOLocationID": "dropoff_location_id", "payment_type": "payment_type_id",
+    **{c: c for c in ("fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount", "congestion_surcharge")},
+}
+# Column of a category's monthly file: column of the trips above.
+BRONZE = {
+    "yellow": {"VendorID": "vendor_id", "tpep_pickup_datetime": "pickup_datetime", "tpep_dropoff_datetime": "dropoff_datetime", **_METERED,
+               "airport_fee": "airport_fee"},
+    "green": {"VendorID": "vendor_id", "lpep_pickup_datetime": "pickup_datetime", "lpep_dropoff_datetime": "dropoff_datetime", **_METERED},
+    "fhv": {"dispatching_base_num": "dispatching_base_num", "pickup_datetime": "pickup_datetime", "dropOff_datetime": "dropoff_datetime",
+            "PUlocationID": "pickup_location_id", "DOlocationID": "dropoff_location_id"},
+    "fhvhv": {**{c: c for c in ("hvfhs_license_num", "dispatching_base_num", "request_datetime", "on_scene_datetime", "pickup_datetime", "dropoff_datetime")},
+              "PULocationID": "pickup_location_id", "DOLocationID": "dropoff_location_id", "trip_miles": "trip_distance",
+              "base_passenger_fare": "fare_amount", "tolls": "tolls_amount", "tips": "tip_amount",
+              **{c: c for c in ("bcf", "sales_tax", "congestion_surcharge", "airport_fee", "driver_pay", "shared_request_flag", "shared_match_flag")}},
+}
+
+
 def minutes(count: Column) -> Column:
     return F.make_dt_interval(F.lit(0), F.lit(0), count.cast("int"), F.lit(0).cast("decimal(18,6)"))
 
@@ -372,5 +391,12 @@ class Tables:
         return self.clean.filter(F.col("service_id") == category).drop("service_id").withColumnsRenamed({**names, **zone})
 
 
+    def bronze(self, category: str) -> DataFrame:
+        """Uncleaned trips of one category under the names its monthly files use, with the file's period and each row's position."""
+        columns = [F.col(ours).alias(theirs) for theirs, ours in BRONZE[category].items()]
+        trips = self.trips.filter(F.col("service_id") == category)
+        return trips.select(*columns, "file_year", "file_month", cleaning.FILE, cleaning.ROW)
+
+
 def open_tables(spark: SparkSession, root: str) -> Tables:
     return Tables(spark, root)

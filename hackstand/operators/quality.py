@@ -6,11 +6,13 @@ validity (grouped by value) need a second grouping, and both combine on the map
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from hackstand.functions.clock import minutes_between
 from hackstand.functions.numeric import (
@@ -85,9 +87,10 @@ def measures(p: Profile) -> dict[str, Column]:
         out[f"nulls_{c}"] = count_where(F.col(c).isNull())
     if p.roles.pickup:
         pickup = F.col(p.roles.pickup).try_cast("timestamp")
-        on_time = (F.year(pickup) == F.col(p.roles.file_year)) & (F.month(pickup) == F.col(p.roles.file_month))
         out["pickups"] = F.count(pickup)
-        out["off_period"] = count_where(~on_time)
+        if p.roles.file_year:
+            on_time = (F.year(pickup) == F.col(p.roles.file_year)) & (F.month(pickup) == F.col(p.roles.file_month))
+            out["off_period"] = count_where(~on_time)
         out["first_pickup"], out["last_pickup"] = F.min(pickup), F.max(pickup)
         if p.request:
             out["late_requests"] = count_where(pickup < F.col(p.request).try_cast("timestamp"))
@@ -264,8 +267,9 @@ def scores(df: DataFrame, zones: DataFrame, p: Profile, dictionary: DataFrame |
     rows = []
     if p.total:
         rows.append(_score("accuracy", half_up(_pct("amount_bad", "amount_rows") / 100.0, 4), _none("amount_bad")))
-    bad = unallowed_nulls(p)
-    rows.append(_score("completeness", half_up(1.0 - bad / (F.col("rows") * len(p.columns)), 4), bad == 0))
+    if p.columns:
+        bad = unallowed_nulls(p)
+        rows.append(_score("completeness", half_up(1.0 - bad / (F.col("rows") * len(p.columns)), 4), bad == 0))
     checks = consistency_metrics(p)
     if checks:
         rows.append(_score("consistency", _mean([F.lit(1.0)] + [v / 100.0 for v, _ in checks.values()]),
@@ -278,7 +282,8 @@ def scores(df: DataFrame, zones: DataFrame, p: Profile, dictionary: DataFrame |
         out = {c: F.col(f"low_{c}") + F.col(f"high_{c}") for c in p.ranges}
         rows.append(_score("reasonableness", _mean([pass_percent(b, F.col(f"n_{c}")) / 100.0 for c, b in out.items()]),
                            reduce(Column.__and__, [b == 0 for b in out.values()])))
-    if p.roles.pickup:
+    timed = bool(p.roles.pickup and p.roles.file_year)
+    if timed:
         rows.append(_score("timeliness", half_up(_pct("off_period", "pickups") / 100.0, 4), _none("off_period")))
 
     wide = measured
@@ -293,14 +298,62 @@ def scores(df: DataFrame, zones: DataFrame, p: Profile, dictionary: DataFrame |
         known = all(c in p.described for c in p.columns)
         rows.append(_score("validity", half_up(F.coalesce("_valid", F.lit(1.0)), 4),
                            (F.coalesce("_invalid", F.lit(0)) == 0) & F.lit(known)))
-    found = wide.select(*scope, F.inline(F.array(*rows)))
     applies = {
-        "accuracy": bool(p.total), "completeness": True, "consistency": bool(checks),
-        "integrity": bool(places), "reasonableness": bool(p.ranges), "timeliness": bool(p.roles.pickup),
+        "accuracy": bool(p.total), "completeness": bool(p.columns), "consistency": bool(checks),
+        "integrity": bool(places), "reasonableness": bool(p.ranges), "timeliness": timed,
         "uniqueness": bool(p.roles.keys), "validity": dictionary is not None and bool(p.described),
     }
-    rest = [_score(d, F.lit(1.0), F.lit(True)) for d in DIMENSIONS if not applies[d]]
-    return found if not rest else found.unionByName(wide.select(*scope, F.inline(F.array(*rest))))
+    rows += [_score(d, F.lit(1.0), F.lit(True)) for d in DIMENSIONS if not applies[d]]
+    return wide.select(*scope, F.inline(F.array(*rows)))
+
+
+def without(p: Profile, dimension: str) -> Profile:
+    """The profile with one dimension switched off."""
+    roles = p.roles
+    return {
+        "accuracy": lambda: replace(p, total=None, components=()),
+        "completeness": lambda: replace(p, columns=()),
+        "consistency": lambda: replace(p, distance=None, passengers=None, request=None, roles=replace(roles, dropoff=None)),
+        "integrity": lambda: replace(p, roles=replace(roles, pu=None, do=None)),
+        "reasonableness": lambda: replace(p, ranges={}),
+        "timeliness": lambda: replace(p, roles=replace(roles, file_year=None)),
+        "uniqueness": lambda: replace(p, roles=replace(roles, keys=())),
+        "validity": lambda: replace(p, described=()),
+    }[dimension]()
+
+
+def failing_dimensions(df: DataFrame, zones: DataFrame, p: Profile, dictionary: DataFrame | None = None) -> dict[str, str]:
+    """Dimensions that cannot run over these columns, with the reason: a column is missing or has a type that cannot be measured.
+
+    Each dimension is analysed alone; no job runs. Amounts and ranges ask for numbers, as text would end the job at its first odd value.
+    """
+    numbers = {"accuracy": [c for c in (p.total, *p.components) if c], "consistency": [c for c in (p.distance, p.passengers) if c],
+               "reasonableness": list(p.ranges)}
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    failed = {}
+    for dimension in DIMENSIONS:
+        text = [c for c in numbers.get(dimension, ()) if c in kinds and not isinstance(kinds[c], NumericType)]
+        if text:
+            failed[dimension] = f"not a number: {', '.join(text)}"
+            continue
+        alone = reduce(without, [d for d in DIMENSIONS if d != dimension], p)
+        try:
+            scores(df, zones, alone, dictionary)
+        except AnalysisException as error:
+            failed[dimension] = error.getCondition() or "analysis"
+    return failed
+
+
+def safe_scores(df: DataFrame, zones: DataFrame, p: Profile, dictionary: DataFrame | None = None) -> DataFrame:
+    """``scores`` with ``error``: a dimension that cannot run scores 0 and fails, and the others are still measured."""
+    failed = failing_dimensions(df, zones, p, dictionary)
+    rows = scores(df, zones, reduce(without, failed, p), dictionary)
+    if not failed:
+        return rows.withColumn("error", F.lit(None).cast("string"))
+    reason = F.coalesce(*[F.when(F.col("dimension") == d, F.lit(why)) for d, why in failed.items()])
+    return rows.withColumn("error", reason).withColumns({
+        "score": F.when(F.col("error").isNull(), F.col("score")).otherwise(F.lit(0.0)),
+        "passed": F.col("error").isNull() & F.col("passed")})
 
 
 def report(scored: DataFrame, scope) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from hackstand.functions import clock, rules
 from hackstand.functions.numeric import count_where, exact_sum, guarded_ratio, half_up
 from hackstand.operators.selection import filter_dynamic, page
+from hackstand.operators.zones import with_zone
 from hackstand.settings import DEFAULTS, Settings
 
 KEYS = {
@@ -104,22 +105,49 @@ def tipping(rides: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 VIEWS = {"demand": demand, "financial": financial, "operational": operational, "balance": balance, "tipping": tipping}
 
 
-def mart_rows(view: str, live: DataFrame) -> DataFrame:
-    """Accumulator rows with the derived columns of their mart."""
+def mart_rows(view: str, live: DataFrame, zones: DataFrame | None = None, miles: DataFrame | None = None) -> DataFrame:
+    """Accumulator rows with the derived columns of their mart.
+
+    ``zones`` names the zones of demand and balance. ``miles`` are the operational rows, which share the financial key and hold the
+    distances that the financial accumulator does not.
+    """
+    app = F.col("service_id") == "fhvhv"
+    if view == "demand":
+        weekday = clock.iso_weekday(F.col("fecha_viaje"))
+        return _named(live, zones, "pu_location_id", "pu_").withColumns({
+            "bloque_horario": clock.bloque_horario(F.col("pickup_hour")), "dia_semana": weekday, "is_weekend": clock.is_weekend(weekday)})
     if view == "operational":
         return live.withColumns({
             "duracion_promedio_min": half_up(guarded_ratio(F.col("duracion_total_min"), F.col("viajes")), 2),
-            "velocidad_promedio_mph": half_up(guarded_ratio(F.col("millas_validas_sum"), F.col("horas_validas_sum")), 2)})
+            "velocidad_promedio_mph": half_up(guarded_ratio(F.col("millas_validas_sum"), F.col("horas_validas_sum")), 2),
+            "distancia_promedio_millas": half_up(guarded_ratio(F.col("distancia_total_millas"), F.col("viajes")), 4),
+            "tasa_ocupacion_compartida": F.when(app, half_up(guarded_ratio(F.col("match_compartido"), F.col("viajes")), 4))})
     if view == "tipping":
         return live.withColumns({
             "porcentaje_propina_ponderado": half_up(
                 guarded_ratio(F.col("propina_base_sum"), F.col("tarifa_base_sum")) * 100.0, 2),
             "propina_por_milla": half_up(guarded_ratio(F.col("propina_total"), F.col("millas_sum")), 4)})
     if view == "financial":
-        return live.withColumn("margen_plataforma", half_up(F.col("base_passenger_fare") - F.col("driver_pay"), 2))
+        rows = live.withColumns({
+            "margen_plataforma": half_up(F.col("base_passenger_fare") - F.col("driver_pay"), 2),
+            "ratio_pago_conductor": half_up(guarded_ratio(F.col("driver_pay"), F.col("base_passenger_fare")), 4)})
+        if miles is None:
+            return rows
+        keys = KEYS["financial"]
+        known = miles.select(*[F.col(k).alias(f"_m_{k}") for k in keys], F.col("distancia_total_millas").alias("_miles"))
+        income = F.when(app, F.col("base_passenger_fare")).otherwise(F.col("total_amount"))
+        return rows.join(known, [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys], "left").withColumn(
+            "ingreso_bruto_por_milla", half_up(guarded_ratio(income, F.col("_miles")), 4)).drop("_miles", *[f"_m_{k}" for k in keys])
+    if view == "balance":
+        step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(DEFAULTS.speed.block_minutes))
+        return _named(live, zones, "location_id", "").withColumn("bloque_temporal_t_plus_1", F.col("bloque_temporal_t") + step)
     return live
 
 
+def _named(live: DataFrame, zones: DataFrame | None, location: str, prefix: str) -> DataFrame:
+    return live if zones is None else with_zone(live, zones, location, prefix)
+
+
 def within_ttl(live: DataFrame, moment: str, settings: Settings = DEFAULTS) -> DataFrame:
     """Accumulators younger than the time to live, counted back from the newest event."""
     newest = live.agg(F.max(F.col(moment).cast("timestamp"))).scalar()

@@ -119,3 +119,28 @@ def test_gap_fill(spark):
     df = spark.createDataFrame([("x", "2024-01-01 00:00:00", 5), ("x", "2024-01-01 03:00:00", 7)], "k string, s string, n int")
     rows = ranking.gap_fill(df.withColumn("t", F.to_timestamp("s")), ["k"], "t", "n").orderBy("t").collect()
     assert [r.n for r in rows] == [5.0, 0.0, 0.0, 7.0]
+
+
+def test_a_dimension_that_cannot_run_scores_zero_and_the_others_are_measured(spark):
+    from hackstand.operators import quality as q
+
+    zones = spark.createDataFrame([(1, "Queens", "A"), (2, "Bronx", "B")], "LocationID int, Borough string, Zone string")
+    trips = spark.createDataFrame(
+        [(1, "2024-01-02 10:00:00", "2024-01-02 10:30:00", 1, 2, 10.0, "12.5", 2024, 1), (1, "2024-01-03 10:00:00", "2024-01-03 10:30:00", 1, 9, 10.0, "odd", 2024, 1)],
+        "VendorID int, tpep_pickup_datetime string, tpep_dropoff_datetime string, PULocationID int, DOLocationID int, fare_amount double, total_amount string, file_year int, file_month int")
+    p = q.profile_for("yellow", trips.columns)
+    rows = {r["dimension"]: r for r in q.safe_scores(trips, zones, p).collect()}
+    assert set(rows) == set(q.DIMENSIONS)
+    # text amounts: the formula and the ranges cannot be measured
+    for d in ("accuracy", "reasonableness"):
+        assert rows[d]["score"] == 0.0 and rows[d]["passed"] is False and "total_amount" in rows[d]["error"]
+    assert rows["integrity"]["score"] == 0.75 and rows["integrity"]["error"] is None
+    assert rows["uniqueness"]["passed"] and rows["timeliness"]["score"] == 1.0
+    # a column that the profile names and the file lacks fails what reads it
+    gone = q.failing_dimensions(trips.drop("DOLocationID"), zones, p)
+    assert {"integrity", "completeness"} <= set(gone) and "timeliness" not in gone
+    # whichever dimensions are off, all eight have a row; off ones do not apply
+    bare = p
+    for d in q.DIMENSIONS:
+        bare = q.without(bare, d)
+    assert {(r["dimension"], r["score"], r["passed"]) for r in q.scores(trips, zones, bare).collect()} == {(d, 1.0, True) for d in q.DIMENSIONS}
