@@ -1,52 +1,62 @@
 """Re-Pair grammars of id sequences, on numpy arrays.
 
-In each round the most frequent pairs of neighbouring symbols become nonterminals, a batch at a time, until no pair is
-frequent. No pair crosses the end of a document, so every document is a slice of symbols that decodes alone.
+In each round the most frequent pairs of neighbouring symbols become nonterminals, a batch at a time, until no pair stands
+``LEAST`` times. No pair crosses the end of a document, so every document is a slice of symbols that decodes alone.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-ROUNDS, PAIRS_PER_ROUND, LEAST = 8, 1800, 12
+PAIRS_PER_ROUND, LEAST = 1800, 12
 _BITS = 20
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, terminals: int, rounds: int = ROUNDS, batch: int = PAIRS_PER_ROUND, least: int = LEAST):
+def _slots(s: np.ndarray, salt: int) -> np.ndarray:
+    """A hash of each symbol and its successor, wrapping in 32 bits; ``_BITS`` of them stay."""
+    mixed = (s[:-1] + np.uint32(salt)) * np.uint32(0x9E3779B1)
+    mixed ^= mixed >> np.uint32(15)
+    mixed += s[1:]
+    mixed *= np.uint32(0x85EBCA77)
+    mixed >>= np.uint32(32 - _BITS)
+    return mixed.astype(np.intp)
+
+
+def compress(ids: np.ndarray, ends: np.ndarray, terminals: int, batch: int = PAIRS_PER_ROUND, least: int = LEAST):
     """(symbols, ends, rules, lengths): rules (k, 2) give nonterminal ``terminals + i``; lengths its number of ids.
 
-    ``ends`` marks each document's last id, and on return its last symbol.
+    ``ends`` marks each document's last id, and on return its last symbol. A round counts pairs by slots of a hash. Each of the most
+    frequent slots puts the pair at its last place forward, whose places are counted exactly. Other pairs of the slot have their turn in
+    a later round, which hashes anew; two rounds in a row without a frequent pair are the end.
     """
-    s, rules = ids.astype(np.uint32), []
-    total = terminals
-    for _ in range(rounds):
-        if len(s) < 2:
-            break
-        key = (s[:-1].astype(np.uint64) << np.uint64(32)) | s[1:]
-        slot = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BITS)).astype(np.int64)
-        free = ~ends[:-1]
-        counts = np.bincount(slot[free], minlength=1 << _BITS)
-        top = np.argpartition(counts, -batch)[-batch:]
-        top = top[counts[top] >= least]
+    s, rules, total, turn, idle = ids.astype(np.uint32), [], terminals, 0, 0
+    while len(s) > 1 and idle < 2:
+        slot, turn = _slots(s, turn), turn + 1
+        slot[ends[:-1]] = 1 << _BITS  # no pair crosses the end of a document
+        counts = np.bincount(slot, minlength=(1 << _BITS) + 1)[: 1 << _BITS]
+        top = np.flatnonzero(counts >= least)
+        if len(top) > batch:
+            top = top[np.argpartition(counts[top], -batch)[-batch:]]
         if not len(top):
             break
-        chosen = np.zeros(1 << _BITS, bool)
-        chosen[top] = True
-        maybe = np.flatnonzero(chosen[slot] & free)
-        pairs, n = np.unique(key[maybe], return_counts=True)
-        # the most frequent pair of each slot; a pair it hides has its turn in a later round
-        best = np.argsort(n, kind="stable")
-        owner = np.full(1 << _BITS, -1, np.int64)
-        owner[((pairs[best] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BITS)).astype(np.int64)] = best
-        winners = np.unique(owner[owner >= 0])
-        winners = winners[n[winners] >= least]
+        table = np.full((1 << _BITS) + 1, -1, np.int32)
+        table[top] = np.arange(len(top), dtype=np.int32)
+        rank = table[slot]
+        maybe = np.flatnonzero(rank >= 0)
+        rank = rank[maybe]
+        left, right = s[maybe], s[maybe + 1]
+        shown = np.zeros(len(top), np.intp)
+        shown[rank] = np.arange(len(maybe))  # a slot's last place speaks for it
+        same = (left == left[shown][rank]) & (right == right[shown][rank])
+        n = np.bincount(rank[same], minlength=len(top))
+        winners = np.flatnonzero(n >= least)
+        idle = 0 if len(winners) else idle + 1
         if not len(winners):
-            break
-        number = np.full(len(pairs), -1, np.int64)
+            continue
+        number = np.full(len(top), -1, np.int64)
         number[winners] = total + np.arange(len(winners))
-        mine = owner[slot[maybe]]
-        hit = (pairs[mine] == key[maybe]) & (number[mine] >= 0)
-        at, symbol = maybe[hit], number[mine[hit]]
+        hit = same & (number[rank] >= 0)
+        at, symbol = maybe[hit], number[rank[hit]]
         # of places that overlap, every other one from the left of its run
         head = np.ones(len(at), bool)
         head[1:] = np.diff(at) > 1
@@ -60,7 +70,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, terminals: int, rounds: int = RO
         keep = np.ones(len(s), bool)
         keep[at + 1] = False
         s, ends = s[keep], ends[keep]
-        rules.append(np.stack([pairs[winners] >> np.uint64(32), pairs[winners] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
+        rules.append(np.stack([left[shown[winners]], right[shown[winners]]], 1))
         total += len(winners)
     rules = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
     return s, ends, rules, _lengths(rules, terminals)

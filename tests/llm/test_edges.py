@@ -252,3 +252,22 @@ def test_op5_secrets_recall_and_precision():
         planted, found, right = planted + 1, found + len(added), right + ((at, 4, at + len(value)) in added)
     assert right / planted >= 0.9 and right / found >= 0.95, (planted, found, right)
     assert op5.redacted('x token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" y', model) == 'x token = "[SECRET]" y'
+
+
+@pytest.mark.parametrize("kind", ["words", "runs", "noise"])
+def test_grammar_leaves_no_frequent_pair_and_decodes(kind):
+    rng = np.random.default_rng(5)
+    ids = {"words": np.minimum(rng.zipf(1.3, 60_000), 50_000), "runs": np.repeat(rng.integers(0, 3, 900), rng.integers(1, 90, 900)),
+           "noise": rng.integers(0, 200, 50_000)}[kind].astype(np.uint32)
+    ends = rng.random(len(ids)) < 0.01
+    ends[-1] = True
+    symbols, marks, rules, lengths = repair.compress(ids, ends, 50_257)
+    assert (repair.expand(symbols, rules, lengths, 50_257) == ids).all() and marks.sum() == ends.sum()
+    left: dict = {}
+    at = 0
+    while at < len(symbols) - 1:  # pairs that do not overlap themselves, as a round counts them
+        pair = (int(symbols[at]), int(symbols[at + 1]))
+        if not marks[at]:
+            left[pair] = left.get(pair, 0) + 1
+        at += 2 if pair[0] == pair[1] and not marks[at] else 1
+    assert max(left.values(), default=0) < repair.LEAST
