@@ -9,69 +9,98 @@ from __future__ import annotations
 import numpy as np
 
 PAIRS_PER_ROUND, LEAST = 1800, 12
-_BITS = 20
+_BITS, _STRETCH = 20, 1 << 14
 
 
-def _slots(s: np.ndarray, salt: int) -> np.ndarray:
-    """A hash of each symbol and its successor, wrapping in 32 bits; ``_BITS`` of them stay."""
-    mixed = (s[:-1] + np.uint32(salt)) * np.uint32(0x9E3779B1)
-    mixed ^= mixed >> np.uint32(15)
-    mixed += s[1:]
-    mixed *= np.uint32(0x85EBCA77)
-    mixed >>= np.uint32(32 - _BITS)
-    return mixed.astype(np.intp)
+def _slots(s: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """A hash of each symbol and its successor, wrapping in 32 bits; ``_BITS`` of them stay. Fills ``room``, a stretch that fits the cache at a time."""
+    slot = room[: len(s) - 1]
+    for i in range(0, len(slot), _STRETCH):
+        j = min(i + _STRETCH, len(slot))
+        mixed = s[i:j] * np.uint32(0x9E3779B1)
+        mixed ^= mixed >> np.uint32(15)
+        mixed += s[i + 1 : j + 1]
+        mixed *= np.uint32(0x85EBCA77)
+        mixed >>= np.uint32(32 - _BITS)
+        slot[i:j] = mixed
+    return slot
+
+
+def _exact(s: np.ndarray, maybe: np.ndarray, least: int):
+    """(places, pair of each, left, right) of the pairs that stand ``least`` times among ``maybe``, which hold all their places."""
+    key = (s[maybe].astype(np.uint64) << np.uint64(32)) | s[maybe + 1]
+    pairs, which, n = np.unique(key, return_inverse=True, return_counts=True)
+    rank = np.cumsum(n >= least) - 1
+    hit = (n >= least)[which]
+    pairs = pairs[n >= least]
+    return maybe[hit], rank[which[hit]], (pairs >> np.uint64(32)).astype(np.uint32), pairs.astype(np.uint32)
+
+
+def _by_slots(s: np.ndarray, ends: np.ndarray, batch: int, least: int, room: np.ndarray):
+    """As ``_exact`` for about ``batch`` most frequent pairs, and whether all frequent pairs were seen.
+
+    Each of the most frequent slots puts the pair at its last place forward. When few slots are left, all their pairs are counted.
+    """
+    slot = _slots(s, room)
+    slot[ends[:-1]] = 1 << _BITS  # no pair crosses the end of a document
+    counts = np.bincount(slot, minlength=(1 << _BITS) + 1)[: 1 << _BITS]
+    top = np.flatnonzero(counts >= least)
+    every = len(top) <= batch
+    if not every:
+        top = top[np.argpartition(counts[top], -batch)[-batch:]]
+    table = np.full((1 << _BITS) + 1, -1, np.int32)
+    table[top] = np.arange(len(top), dtype=np.int32)
+    rank = table.take(slot)
+    maybe = np.flatnonzero(rank >= 0)
+    if every:
+        return *_exact(s, maybe, least), True
+    rank, left, right = rank[maybe], s[maybe], s[maybe + 1]
+    shown = np.zeros(len(top), np.intp)
+    shown[rank] = np.arange(len(maybe))
+    same = (left == left[shown][rank]) & (right == right[shown][rank])
+    n = np.bincount(rank[same], minlength=len(top))
+    winners = n >= least
+    if not winners.any():  # the slots put rare pairs forward only: count all pairs
+        return *_exact(s, np.flatnonzero(~ends[:-1]), least), True
+    hit = same & winners[rank]
+    number = np.cumsum(winners) - 1
+    return maybe[hit], number[rank[hit]], left[shown[winners]], right[shown[winners]], False
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, terminals: int, batch: int = PAIRS_PER_ROUND, least: int = LEAST):
     """(symbols, ends, rules, lengths): rules (k, 2) give nonterminal ``terminals + i``; lengths its number of ids.
 
-    ``ends`` marks each document's last id, and on return its last symbol. A round counts pairs by slots of a hash. Each of the most
-    frequent slots puts the pair at its last place forward, whose places are counted exactly. Other pairs of the slot have their turn in
-    a later round, which hashes anew; two rounds in a row without a frequent pair are the end.
+    ``ends`` marks each document's last id, and on return its last symbol. Once a round has replaced all frequent pairs, only pairs
+    with one of its nonterminals can become frequent, so the next round counts beside those alone.
     """
-    s, rules, total, turn, idle = ids.astype(np.uint32), [], terminals, 0, 0
-    while len(s) > 1 and idle < 2:
-        slot, turn = _slots(s, turn), turn + 1
-        slot[ends[:-1]] = 1 << _BITS  # no pair crosses the end of a document
-        counts = np.bincount(slot, minlength=(1 << _BITS) + 1)[: 1 << _BITS]
-        top = np.flatnonzero(counts >= least)
-        if len(top) > batch:
-            top = top[np.argpartition(counts[top], -batch)[-batch:]]
-        if not len(top):
+    s, rules, total, fresh = ids.astype(np.uint32), [], terminals, None
+    room = np.empty(len(s), np.intp)
+    while len(s) > 1:
+        if fresh is None:
+            at, rank, left, right, every = _by_slots(s, ends, batch, least, room)
+        else:
+            new = s >= fresh
+            at, rank, left, right = _exact(s, np.flatnonzero((new[:-1] | new[1:]) & ~ends[:-1]), least)
+            every = True
+        if not len(at):
             break
-        table = np.full((1 << _BITS) + 1, -1, np.int32)
-        table[top] = np.arange(len(top), dtype=np.int32)
-        rank = table[slot]
-        maybe = np.flatnonzero(rank >= 0)
-        rank = rank[maybe]
-        left, right = s[maybe], s[maybe + 1]
-        shown = np.zeros(len(top), np.intp)
-        shown[rank] = np.arange(len(maybe))  # a slot's last place speaks for it
-        same = (left == left[shown][rank]) & (right == right[shown][rank])
-        n = np.bincount(rank[same], minlength=len(top))
-        winners = np.flatnonzero(n >= least)
-        idle = 0 if len(winners) else idle + 1
-        if not len(winners):
-            continue
-        number = np.full(len(top), -1, np.int64)
-        number[winners] = total + np.arange(len(winners))
-        hit = same & (number[rank] >= 0)
-        at, symbol = maybe[hit], number[rank[hit]]
         # of places that overlap, every other one from the left of its run
         head = np.ones(len(at), bool)
         head[1:] = np.diff(at) > 1
         first = np.flatnonzero(head)
         inside = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
         take = inside % 2 == 0
-        at, symbol = at[take], symbol[take]
-        s[at] = symbol
+        at, rank = at[take], rank[take]
+        s[at] = total + rank
         ends = ends.copy()
         ends[at] = ends[at + 1]
         keep = np.ones(len(s), bool)
         keep[at + 1] = False
-        s, ends = s[keep], ends[keep]
-        rules.append(np.stack([left[shown[winners]], right[shown[winners]]], 1))
-        total += len(winners)
+        keep = np.flatnonzero(keep)
+        s, ends = s.take(keep), ends.take(keep)
+        rules.append(np.stack([left, right], 1))
+        fresh = total if every else None
+        total += len(left)
     rules = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
     return s, ends, rules, _lengths(rules, terminals)
 
