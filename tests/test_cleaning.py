@@ -104,3 +104,27 @@ def test_equal_hash_of_unequal_keys_is_no_duplicate(spark, monkeypatch):
     monkeypatch.setattr(c, "key_hash", lambda columns: F.lit(1).cast("long"))
     rows = [YELLOW, {**YELLOW, "PULocationID": 2}, {**YELLOW, "VendorID": 2}, YELLOW]
     assert reasons(tag(spark, "yellow", rows)) == ["clean"] * 3 + ["uniqueness_duplicate"]
+
+
+def test_ranking_keys_moves_no_whole_trips_again(spark):
+    """Trips that lie by a part of their key are ranked where they are: the tagged trips hold one exchange and no join by position."""
+    rows = [{**YELLOW, "passenger_count": i, "PULocationID": 1 + i % 2} for i in range(8)]
+    tagged = tag(spark, "yellow", rows)
+    plan = tagged.repartition("VendorID").drop(c.REASON)
+    zones = spark.createDataFrame([(1, "A", "a"), (2, "B", "b")], "LocationID int, Borough string, Zone string")
+    again = c.tag_rejects(plan, zones, c.only(c.roles_for("yellow", plan.columns), "uniqueness"))
+    text = again._jdf.queryExecution().executedPlan().toString()
+    assert text.count("REPARTITION_BY_COL") == 1 and "Exchange hashpartitioning(file_year" not in text and "_surplus_row" not in text
+    assert reasons(again) == ["clean"] * 2 + ["uniqueness_duplicate"] * 6
+
+
+def test_hot_and_other_keys_keep_the_same_trips(spark, monkeypatch):
+    """A hot key is marked by position, the others are ranked; either way alone keeps the same trips."""
+    rows = [{**YELLOW, "VendorID": 9, "total_amount": float(i % 7), "fare_amount": float(i)} for i in range(40)]
+    rows += [{**YELLOW, "VendorID": i % 4, "total_amount": float(i)} for i in range(12)] + [{**YELLOW, "DOLocationID": 77, "total_amount": 99.0}]
+    for later in (False, True):
+        kept = []
+        for least in (0, 16, 1000):
+            monkeypatch.setattr(c, "HOT_ROWS", least)
+            kept.append(sorted(tuple(r) for r in tag(spark, "yellow", rows, dedup_after_rejects=later).select("_row", F.coalesce(c.REASON, F.lit("clean"))).collect()))
+        assert kept[0] == kept[1] == kept[2] and sum(reason == "clean" for _, reason in kept[0]) == (5 if later else 4)
