@@ -194,6 +194,15 @@ def test_op3_learns_repetition_and_is_deterministic():
     assert np.allclose(net.score(pa.array(good[:3])), got[:3], atol=1e-5)
 
 
+def test_op6_weights_read_every_training_token(spark, monkeypatch):
+    """What the fit reads counts each training token once, however many texts there are."""
+    seen = []
+    fit = op6.fit_weights
+    monkeypatch.setattr(op6, "fit_weights", lambda ratio, tier, n: seen.append(n.sum()) or fit(ratio, tier, n))
+    df = spark.range(2500).selectExpr("id as doc_id", "concat('word', id % 7, ' next', id % 11, ' last') as text")
+    assert {r["train_tokens"] for r in op6.score_texts(df).collect()} == {int(seen[0])}
+
+
 def test_op6_holds_every_pair(spark, monkeypatch):
     rng = np.random.default_rng(11)
     held = [k for k in range(400) if zlib.crc32(str(k).encode()) % 10 == 0][:2]
