@@ -7,7 +7,7 @@ from hackstand.catalog.registry import query
 from hackstand.catalog.sql import compose, day
 from hackstand.catalog.tables import TRIP_ROLES
 from hackstand.plans import audit
-from hackstand.session import scratch_path
+from hackstand.session import materialise, scratch_path
 from hackstand.settings import DEFAULTS
 from hackstand.sources import files, sinks
 
@@ -110,8 +110,9 @@ def _partitioned(t):
 select service_id, year, month, cast(sum(case when year > 1998 then viajes*10 else viajes end) as bigint) as viajes from demand group by 1,2,3
 """))
 def _incremental(t):
-    path = _stored(t, t.demand.filter("year <= 1998"))
-    sinks.write_incremental(t.demand.withColumn("viajes", F.col("viajes") * 10), path)
+    demand = materialise(t.demand, "demand")
+    path = _stored(t, demand.filter("year <= 1998"))
+    sinks.write_incremental(demand.withColumn("viajes", F.col("viajes") * 10), path)
     return files.scan_mart(t.spark, path).groupBy(*sinks.KEYS).agg(F.sum("viajes").alias("viajes"))
 
 
