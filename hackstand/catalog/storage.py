@@ -141,8 +141,9 @@ select 'recargo' as name, 'double' as kinds, (select count(*) from (select disti
 """))
 def _drift(t):
     """A column that came in a later year, found in the footers."""
-    path = _stored(t, t.demand.filter("year <= 1998"))
-    sinks.write_incremental(t.demand.withColumn("recargo", F.lit(0.5)), path)
+    demand = materialise(t.demand, "demand")
+    path = _stored(t, demand.filter("year <= 1998"))
+    sinks.write_incremental(demand.withColumn("recargo", F.lit(0.5)), path)
     return sinks.export_drift(t.spark, path).withColumn("kinds", F.array_join("kinds", ","))
 
 
