@@ -100,8 +100,9 @@ select service_id, year, month, cast(sum(case when service_id = 'green' and year
 from demand group by 1,2,3
 """))
 def _partitioned(t):
-    path = _stored(t, t.demand)
-    again = t.demand.filter("service_id = 'green' and year = 1999").withColumn("viajes", F.col("viajes") * 2)
+    demand = materialise(t.demand, "demand")
+    path = _stored(t, demand)
+    again = demand.filter("service_id = 'green' and year = 1999").withColumn("viajes", F.col("viajes") * 2)
     sinks.write_partitioned(again, path)
     return files.scan_mart(t.spark, path).groupBy(*sinks.KEYS).agg(F.sum("viajes").alias("viajes"))
 
