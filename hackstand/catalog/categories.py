@@ -48,7 +48,7 @@ def _dictionary(t, category: str) -> DataFrame:
 
 
 def _scores(t, category: str) -> DataFrame:
-    return q.safe_scores(t.bronze(category), t.zones, _profile(t, category), _dictionary(t, category))
+    return q.safe_scores(t.bronze(category), t.zones, _profile(t, category), _dictionary(t, category), t.most_trips)
 
 
 # ---- SQL ----

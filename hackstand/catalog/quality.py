@@ -116,7 +116,7 @@ _KEYED = f"(select {_S}, order_key, line_no, count(*) as n from trips group by a
 query("dq_uniqueness", compose(f"""
 select {_S}, cast(sum(n) as bigint) as total_rows, cast(sum(case when n > 1 then n else 0 end) as bigint) as duplicated_rows,
   {pass_pct('sum(case when n > 1 then n else 0 end)', 'sum(n)')} as unique_rows_pct from {_KEYED} group by 1,2,3
-"""))(lambda t: q.repeated_rows(t.trips, PROFILE).select(
+"""))(lambda t: q.repeated_rows(t.trips, PROFILE, t.most_trips).select(
     *TRIP_ROLES.scope, F.col("key_rows").alias("total_rows"), F.col("repeated").alias("duplicated_rows"),
     q.pass_percent(F.col("repeated"), F.col("key_rows")).alias("unique_rows_pct")))
 
@@ -172,16 +172,16 @@ _SCORES = (
       f"sum(case when n > 1 then n else 0 end) = 0 from {_KEYED} group by 1,2,3"
     + f" union all select {_S}, 'validity', {half(xavg('valid_pct') + '/100e0', 4)}, false from ({_VALID}) group by 1,2,3) "
 )
-query("dq_scores", compose(_SCORES + "select * from scored"))(lambda t: q.scores(t.trips, t.zones, PROFILE, dictionary(t)))
+query("dq_scores", compose(_SCORES + "select * from scored"))(lambda t: q.scores(t.trips, t.zones, PROFILE, dictionary(t), t.most_trips))
 query("dq_report", compose(_SCORES + f"""
 select s.*, overall_score, all_passed from scored s join (select {_S}, {half(xavg('score'), 4)} as overall_score,
   bool_and(passed) as all_passed from scored group by 1,2,3) using ({_S})
-"""))(lambda t: q.report(q.scores(t.trips, t.zones, PROFILE, dictionary(t)), TRIP_ROLES.scope))
+"""))(lambda t: q.report(q.scores(t.trips, t.zones, PROFILE, dictionary(t), t.most_trips), TRIP_ROLES.scope))
 query("dq_summary", compose(_SCORES + f"""
 select service_id, dimension, count(*) as archivos, {half(xavg('score'), 4)} as score_promedio,
   count(case when not passed then 1 end) as meses_reprobados, min(case when not passed then score end) as peor_score
 from scored group by 1,2
-"""))(lambda t: q.summary(q.scores(t.trips, t.zones, PROFILE, dictionary(t))))
+"""))(lambda t: q.summary(q.scores(t.trips, t.zones, PROFILE, dictionary(t), t.most_trips)))
 query("src_dictionary", compose(
     "select nombre_campo, value, count(*) as filas from (values "
     + ", ".join(f"('{f}', '{v}')" for f, v in (("payment_type_id", "1"), ("payment_type_id", "2"), ("payment_type_id", "3")))

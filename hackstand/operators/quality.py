@@ -6,6 +6,7 @@ validity (grouped by value) need a second grouping, and both combine on the map
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
@@ -25,6 +26,8 @@ from hackstand.settings import DEFAULTS, QualityRules
 
 DIMENSIONS = ("accuracy", "completeness", "consistency", "integrity",
               "reasonableness", "timeliness", "uniqueness", "validity")
+#: Keys that one task counts where the number of rows is known.
+KEYS_PER_TASK = 500_000
 
 
 @dataclass(frozen=True)
@@ -124,10 +127,17 @@ def measure(df: DataFrame, zones: DataFrame, p: Profile) -> DataFrame:
     return df.groupBy(*p.roles.scope).agg(*[c.alias(n) for n, c in measures(p).items()])
 
 
-def repeated_rows(df: DataFrame, p: Profile) -> DataFrame:
-    """Rows per file that share their key with another row: all members count."""
+def repeated_rows(df: DataFrame, p: Profile, rows: int | None = None) -> DataFrame:
+    """Rows per file that share their key with another row: all members count.
+
+    Nearly every row has a key of its own, so what a task holds grows with its rows. With ``rows``, the most rows there can be, the
+    keys are dealt over as many tasks as they need; without it the session's number of shuffle partitions decides.
+    """
     scope = p.roles.scope
-    by_key = df.groupBy(*scope, *p.roles.keys).agg(F.count(F.lit(1)).alias("_n"))
+    keys = df.select(*scope, *p.roles.keys)
+    if rows is not None:
+        keys = keys.repartition(max(1, math.ceil(rows / KEYS_PER_TASK)), *keys.columns)
+    by_key = keys.groupBy(*keys.columns).agg(F.count(F.lit(1)).alias("_n"))
     return by_key.groupBy(*scope).agg(
         F.sum("_n").alias("key_rows"),
         F.sum(F.when(F.col("_n") > 1, F.col("_n")).otherwise(0)).alias("repeated"),
@@ -260,11 +270,11 @@ def _score(dimension: str, score: Column, passed: Column) -> Column:
     return F.struct(F.lit(dimension).alias("dimension"), score.cast("double").alias("score"), passed.alias("passed"))
 
 
-def scores(df: DataFrame, zones: DataFrame, p: Profile, dictionary: DataFrame | None = None) -> DataFrame:
-    """Score and verdict of the eight dimensions per file; what does not apply scores 1."""
+def scores(df: DataFrame, zones: DataFrame, p: Profile, dictionary: DataFrame | None = None, rows: int | None = None) -> DataFrame:
+    """Score and verdict of the eight dimensions per file; what does not apply scores 1. ``rows``: see ``repeated_rows``."""
     measured = measure(df, zones, p)
     scope = list(p.roles.scope)
-    rows = []
+    most, rows = rows, []
     if p.total:
         rows.append(_score("accuracy", half_up(_pct("amount_bad", "amount_rows") / 100.0, 4), _none("amount_bad")))
     if p.columns:
@@ -288,7 +298,7 @@ def scores(df: DataFrame, zones: DataFrame, p: Profile, dictionary: DataFrame |
 
     wide = measured
     if p.roles.keys:
-        wide = wide.join(repeated_rows(df, p), scope, "left")
+        wide = wide.join(repeated_rows(df, p, most), scope, "left")
         rows.append(_score("uniqueness", half_up(pass_percent(F.col("repeated"), F.col("key_rows")) / 100.0, 4),
                            _none("repeated")))
     if dictionary is not None and p.described:
@@ -344,25 +354,27 @@ def failing_dimensions(df: DataFrame, zones: DataFrame, p: Profile, dictionary:
     return failed
 
 
-def safe_scores(df: DataFrame, zones: DataFrame, p: Profile, dictionary: DataFrame | None = None) -> DataFrame:
+def safe_scores(df: DataFrame, zones: DataFrame, p: Profile, dictionary: DataFrame | None = None, rows: int | None = None) -> DataFrame:
     """``scores`` with ``error``: a dimension that cannot run scores 0 and fails, and the others are still measured."""
     failed = failing_dimensions(df, zones, p, dictionary)
-    rows = scores(df, zones, reduce(without, failed, p), dictionary)
+    scored = scores(df, zones, reduce(without, failed, p), dictionary, rows)
     if not failed:
-        return rows.withColumn("error", F.lit(None).cast("string"))
+        return scored.withColumn("error", F.lit(None).cast("string"))
     reason = F.coalesce(*[F.when(F.col("dimension") == d, F.lit(why)) for d, why in failed.items()])
-    return rows.withColumn("error", reason).withColumns({
+    return scored.withColumn("error", reason).withColumns({
         "score": F.when(F.col("error").isNull(), F.col("score")).otherwise(F.lit(0.0)),
         "passed": F.col("error").isNull() & F.col("passed")})
 
 
 def report(scored: DataFrame, scope) -> DataFrame:
-    """Overall score per file next to the eight results."""
-    overall = scored.groupBy(*scope).agg(
+    """Overall score per file next to the eight results, which are gathered per file: the scores are computed once."""
+    results = [c for c in scored.columns if c not in scope]
+    overall = scored.dropna(subset=list(scope)).groupBy(*scope).agg(
+        F.collect_list(F.struct(*results)).alias("_results"),
         half_up(exact_avg(F.col("score")), 4).alias("overall_score"),
         F.min(F.col("passed").cast("int")).cast("boolean").alias("all_passed"),
     )
-    return scored.join(overall, list(scope))
+    return overall.select(*scope, F.inline("_results"), "overall_score", "all_passed")
 
 
 def summary(scored: DataFrame, category: str = "service_id") -> DataFrame:
