@@ -30,6 +30,8 @@ EULER = 0.5772156649015329
 BROADCAST_NODES = 4_000_000
 #: Trips of one ratecode that meet a larger forest in one task.
 GROUP_ROWS = 1_000_000
+#: Columns of a trip that its score row keeps.
+SCORED = ("trip_id", "ratecode_id", "service_id", "year", "month", "is_anomaly_candidate")
 OK, LOW_ROWS, NO_RATECODE = "ok", "skipped_low_rows", "skipped_no_ratecode"
 
 
@@ -234,12 +236,12 @@ def train(features: DataFrame, settings: ForestSettings = DEFAULTS.forest) -> tu
 
 
 def ratio_scores(features: DataFrame) -> DataFrame:
-    """A plain baseline: cost per mile against the ratecode's median, cut at its p95."""
+    """A plain baseline: cost per mile against the ratecode's median, cut at its p95. Only the columns of the result are written."""
     usable = materialise(
-        features.filter(F.col("ratecode_id").isNotNull() & F.col("costo_por_distancia").isNotNull()), "usable")
+        features.filter(F.col("ratecode_id").isNotNull() & F.col("costo_por_distancia").isNotNull()).select(*SCORED, "costo_por_distancia"), "usable")
     middle = exact_quantile(usable, ["ratecode_id"], "costo_por_distancia", 0.5, "_mid")
-    scored = materialise(usable.join(middle, "ratecode_id").withColumn(
-        "isolation", half_up(F.col("costo_por_distancia") / F.col("_mid"), 6)), "ratio")
+    scored = materialise(usable.join(middle, "ratecode_id").select(
+        *SCORED, half_up(F.col("costo_por_distancia") / F.col("_mid"), 6).alias("isolation")), "ratio")
     cut = exact_quantile(scored, ["ratecode_id"], "isolation", 0.95, "cut").withColumn("offset", F.lit(0.0))
     return flag(scored, cut)
 
