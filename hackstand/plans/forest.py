@@ -8,6 +8,7 @@ these are few, else beside the trees of their ratecode in groups of bounded size
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -73,7 +74,8 @@ def training_rows(features: DataFrame, settings: ForestSettings) -> DataFrame:
     """Rows for every (ratecode, tree) drawn from all trips of the ratecode: those with the smallest tickets.
 
     A trip has one ticket per tree, by hash. Per ratecode, tickets under a bound are kept that lets through some more than a tree
-    takes; the rest falls away in the task that reads the trip, so only the drawn rows move.
+    takes; the rest falls away in the task that reads the trip, so only the drawn rows move. A first look sees hash and bound alone,
+    and only trips that some tree draws cross into Python whole.
     """
     sizes = features.filter(F.col("ratecode_id").isNotNull()).groupBy("ratecode_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= settings.min_rows)
     slack = settings.rows_per_tree + 8.0 * math.sqrt(settings.rows_per_tree) + 8.0
@@ -81,6 +83,11 @@ def training_rows(features: DataFrame, settings: ForestSettings) -> DataFrame:
         "ratecode_id", "trip_id", *FEATURES, F.xxhash64(F.lit(settings.seed), "trip_id").alias("_hash"), (F.lit(slack) / F.col("_n")).alias("_bound"))
     trees = settings.trees
 
+    @F.pandas_udf("boolean")
+    def drawn(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for hashes, bound in batches:
+            yield pd.Series((tickets(hashes.to_numpy(np.int64), trees) < bound.to_numpy()[:, None]).any(axis=1))
+
     def draw(batches):
         for pdf in batches:
             ticket = tickets(pdf["_hash"].to_numpy(np.int64), trees)
@@ -88,7 +95,7 @@ def training_rows(features: DataFrame, settings: ForestSettings) -> DataFrame:
             yield pdf.iloc[row].drop(columns=["_hash", "_bound"]).assign(tree=tree.astype(np.int32), _draw=ticket[row, tree])
 
     schema = rows.drop("_hash", "_bound").schema.add("tree", T.IntegerType()).add("_draw", T.DoubleType())
-    return rows.mapInPandas(draw, schema)
+    return rows.filter(drawn("_hash", "_bound")).mapInPandas(draw, schema)
 
 
 def tickets(hashes: np.ndarray, trees: int) -> np.ndarray:
@@ -123,20 +130,29 @@ def unpack(frame: pd.DataFrame) -> list[dict]:
             for _, r in frame.sort_values("tree").iterrows()]
 
 
+def prepared(tree: dict) -> dict:
+    """The tree with its followers by node and side, made at its first use. Leaves follow themselves, so all points take ``steps`` steps."""
+    if "follower" not in tree:
+        leaf, own = tree["feature"] < 0, np.arange(len(tree["feature"]))
+        sides = np.stack([np.where(leaf, own, tree["right"]), np.where(leaf, own, tree["left"])], axis=1).astype(np.int64)
+        steps, level = 0, np.zeros(1, dtype=np.int64)
+        while not leaf[level].all():
+            steps, level = steps + 1, np.unique(sides[level])
+        tree.update(split=np.where(leaf, 0, tree["feature"]).astype(np.int64), follower=sides.ravel(), steps=steps)
+    return tree
+
+
 def isolation(points: np.ndarray, trees: list[dict]) -> np.ndarray:
     """2 ** -(mean path / expected path): near 1 for points that separate early."""
     depth = np.zeros(len(points))
+    values = np.ascontiguousarray(points.T).ravel()  # feature by feature
     at_row = np.arange(len(points))
-    for tree in trees:
-        node = np.zeros(len(points), dtype=np.int64)
-        while True:
-            feature = tree["feature"][node]
-            inner = feature >= 0
-            if not inner.any():
-                break
-            goes_left = points[at_row, np.maximum(feature, 0)] <= tree["threshold"][node]
-            node = np.where(inner, np.where(goes_left, tree["left"][node], tree["right"][node]), node)
-        depth += tree["path"][node]
+    for tree in map(prepared, trees):
+        start, node = tree["split"] * len(points), np.zeros(len(points), dtype=np.int64)
+        for _ in range(tree["steps"]):
+            goes_left = values.take(start.take(node) + at_row) <= tree["threshold"].take(node)
+            node = tree["follower"].take(2 * node + goes_left)
+        depth += tree["path"].take(node)
     scale = float(np.mean([mean_path(t["sampled"]) for t in trees]))
     return np.power(2.0, -(depth / len(trees)) / max(scale, 1e-12))
 
@@ -147,10 +163,11 @@ def raw_scores(imputed: DataFrame, trees: DataFrame, most: int = BROADCAST_NODES
     Scoring is row by row, so a forest of up to ``most`` nodes serves a stream as well as a batch. A larger one is for batches, also those
     of ``foreachBatch``: trips of a ratecode are dealt into groups of bounded size, and each group meets the ratecode's trees.
     """
-    schema = T.StructType([*imputed.schema.fields, T.StructField("isolation", T.DoubleType())])
     nodes = trees.agg(F.coalesce(F.sum(F.size("feature")), F.lit(0)).alias("n")).first()["n"]
     if nodes <= most:
-        out = imputed.mapInPandas(_scorer(imputed.sparkSession.sparkContext.broadcast({int(k): unpack(g) for k, g in trees.toPandas().groupby("ratecode_id")})), schema)
+        # features alone cross into Python; the trip's other columns stay in the JVM
+        score = _scorer(imputed.sparkSession.sparkContext.broadcast({int(k): unpack(g) for k, g in trees.toPandas().groupby("ratecode_id")}))
+        out = imputed.withColumn("isolation", score("ratecode_id", *FEATURES))
     elif imputed.isStreaming:
         raise ValueError(f"{nodes} nodes are too many to broadcast to a stream: score its batches in foreachBatch")
     else:
@@ -164,20 +181,22 @@ def raw_scores(imputed: DataFrame, trees: DataFrame, most: int = BROADCAST_NODES
             value = isolation(trips[FEATURES].to_numpy(dtype=float), unpack(own)) if len(own) and len(trips) else np.full(len(trips), np.nan)
             return trips.drop(columns="_group").assign(isolation=np.round(value, 9))
 
+        schema = T.StructType([*imputed.schema.fields, T.StructField("isolation", T.DoubleType())])
         out = dealt.groupBy("ratecode_id", "_group").cogroup(copies.groupBy("_rc", "_of")).applyInPandas(beside, schema)
     return out.withColumn("isolation", F.nanvl("isolation", F.lit(None).cast("double")))
 
 
 def _scorer(model):
-    def score(batches):
-        for pdf in batches:
-            value = np.full(len(pdf), np.nan)
-            codes = pdf["ratecode_id"].to_numpy()
+    @F.pandas_udf("double")
+    def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for ratecodes, *features in batches:
+            codes, points = ratecodes.to_numpy(), np.column_stack([f.to_numpy(dtype=float) for f in features])
+            value = np.full(len(points), np.nan)
             for ratecode, trees in model.value.items():
                 rows = np.flatnonzero(codes == ratecode)
                 if len(rows):
-                    value[rows] = isolation(pdf[FEATURES].iloc[rows].to_numpy(dtype=float), trees)
-            yield pdf.assign(isolation=np.round(value, 9))
+                    value[rows] = isolation(points[rows], trees)
+            yield pd.Series(np.round(value, 9))
 
     return score
 
