@@ -77,7 +77,9 @@ def training_rows(features: DataFrame, settings: ForestSettings) -> DataFrame:
     takes; the rest falls away in the task that reads the trip, so only the drawn rows move. A first look sees hash and bound alone,
     and only trips that some tree draws cross into Python whole.
     """
-    sizes = features.filter(F.col("ratecode_id").isNotNull()).groupBy("ratecode_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= settings.min_rows)
+    counts = features.filter(F.col("ratecode_id").isNotNull()).groupBy("ratecode_id").agg(F.count(F.lit(1)).alias("_n"))
+    # written first, so that Catalyst knows how few they are: else all trips would be shuffled into a task per ratecode to meet them
+    sizes = materialise(counts.filter(F.col("_n") >= settings.min_rows), "sizes")
     slack = settings.rows_per_tree + 8.0 * math.sqrt(settings.rows_per_tree) + 8.0
     rows = features.join(sizes, "ratecode_id").select(
         "ratecode_id", "trip_id", *FEATURES, F.xxhash64(F.lit(settings.seed), "trip_id").alias("_hash"), (F.lit(slack) / F.col("_n")).alias("_bound"))

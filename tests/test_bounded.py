@@ -79,3 +79,10 @@ def test_scoring_sends_features_alone_to_python(spark):
                 paths.append(t["path"][node])
             scale = np.mean([forest.mean_path(t["sampled"]) for t in model[r.ratecode_id]])
             assert r.isolation == pytest.approx(2.0 ** -(np.mean(paths) / scale), abs=2e-9)
+
+
+def test_trips_stay_where_they_are_when_trees_draw(spark):
+    df = spark.range(500).selectExpr("id as trip_id", "cast(id % 2 as int) as ratecode_id", *[f"cast(id as double) as {c}" for c in forest.FEATURES])
+    drawn = forest.training_rows(df, forest.ForestSettings(trees=3, min_rows=20))
+    assert "Exchange hashpartitioning" not in drawn._jdf.queryExecution().executedPlan().toString()
+    assert drawn.select("ratecode_id", "tree").distinct().count() == 6
