@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hackstand.llm.common import free_name, narrow, row_key
+from hackstand.llm.common import free_name, if_small, narrow, row_key, store
 
 #: Fixed seeds: which of nine words count. Six of nine, no two with the same gaps.
 MASKS = ("110110011", "101011011", "111001101")
@@ -60,11 +60,14 @@ def seed_table(benchmark: DataFrame, item_col: str = "item_id", text_col: str =
 
 def verified_hits(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text", share: int = SHARE, seeds_per_pass: int = SEEDS_PER_PASS) -> DataFrame:
-    """row, doc_id, item_id, pos, m (equal words), w (words of the window) of every hit that stands."""
-    docs = narrow(df, id_col, text_col).select(row_key().alias("row"), "doc_id", _words("text").alias("words"))
+    """row, doc_id, item_id, pos, m (equal words), w (words of the window) of every hit that stands.
+
+    Hits are written before they are verified, so that of all texts only those with a hit are cut into words again and shuffled.
+    """
+    texts = narrow(df, id_col, text_col).select(row_key().alias("row"), "doc_id", "text")
     seeds = seed_table(benchmark, item_col, item_text_col)
     passes = max(1, -(-seeds.count() // seeds_per_pass))
-    windows = _windows(docs, ["row"])
+    windows = _windows(texts.select("row", _words("text").alias("words")), ["row"])
     hits = None
     for k in range(passes):  # each broadcast is bounded; a larger benchmark takes more passes, not more memory
         part = seeds.where(F.pmod("seed", F.lit(passes)) == k) if passes > 1 else seeds
@@ -73,7 +76,8 @@ def verified_hits(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
         found = _seeds(met, ["row"]).drop("pair").join(F.broadcast(part.drop("pair")), "seed")
         hits = found if hits is None else hits.unionByName(found)
     # a row's hits are bounded by its own words and its windows' occurrences in the benchmark
-    hits = hits.groupBy("row").agg(F.collect_set(F.struct("pos", "item_id", "ahead", "window")).alias("hits"))
+    hits = store(hits.groupBy("row").agg(F.collect_set(F.struct("pos", "item_id", "ahead", "window")).alias("hits")), "hits")
+    docs = texts.join(if_small(hits.select("row")), "row", "left_semi").select("row", "doc_id", _words("text").alias("words"))
 
     def equal_words(h):
         same = F.transform(h["window"], lambda word, j: F.get("words", h["pos"] - h["ahead"] + j) == word)
@@ -98,8 +102,8 @@ def drop_contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     """
     key = row_key(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`"))
     hit = free_name(df, "hit")
-    bad = verified_hits(df, benchmark, id_col, text_col).select(F.col("row").alias(hit)).distinct()
-    return df.join(bad, key == F.col(hit), "left_anti")
+    bad = store(verified_hits(df, benchmark, id_col, text_col).select(F.col("row").alias(hit)).distinct(), "contaminated")
+    return df.join(if_small(bad), key == F.col(hit), "left_anti")
 
 
 def sql(share: int = SHARE) -> str:

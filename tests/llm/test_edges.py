@@ -280,3 +280,10 @@ def test_grammar_leaves_no_frequent_pair_and_decodes(kind):
             left[pair] = left.get(pair, 0) + 1
         at += 2 if pair[0] == pair[1] and not marks[at] else 1
     assert max(left.values(), default=0) < repair.LEAST
+
+
+def test_op10_texts_without_a_hit_are_not_shuffled(spark, full, bench):
+    for df in (op10.contaminated(full, bench, "id", "body"), op10.drop_contaminated(full, bench, "id", "body")):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        assert "LeftSemi, BuildRight" in plan or "LeftAnti, BuildRight" in plan
+        assert "SortMergeJoin [xxhash64" not in plan
