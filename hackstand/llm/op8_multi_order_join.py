@@ -6,9 +6,11 @@ orders are used: in each, tokens known to be frequent come last by the size of t
 hash of their own. Postings under the first order give candidates; a candidate whose prefixes under the second or the third
 order do not meet is dropped; what is left is verified on the whole sets.
 
-Equal sets are one class. Postings of a token first link only to one hub per size class, which joins most near copies in
-a number of links in proportion to the postings. What the links leave apart is then compared across components, so no
-link between different components is lost while pairs inside a component are never listed.
+Equal sets are one class. Each class first meets the hub (of a token and a size class) with which it shares most postings, which
+joins most near copies. What the links leave apart is compared across components, token by token inside tasks: pairs are never
+listed, only the classes that still have a candidate are put into families, by a forest of candidates. The texts of a family go
+to one task, a large family's in pairs of blocks, where its pairs are verified unless already linked, and a forest of links
+comes back. So rows, shuffles and memory grow with the classes, and no link between different components is lost.
 
 * Null text, empty text or no word: empty set, linked with nothing, its own component.
 * Fewer than ``n`` words: the whole word sequence is the one shingle.
@@ -23,7 +25,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hackstand.llm.common import free_name, if_small, narrow, row_key, store, text_slices
@@ -38,6 +40,12 @@ KNOWN_TOKENS = 1 << 18
 BLOCK_TOKENS = 3_000_000
 #: Text bytes for each bucket of rare tokens.
 BUCKET_BYTES = 16 << 20
+#: Least number of counts in a set's sketch.
+LEAST_COUNTS = 64
+#: Postings of a token, and tokens of a family, that one block holds; more are met in pairs of blocks.
+BLOCK_POSTINGS, BLOCK_SIZES = 2_048, 500_000
+#: Classes whose links a task remembers while it makes a forest; beyond, it starts anew and may repeat links.
+KEPT_CLASSES = 300_000
 
 
 def shingle_sets(texts: pa.Array, n: int):
@@ -63,6 +71,77 @@ def overlap(size_a: int, size_b: int, percent: int) -> int:
     return -(-percent * (size_a + size_b) // (100 + percent))
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """Tokens counted by hash, modulo 256, in 64 places or more, twice as many for four times the tokens.
+
+    The differences of two sketches add up to at most the number of tokens in which the sets differ.
+    """
+    places = LEAST_COUNTS
+    while places * places * 4 <= len(tokens) * LEAST_COUNTS:
+        places *= 2
+    shift = np.uint64(64 - places.bit_length() + 1)
+    return np.bincount((mix(tokens, 7) >> shift).astype(np.int64), minlength=places).astype(np.uint8).tobytes()
+
+
+class Sketches:
+    """Sketches of several lengths, folded to the shorter length of each pair."""
+
+    def __init__(self, blobs: list[bytes]):
+        self.lengths = np.array([len(x) for x in blobs], np.int64)
+        self.rows, self.at = {}, {}
+        for k in np.unique(self.lengths):
+            rows = np.flatnonzero(self.lengths >= k)
+            folded = [np.frombuffer(blobs[i], np.uint8).reshape(k, -1).sum(axis=1, dtype=np.uint8) for i in rows]
+            self.rows[k] = np.stack(folded)
+            self.at[k] = np.zeros(len(blobs), np.int64)
+            self.at[k][rows] = np.arange(len(rows))
+
+    def apart(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """The least number of tokens in which the sets of each pair differ."""
+        out, k_of = np.zeros(len(i), np.int64), np.minimum(self.lengths[i], self.lengths[j])
+        for k in np.unique(k_of):
+            own = np.flatnonzero(k_of == k)
+            d = self.rows[k][self.at[k][i[own]]] - self.rows[k][self.at[k][j[own]]]
+            out[own] = np.minimum(d, -d).sum(axis=1, dtype=np.int64)
+        return out
+
+
+def tiers(tokens: np.ndarray, known) -> np.ndarray:
+    """The size of each known token's count; 0 for others."""
+    tokens_known, tiers_known = known
+    if not len(tokens_known):
+        return np.zeros(len(tokens), np.int64)
+    at = np.minimum(np.searchsorted(tokens_known, tokens), len(tokens_known) - 1)
+    return np.where(tokens_known[at] == tokens, tiers_known[at], 0)
+
+
+def prefix(tokens: np.ndarray, tier: np.ndarray, k: int, percent: int) -> np.ndarray:
+    """Places of the tokens that come first in the ``k``-th order, sorted by it."""
+    p = prefix_size(len(tokens), percent)
+    rank = (tier.astype(np.uint64) << np.uint64(58)) | (mix(tokens, 11 + k) >> np.uint64(6))
+    first = np.argpartition(rank, p - 1)[:p] if p < len(tokens) else np.arange(len(tokens))
+    return first[np.argsort(rank[first])]
+
+
+def whole_groups(batches, key: str):
+    """Tables of whole groups from batches that are sorted by ``key``."""
+    held: list = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy()
+        if held and held[-1].column(key)[-1].as_py() != keys[0]:
+            yield pa.Table.from_batches(held)
+            held = []
+        cut = int(np.searchsorted(keys, keys[-1]))
+        if cut:
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _int64(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64, copy=False))
 
@@ -105,11 +184,10 @@ def _profile(n: int):
 
 
 def _postings(n: int, percent: int, known, buckets: int):
-    """Rows of three kinds: 0, a block of rare postings of one bucket; 1, a posting of a known token; 2, a class with its other prefixes."""
+    """Rows of three kinds: 0, a block of rare postings of one bucket; 1, a posting of a known token; 2, a class with its sketch."""
     names = ["kind", "key", "sign", "size", "place", "blob"]
 
     def run(batches):
-        tokens_known, tiers_known = known.value
         for batch in batches:
             seen: set = set()
             held: list = []
@@ -137,21 +215,13 @@ def _postings(n: int, percent: int, known, buckets: int):
                     if not len(tokens) or (sign := signature(tokens)) in seen:
                         continue
                     seen.add(sign)
-                    at = np.minimum(np.searchsorted(tokens_known, tokens), max(0, len(tokens_known) - 1))
-                    tier = np.where(tokens_known[at] == tokens, tiers_known[at], 0) if len(tokens_known) else np.zeros(len(tokens), np.int64)
-                    p = prefix_size(len(tokens), percent)
-                    others = []
-                    for k in range(ORDERS):
-                        rank = (tier.astype(np.uint64) << np.uint64(58)) | (mix(tokens, 11 + k) >> np.uint64(6))
-                        first = np.argpartition(rank, p - 1)[:p] if p < len(tokens) else np.arange(len(tokens))
-                        if k == 0:
-                            first = first[np.argsort(rank[first])]
-                            held.append((tokens[first], np.full(p, sign), np.full(p, len(tokens)), np.arange(p), tier[first]))
-                        else:
-                            others.append(np.sort((tokens[first] >> np.uint64(32)).astype(np.uint32)).tobytes())
+                    tier = tiers(tokens, known.value)
+                    first = prefix(tokens, tier, 0, percent)
+                    p = len(first)
+                    held.append((tokens[first], np.full(p, sign), np.full(p, len(tokens)), np.arange(p), tier[first]))
                     signs.append(sign)
                     sizes.append(len(tokens))
-                    blobs.append(b"".join(others))
+                    blobs.append(sketch(tokens))
                 k = len(signs)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(k, 2, np.int32)), pa.nulls(k, pa.int64()), pa.array(signs, pa.int64()), pa.array(sizes, pa.int64()), pa.nulls(k, pa.int64()), pa.array(blobs, pa.binary())], names)
                 if sum(len(x[0]) for x in held) > BLOCK_TOKENS // 4:
@@ -178,45 +248,119 @@ def _shared_rare(batches):
             yield pa.RecordBatch.from_arrays([_int64(np.ascontiguousarray(rows["t"])), _int64(np.ascontiguousarray(rows["s"])), _int64(rows["n"]), _int64(rows["p"])], ["token", "sign", "size", "place"])
 
 
-def _orders_meet(percent: int):
-    """Keeps the pairs whose prefixes share enough tokens under every further order.
-
-    The prefix that ends first in an order holds all common tokens up to its end, and these are in both prefixes; any other
-    common token is among the ``size - prefix`` tokens after it.
-    """
+def _near(percent: int):
+    """From postings sorted by cell, a forest (a, b) of the pairs in one cell whose parts differ and whose sizes, places and sketches allow the similarity."""
 
     def run(batches):
-        for batch in batches:
-            keep = []
-            for a, b, n, m in zip(batch.column("blob_a"), batch.column("blob_b"), batch.column("size_a").to_pylist(), batch.column("size_b").to_pylist()):
-                x, y = np.frombuffer(a.as_buffer(), np.uint32), np.frombuffer(b.as_buffer(), np.uint32)
-                p, q = prefix_size(n, percent), prefix_size(m, percent)
-                least = max(1, overlap(n, m, percent) - max(n - p, m - q))
-                keep.append(all(np.isin(x[k * p : (k + 1) * p], y[k * q : (k + 1) * q]).sum() >= least for k in range(ORDERS - 1)))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        above: dict = {}
+
+        def top(x):
+            while (y := above.get(x, x)) != x:
+                above[x] = x = above.get(y, y)
+            return x
+
+        for table in whole_groups(batches, "cell"):
+            cell, sign, size, place, part = (table.column(c).to_numpy() for c in ("cell", "sign", "size", "place", "part"))
+            sketches = Sketches(table.column("sketch").to_pylist())
+            at, step, links = np.arange(len(cell)), 0, set()
+            while True:  # rows of a cell meet at every distance
+                step += 1
+                at = at[: np.searchsorted(at, len(cell) - step)]
+                at = at[cell[at] == cell[at + step]]
+                if not len(at):
+                    break
+                i = at[part[at] != part[at + step]]
+                i = i[np.minimum(size[i], size[i + step]) * 100 >= np.maximum(size[i], size[i + step]) * percent]
+                j = i + step
+                need = overlap(size[i], size[j], percent)
+                ok = np.minimum(place[i], place[j]) + 1 + np.minimum(size[i] - place[i] - 1, size[j] - place[j] - 1) >= need
+                i, j, need = i[ok], j[ok], need[ok]
+                ok = sketches.apart(i, j) <= size[i] + size[j] - 2 * need
+                links.update(zip(sign[i[ok]].tolist(), sign[j[ok]].tolist()))
+            if len(above) > KEPT_CLASSES:
+                above.clear()
+            forest = []
+            for a, b in links:
+                x, y = top(a), top(b)
+                if x != y:
+                    above[max(x, y)] = min(x, y)
+                    forest.append((a, b))
+            if forest:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*forest)], ["a", "b"])
 
     return run
 
 
-def _sets(n: int):
-    def run(batches):
-        for batch in batches:
-            for piece in text_slices(batch):
-                blobs = [x.tobytes() for x in shingle_sets(piece.column("text"), n)]
-                yield pa.RecordBatch.from_arrays([piece.column("sign"), pa.array(blobs, pa.binary())], ["sign", "blob"])
+def _shared_tokens(mark: np.ndarray, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """How many of the tokens of each class in ``which`` are marked."""
+    own = sizes[which]
+    begin = np.cumsum(own) - own
+    at = np.repeat(starts[which] - begin, own) + np.arange(int(own.sum()))
+    return np.add.reduceat(mark[flat[at]], begin, dtype=np.int64)
 
-    return run
 
+def forest_of_links(signs: np.ndarray, parts: np.ndarray, sets: list, percent: int, known) -> list[tuple[int, int]]:
+    """Links between similar sets that join what ``parts`` leave apart: a forest, in which no similar pair stays unjoined.
+
+    A pair whose prefixes share too few tokens under a further order is dropped: the prefix that ends first in an order holds all
+    common tokens up to its end, and these are in both prefixes; any other common token is among the ``size - prefix`` after it.
+    """
+    keep = np.unique(signs, return_index=True)[1]
+    keep = keep[np.argsort([len(sets[k]) for k in keep], kind="stable")]
+    signs, sets, root = signs[keep], [sets[k] for k in keep], np.unique(parts[keep], return_inverse=True)[1]
+    if not root.any():
+        return []
+    sizes = np.array([len(x) for x in sets], np.int64)
+    starts = np.cumsum(sizes) - sizes
+    ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    mark = np.zeros(int(ids.max()) + 1, bool)
+    heads = prefix_size(sizes, percent)
+    head_starts = np.cumsum(heads) - heads
+    orders = [[] for _ in range(ORDERS - 1)]
+    for x, at in zip(sets, starts):
+        tier = tiers(x, known)
+        for k, order in enumerate(orders):
+            order.append(ids[at + prefix(x, tier, k + 1, percent)])
+    orders = [np.concatenate(x) for x in orders]
+    ends, links = np.searchsorted(sizes, 100 * sizes // percent, "right"), []
+    for a in range(len(sets) - 1):
+        b = np.arange(a + 1, ends[a])
+        b = b[root[b] != root[a]]
+        for order in orders:
+            if not len(b):
+                break
+            own = order[head_starts[a] : head_starts[a] + heads[a]]
+            mark[own] = True
+            least = np.maximum(1, overlap(sizes[a], sizes[b], percent) - np.maximum(sizes[a] - heads[a], sizes[b] - heads[b]))
+            b = b[_shared_tokens(mark, order, head_starts, heads, b) >= least]
+            mark[own] = False
+        if not len(b):
+            continue
+        own = ids[starts[a] : starts[a] + sizes[a]]
+        mark[own] = True
+        common = _shared_tokens(mark, ids, starts, sizes, b)
+        mark[own] = False
+        b = b[100 * common >= percent * (sizes[a] + sizes[b] - common)]
+        roots, first = np.unique(root[b], return_index=True)
+        links += [(int(signs[a]), int(signs[k])) for k in b[first]]
+        root[np.isin(root, roots)] = root[a]
+    return links
+
+
+def _links(n: int, percent: int, known):
+    """From texts sorted by cell, the forest of links of each cell."""
 
-def _similar(percent: int):
     def run(batches):
-        for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("blob_a"), batch.column("blob_b")):
-                x, y = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        for table in whole_groups(batches, "cell"):
+            cells = table.column("cell").to_numpy()
+            bounds = np.append(np.flatnonzero(np.append(True, cells[1:] != cells[:-1])), len(cells))
+            links = []
+            for i, j in zip(bounds[:-1], bounds[1:]):
+                rows = table.slice(i, j - i).combine_chunks().to_batches()[0]
+                sets = [x for piece in text_slices(rows) for x in shingle_sets(piece.column("text"), n)]
+                links += forest_of_links(rows.column("sign").to_numpy(), rows.column("part").to_numpy(), sets, percent, known.value)
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links)], ["a", "b"])
 
     return run
 
@@ -234,67 +378,71 @@ class Join:
         known = profile.where("kind = 1").groupBy("key").agg(F.sum("value").alias("n")).orderBy(F.desc("n"), "key").limit(KNOWN_TOKENS).toPandas()
         tokens = known["key"].to_numpy(np.int64).view(np.uint64)
         order = np.argsort(tokens)
-        tiers = np.minimum(63, 1 + np.log2(np.maximum(2, known["n"].to_numpy(np.float64))).astype(np.int64))
-        shared = self.spark.sparkContext.broadcast((tokens[order], tiers[order]))
+        heights = np.minimum(63, 1 + np.log2(np.maximum(2, known["n"].to_numpy(np.float64))).astype(np.int64))
+        self.known = self.spark.sparkContext.broadcast((tokens[order], heights[order]))
         total = self.docs.agg(F.sum("size")).first()[0] or 0
         buckets = max(8, int(total * 6 // BUCKET_BYTES))
-        made = store(self.keyed.select("text").mapInArrow(_postings(self.n, self.percent, shared, buckets), "kind int, key long, sign long, size long, place long, blob binary"), "postings")
+        made = store(self.keyed.select("text").mapInArrow(_postings(self.n, self.percent, self.known, buckets), "kind int, key long, sign long, size long, place long, blob binary"), "postings")
         rare = made.where("kind = 0").groupBy("key").agg(F.collect_list("blob").alias("blobs")).select("blobs").mapInArrow(_shared_rare, "token long, sign long, size long, place long")
         hot = made.where("kind = 1").select(F.col("key").alias("token"), "sign", "size", "place").distinct()
         self.postings = store(rare.unionByName(hot), "shared")
-        self.classes = made.where("kind = 2").select("sign", "size", "blob")
-        hubbed = self._hub_pairs()
-        first = store(self.verified(hubbed), "verified")
-        apart = self._apart_pairs(components(first))
-        if apart is None:
-            return first
-        return first.unionByName(store(self.verified(apart), "verified"))
-
-    def _hub_pairs(self) -> DataFrame:
-        level = F.floor(F.log(F.col("size").cast("double")) / math.log(100 / self.percent)).cast("int")
-        posts = self.postings.withColumn("level", level)
+        self.classes = made.where("kind = 2").groupBy("sign").agg(F.first("size").alias("size"), F.first("blob").alias("sketch"))
+        first = self._linked(self._stars())
+        families = self._families(components(first))
+        return first if families is None else first.unionByName(self._linked(families))
+
+    def _stars(self) -> DataFrame:
+        """sign, part, cell: every class that shares a posted token, beside the hub with which it shares most."""
+        posts = self.postings.withColumn("level", self._level())
         hubs = posts.groupBy("token", "level").agg(F.min("sign").alias("hub"), F.count("*").alias("c")).where("c > 1").drop("c")
-        return posts.join(hubs, ["token", "level"]).where("sign <> hub").select(F.col("hub").alias("a"), F.col("sign").alias("b")).distinct()
-
-    def _apart_pairs(self, labels: DataFrame) -> DataFrame | None:
-        """Pairs of different components that share a posted token and whose sizes and places allow the similarity."""
+        met = posts.join(hubs, ["token", "level"]).where("sign <> hub").groupBy("sign", "hub").agg(F.count("*").alias("c"), F.first("size").alias("size"))
+        best = store(met.groupBy("sign").agg(F.max(F.struct("c", "hub")).alias("best"), F.first("size").alias("size")).select("sign", "size", "best.hub"), "stars")
+        blocks = best.groupBy("hub").agg(F.ceil(F.sum("size") / BLOCK_SIZES).alias("blocks"))
+        near = best.join(blocks, "hub").select("sign", F.col("sign").alias("part"), F.xxhash64("hub", F.pmod(F.xxhash64("sign"), "blocks")).alias("cell"))
+        centre = blocks.select("hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("k"))
+        return near.unionByName(centre.select(F.col("hub").alias("sign"), F.col("hub").alias("part"), F.xxhash64("hub", "k").alias("cell")))
+
+    def _families(self, labels: DataFrame) -> DataFrame | None:
+        """sign, part, cell: the classes that have a candidate in another component, beside all they may be similar to."""
         posts = self.postings.join(labels, F.col("sign") == F.col("node"), "left").select("token", "sign", "size", "place", F.coalesce("label", "sign").alias("part"))
         posts = store(posts, "parts")
-        mixed = posts.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("token")
-        open_ = store(posts.join(mixed, "token", "left_semi"), "open")
-        if not open_.limit(1).count():
+        mixed = posts.groupBy("token", "part").agg(F.count("*").alias("c")).groupBy("token").agg(
+            F.count("*").alias("parts"), F.sum("c").alias("c"), F.max(F.struct("c", "part")).alias("star")).where("parts > 1")
+        # a token's largest part meets only the others; blocks bound what one task holds
+        mixed = mixed.select("token", F.col("star.part").alias("star"), F.ceil(F.col("star.c") / BLOCK_POSTINGS).alias("n"), F.ceil((F.col("c") - F.col("star.c")) / BLOCK_POSTINGS).alias("m"))
+        open_ = posts.join(mixed, "token").join(self.classes.select("sign", "sketch"), "sign")
+        own, from_0 = F.xxhash64("sign"), lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
+        row, col = F.pmod(own, "n"), F.pmod(own, "m")
+        cell = lambda i, j: F.xxhash64("token", i, j)
+        stars = F.transform(from_0("m"), lambda j: cell(row, j))
+        others = F.transform(from_0("n"), lambda i: cell(i, col))
+        among = F.when((F.col("n") == 1) & (F.col("m") == 1), F.array().cast("array<bigint>")).otherwise(F.transform(from_0("m"), lambda j: cell(-1 - F.greatest(j, col), F.least(j, col))))
+        cells = F.when(F.col("part") == F.col("star"), stars).otherwise(F.concat(others, among))
+        dealt = open_.select(F.explode(cells).alias("cell"), "sign", "size", "place", "part", "sketch")
+        forest = store(dealt.repartition("cell").sortWithinPartitions("cell").mapInArrow(_near(self.percent), "a long, b long"), "forest")
+        if not forest.limit(1).count():
             return None
-        width = math.log(100 / self.percent)
-        level = F.floor(F.log(F.col("size").cast("double")) / width).cast("int")
-        left = open_.withColumn("level", level).select("token", "level", *[F.col(c).alias(f"{c}_a") for c in ("sign", "size", "place", "part")])
-        # the larger set lies in the smaller one's size level or the next two, so long lists meet only their like
-        right = open_.withColumn("level", F.explode(F.array(*[level - k for k in range(3)]))).select("token", "level", *[F.col(c).alias(f"{c}_b") for c in ("sign", "size", "place", "part")])
-        bound = F.least("place_a", "place_b") + 1 + F.least(F.col("size_a") - F.col("place_a") - 1, F.col("size_b") - F.col("place_b") - 1)
-        need = F.ceil((F.col("size_a") + F.col("size_b")) * self.percent / (100 + self.percent) - F.lit(1e-9))
-        near = (F.col("size_a") <= F.col("size_b")) & (F.col("size_a") * 100 >= F.col("size_b") * self.percent) & (F.col("part_a") != F.col("part_b")) & (bound >= need)
-        # each pair once by token: of sets of one size, that with the smaller signature is on the left
-        once = (F.col("size_a") < F.col("size_b")) | (F.col("sign_a") < F.col("sign_b"))
-        met = left.join(right, ["token", "level"]).where(near & once).groupBy("sign_a", "sign_b", "size_a", "size_b").agg(
-            F.count("*").alias("common"), F.max("place_a").alias("place_a"), F.max("place_b").alias("place_b"))
-        # the tokens that both prefixes hold, and at most all that follow the last of these
-        rest = F.least(F.col("size_a") - F.col("place_a") - 1, F.col("size_b") - F.col("place_b") - 1)
-        return met.where(F.col("common") + rest >= need).select(F.least("sign_a", "sign_b").alias("a"), F.greatest("sign_a", "sign_b").alias("b"))
-
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that every order lets pass and whose whole sets are similar. Profiles and texts move for the pairs' classes only."""
-        pairs = store(pairs, "pairs")
-        classes = self.classes.join(self._members(pairs), "sign", "left_semi").groupBy("sign").agg(F.first("size").alias("size"), F.first("blob").alias("blob"))
-        classes = store(classes, "classes")
-        sides = {s: classes.select(F.col("sign").alias(s), F.col("size").alias(f"size_{s}"), F.col("blob").alias(f"blob_{s}")) for s in "ab"}
-        met = store(pairs.join(sides["a"], "a").join(sides["b"], "b").mapInArrow(_orders_meet(self.percent), "a long, b long"), "candidates")
-        rows = store(self.docs.join(self._members(met), "sign", "left_semi").groupBy("sign").agg(F.min("row").alias("row")), "rows")
-        texts = self.keyed.join(if_small(rows), "row").select("sign", "text")
-        sets = store(texts.mapInArrow(_sets(self.n), "sign long, blob binary").dropDuplicates(["sign"]), "sets")
-        side = {s: sets.select(F.col("sign").alias(s), F.col("blob").alias(f"blob_{s}")) for s in "ab"}
-        return met.join(side["b"], "b").join(side["a"], "a").mapInArrow(_similar(self.percent), "a long, b long")
-
-    def _members(self, pairs: DataFrame) -> DataFrame:
-        return if_small(store(pairs.select(F.explode(F.array("a", "b")).alias("sign")).distinct(), "members"))
+        family = components(forest)
+        nodes = family.join(self.classes.select("sign", "size"), F.col("node") == F.col("sign")).join(labels.withColumnsRenamed({"node": "sign", "label": "part"}), "sign", "left")
+        nodes = store(nodes.select("sign", "size", F.coalesce("part", "sign").alias("part"), "label"), "families")
+        # similar sets lie in one size level or in two next to each other
+        nodes = nodes.withColumn("level", F.explode(F.array(self._level(), self._level() + 1)))
+        blocks = nodes.groupBy("label", "level").agg(F.ceil(F.sum("size") / BLOCK_SIZES).alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi")
+        pairs = F.transform(from_0("n"), lambda k: F.xxhash64("label", "level", F.least(k, row), F.greatest(k, row)))
+        return nodes.join(blocks, ["label", "level"]).select("sign", "part", F.explode(pairs).alias("cell"))
+
+    def _level(self) -> Column:
+        """Size levels so wide that similar sets differ by one at most, whatever the rounding of the logarithm."""
+        return F.floor(F.log(F.col("size").cast("double")) / (math.log(100 / self.percent) * 1.001)).cast("int")
+
+    def _linked(self, cells: DataFrame) -> DataFrame:
+        """A forest of the links in each cell of ``cells`` (sign, part, cell). Only the texts of their classes move, once per cell."""
+        cells = store(cells.groupBy("sign").agg(F.first("part").alias("part"), F.collect_list("cell").alias("cells")), "cells")
+        rows = self.docs.join(if_small(cells.select("sign")), "sign", "left_semi").groupBy("sign").agg(F.min("row").alias("row"))
+        rows = store(rows.join(cells, "sign"), "rows")
+        texts = self.keyed.join(if_small(rows), "row").select("sign", "part", F.explode("cells").alias("cell"), "text")
+        dealt = texts.repartition("cell").sortWithinPartitions("cell")
+        return store(dealt.mapInArrow(_links(self.n, self.percent, self.known), "a long, b long"), "verified")
 
     def documents(self) -> DataFrame:
         labels = components(self.links())

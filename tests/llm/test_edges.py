@@ -287,3 +287,20 @@ def test_op10_texts_without_a_hit_are_not_shuffled(spark, full, bench):
         plan = df._jdf.queryExecution().sparkPlan().toString()
         assert "LeftSemi, BuildRight" in plan or "LeftAnti, BuildRight" in plan
         assert "SortMergeJoin [xxhash64" not in plan
+
+
+@pytest.mark.parametrize("postings, sizes", [(op8.BLOCK_POSTINGS, op8.BLOCK_SIZES), (3, 100)])
+def test_op8_families_make_no_rows_by_pairs(spark, monkeypatch, postings, sizes):
+    """Many texts of one family, each just under the threshold to all others, beside a few that link; in one block and in pairs of small ones."""
+    monkeypatch.setattr(op8, "BLOCK_POSTINGS", postings)
+    monkeypatch.setattr(op8, "BLOCK_SIZES", sizes)
+    texts = [" ".join([f"c{x}" for x in range(100)] + [f"u{k}_{x}" for x in range(11)]) for k in range(80)]
+    texts += [" ".join([f"c{x}" for x in range(100)] + [f"u{k}_{x}" for x in range(9)] + ["last", f"w{k}"]) for k in range(0, 80, 10)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    join = op8.Join(df)
+    written = []
+    monkeypatch.setattr(op8, "store", lambda frame, label, real=op8.store: written.append((label, real(frame, label))) or written[-1][1])
+    got = {r["doc_id"]: r["component_id"] for r in join.documents().collect()}
+    assert got == {k: k if k < 80 else (k - 80) * 10 for k in range(88)}
+    if postings > 3:
+        assert max(x.count() for label, x in written if label not in ("profile", "postings", "shared", "parts")) <= 4 * len(texts)
