@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hackstand.llm.common import narrow, store, text_slices
+from hackstand.llm.common import kept, narrow, store, text_slices
 from hackstand.llm.tokens import _SURE as SURE
 from hackstand.llm.tokens import BYTE_SIGNS, vocabulary
 from hackstand.llm.word_ids import distinct, gather
@@ -171,7 +171,7 @@ def same_bytes(bytes_a: list[bytes], fallback: list[bool], bytes_b: list[bytes])
     return np.array([by_bytes.get(x, -1) if x else -1 for x in bytes_a], np.int64)
 
 
-_ALIGNERS: dict[tuple, Aligner] = {}
+_ALIGNERS: dict[tuple, Aligner] = kept()
 
 
 def aligner(path_a: str, path_b: str) -> Aligner:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hackstand.llm.common import crc_fold, narrow, small_batches, text_slices
+from hackstand.llm.common import crc_fold, forget, narrow, small_batches, text_slices
 from hackstand.llm.words import raw_bytes
 
 #: Labelled rows and bytes that training takes at most, in the order of a hash of the id, half of each class; an id whose text doesn't fit is passed over.
@@ -183,6 +183,7 @@ def score(df: DataFrame, net: Net | float, id_col: str = "doc_id", text_col: str
 
 def _good(model, at: int, least: float):
     def run(batches):
+        forget()
         net = model.value
         for batch in batches:
             texts = pa.RecordBatch.from_arrays([batch.column(at)], ["text"])

@@ -12,6 +12,7 @@ from array import array
 import numpy as np
 import pyarrow as pa
 
+from hackstand.llm.common import kept
 from hackstand.llm.words import raw_bytes
 
 #: Segments whose ids a worker keeps; beyond, it forgets and starts anew. Bounds memory only.
@@ -138,7 +139,7 @@ class Encoder:
         return ids, bounds
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[str, Encoder] = kept()
 
 
 def encoder(path: str) -> Encoder:

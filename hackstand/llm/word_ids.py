@@ -14,6 +14,7 @@ from array import array
 import numpy as np
 import pyarrow as pa
 
+from hackstand.llm.common import kept
 from hackstand.llm.tokens import KEPT_SEGMENTS, vocabulary
 from hackstand.llm.words import raw_bytes
 
@@ -96,7 +97,7 @@ class WordEncoder:
         return ids, bounds[np.searchsorted(places, offsets)]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[str, WordEncoder] = kept()
 
 
 def word_encoder(path: str | None = None) -> WordEncoder:
