@@ -7,7 +7,7 @@ hash of their own. Postings under the first order give candidates; a candidate w
 order do not meet is dropped; what is left is verified on the whole sets.
 
 Equal sets are one class. Each class first meets the hub (of a token and a size class) with which it shares most postings, which
-joins most near copies. What the links leave apart is compared across components, token by token inside tasks: pairs are never
+joins most near copies; one that shares few with any hub waits. What the links leave apart is compared across components, token by token inside tasks: pairs are never
 listed, only the classes that still have a candidate are put into families, by a forest of candidates. The texts of a family go
 to one task, a large family's in pairs of blocks, where its pairs are verified unless already linked, and a forest of links
 comes back. So rows, shuffles and memory grow with the classes, and no link between different components is lost.
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hackstand.llm.common import free_name, if_small, narrow, row_key, store, text_slices
+from hackstand.llm.common import forget, free_name, if_small, narrow, row_key, small_batches, store, text_slices
 from hackstand.llm.components import components
 from hackstand.llm.words import Words, mix, ngrams
 
@@ -40,8 +40,12 @@ KNOWN_TOKENS = 1 << 18
 BLOCK_TOKENS = 3_000_000
 #: Text bytes for each bucket of rare tokens.
 BUCKET_BYTES = 16 << 20
-#: Least number of counts in a set's sketch.
-LEAST_COUNTS = 64
+#: Bytes of text whose shingles are made at once.
+PIECE_BYTES = 1 << 20
+#: Least number of counts in a set's sketch; from so many on, a count has eight bits instead of four. Most tokens that a count has on average.
+LEAST_COUNTS, WIDE_COUNTS, MOST_IN_A_COUNT = 32, 256, 32
+#: A class meets its hub if they share this part of its posted tokens. It saves moving texts that meet by chance; the families find all other links.
+HUB_SHARE = 8
 #: Postings of a token, and tokens of a family, that one block holds; more are met in pairs of blocks.
 BLOCK_POSTINGS, BLOCK_SIZES = 2_048, 500_000
 #: Classes whose links a task remembers while it makes a forest; beyond, it starts anew and may repeat links.
@@ -72,26 +76,34 @@ def overlap(size_a: int, size_b: int, percent: int) -> int:
 
 
 def sketch(tokens: np.ndarray) -> bytes:
-    """Tokens counted by hash, modulo 256, in 64 places or more, twice as many for four times the tokens.
+    """Tokens counted by hash in 32 places or more, twice as many for four times the tokens; modulo 16, two in a byte, or modulo 256 from 256 places on.
 
     The differences of two sketches add up to at most the number of tokens in which the sets differ.
     """
     places = LEAST_COUNTS
-    while places * places * 4 <= len(tokens) * LEAST_COUNTS:
+    while places * places * 4 <= len(tokens) * LEAST_COUNTS or places * MOST_IN_A_COUNT < len(tokens):
         places *= 2
     shift = np.uint64(64 - places.bit_length() + 1)
-    return np.bincount((mix(tokens, 7) >> shift).astype(np.int64), minlength=places).astype(np.uint8).tobytes()
+    counts = np.bincount((mix(tokens, 7) >> shift).astype(np.int64), minlength=places).astype(np.uint8)
+    return (counts if places >= WIDE_COUNTS else (counts[::2] & 15) << 4 | counts[1::2] & 15).tobytes()
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    """The counts of a sketch."""
+    counts = np.frombuffer(blob, np.uint8)
+    return counts if len(counts) >= WIDE_COUNTS else np.stack([counts >> 4, counts & 15], 1).ravel()
 
 
 class Sketches:
     """Sketches of several lengths, folded to the shorter length of each pair."""
 
     def __init__(self, blobs: list[bytes]):
-        self.lengths = np.array([len(x) for x in blobs], np.int64)
+        counts = [unpacked(x) for x in blobs]
+        self.lengths = np.array([len(x) for x in counts], np.int64)
         self.rows, self.at = {}, {}
         for k in np.unique(self.lengths):
             rows = np.flatnonzero(self.lengths >= k)
-            folded = [np.frombuffer(blobs[i], np.uint8).reshape(k, -1).sum(axis=1, dtype=np.uint8) for i in rows]
+            folded = [counts[i].reshape(k, -1).sum(axis=1, dtype=np.uint8) for i in rows]
             self.rows[k] = np.stack(folded)
             self.at[k] = np.zeros(len(blobs), np.int64)
             self.at[k][rows] = np.arange(len(rows))
@@ -102,7 +114,10 @@ class Sketches:
         for k in np.unique(k_of):
             own = np.flatnonzero(k_of == k)
             d = self.rows[k][self.at[k][i[own]]] - self.rows[k][self.at[k][j[own]]]
-            out[own] = np.minimum(d, -d).sum(axis=1, dtype=np.int64)
+            if k < WIDE_COUNTS:  # one of the two is modulo 16
+                out[own] = np.minimum(d & 15, -d & 15).sum(axis=1, dtype=np.int64)
+            else:
+                out[own] = np.minimum(d, -d).sum(axis=1, dtype=np.int64)
         return out
 
 
@@ -150,18 +165,19 @@ def _profile(n: int):
     """Rows of two kinds: 0, a document (key: row, value: signature, size); 1, a token seen more than once (key, value: count)."""
 
     def run(batches):
-        for batch in batches:
-            seen: set = set()
-            block, held = [], 0
+        forget()
+        seen: set = set()
+        block, held = [], 0
 
-            def repeats():
-                tokens, counts = np.unique(np.concatenate(block), return_counts=True)
-                more = counts > 1
-                k = int(more.sum())
-                return pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int32)), _int64(tokens[more]), pa.nulls(k, pa.int64()), _int64(counts[more]), pa.nulls(k, pa.int64())],
-                                                  ["kind", "key", "doc_id", "value", "size"])
+        def repeats():
+            tokens, counts = np.unique(np.concatenate(block), return_counts=True)
+            more = counts > 1
+            k = int(more.sum())
+            return pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int32)), _int64(tokens[more]), pa.nulls(k, pa.int64()), _int64(counts[more]), pa.nulls(k, pa.int64())],
+                                              ["kind", "key", "doc_id", "value", "size"])
 
-            for piece in text_slices(batch):
+        for batch in batches:
+            for piece in text_slices(batch, budget=PIECE_BYTES):
                 signs, sizes = [], []
                 for tokens in shingle_sets(piece.column("text"), n):
                     sign = signature(tokens)
@@ -176,9 +192,10 @@ def _profile(n: int):
                                                  ["kind", "key", "doc_id", "value", "size"])
                 if held > BLOCK_TOKENS:
                     yield repeats()
+                    seen.clear()
                     block, held = [], 0
-            if block:
-                yield repeats()
+        if block:
+            yield repeats()
 
     return run
 
@@ -188,28 +205,30 @@ def _postings(n: int, percent: int, known, buckets: int):
     names = ["kind", "key", "sign", "size", "place", "blob"]
 
     def run(batches):
+        forget()
+        seen: set = set()
+        held: list = []
+        count = 0
+
+        def flush():
+            tok, sign, size, place, tier = (np.concatenate(x) for x in zip(*held))
+            hot = tier > 0
+            k = int(hot.sum())
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int32)), _int64(tok[hot]), _int64(sign[hot]), _int64(size[hot]), _int64(place[hot]), pa.nulls(k, pa.binary())], names)
+            cold = ~hot
+            bucket = (mix(tok[cold], 5) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            packed = np.empty(len(order), [("t", "<u8"), ("s", "<i8"), ("n", "<i4"), ("p", "<i4")])
+            for f, x in zip("tsnp", (tok, sign, size, place)):
+                packed[f] = x[cold][order]
+            ids, starts = np.unique(bucket[order], return_index=True)
+            ends = np.append(starts[1:], len(order))
+            blobs = [packed[a:b].tobytes() for a, b in zip(starts, ends)]
+            k = len(ids)
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(k, np.int32)), _int64(ids), *[pa.nulls(k, pa.int64())] * 3, pa.array(blobs, pa.binary())], names)
+
         for batch in batches:
-            seen: set = set()
-            held: list = []
-
-            def flush():
-                tok, sign, size, place, tier = (np.concatenate(x) for x in zip(*held))
-                hot = tier > 0
-                k = int(hot.sum())
-                yield pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int32)), _int64(tok[hot]), _int64(sign[hot]), _int64(size[hot]), _int64(place[hot]), pa.nulls(k, pa.binary())], names)
-                cold = ~hot
-                bucket = (mix(tok[cold], 5) % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                packed = np.empty(len(order), [("t", "<u8"), ("s", "<i8"), ("n", "<i4"), ("p", "<i4")])
-                for f, x in zip("tsnp", (tok, sign, size, place)):
-                    packed[f] = x[cold][order]
-                ids, starts = np.unique(bucket[order], return_index=True)
-                ends = np.append(starts[1:], len(order))
-                blobs = [packed[a:b].tobytes() for a, b in zip(starts, ends)]
-                k = len(ids)
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(k, np.int32)), _int64(ids), *[pa.nulls(k, pa.int64())] * 3, pa.array(blobs, pa.binary())], names)
-
-            for piece in text_slices(batch):
+            for piece in text_slices(batch, budget=PIECE_BYTES):
                 signs, sizes, blobs = [], [], []
                 for tokens in shingle_sets(piece.column("text"), n):
                     if not len(tokens) or (sign := signature(tokens)) in seen:
@@ -219,22 +238,25 @@ def _postings(n: int, percent: int, known, buckets: int):
                     first = prefix(tokens, tier, 0, percent)
                     p = len(first)
                     held.append((tokens[first], np.full(p, sign), np.full(p, len(tokens)), np.arange(p), tier[first]))
+                    count += p
                     signs.append(sign)
                     sizes.append(len(tokens))
                     blobs.append(sketch(tokens))
                 k = len(signs)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(k, 2, np.int32)), pa.nulls(k, pa.int64()), pa.array(signs, pa.int64()), pa.array(sizes, pa.int64()), pa.nulls(k, pa.int64()), pa.array(blobs, pa.binary())], names)
-                if sum(len(x[0]) for x in held) > BLOCK_TOKENS // 4:
+                if count > BLOCK_TOKENS // 4:
                     yield from flush()
-                    held = []
-            if held:
-                yield from flush()
+                    seen.clear()
+                    held, count = [], 0
+        if held:
+            yield from flush()
 
     return run
 
 
 def _shared_rare(batches):
     """Of each bucket's rare postings those whose token stands in two classes or more."""
+    forget()
     for batch in batches:
         for key_blobs in batch.column("blobs"):
             rows = np.concatenate([np.frombuffer(x.as_buffer(), [("t", "<u8"), ("s", "<i8"), ("n", "<i4"), ("p", "<i4")]) for x in key_blobs.values])
@@ -252,6 +274,7 @@ def _near(percent: int):
     """From postings sorted by cell, a forest (a, b) of the pairs in one cell whose parts differ and whose sizes, places and sketches allow the similarity."""
 
     def run(batches):
+        forget()
         above: dict = {}
 
         def top(x):
@@ -351,13 +374,14 @@ def _links(n: int, percent: int, known):
     """From texts sorted by cell, the forest of links of each cell."""
 
     def run(batches):
+        forget()
         for table in whole_groups(batches, "cell"):
             cells = table.column("cell").to_numpy()
             bounds = np.append(np.flatnonzero(np.append(True, cells[1:] != cells[:-1])), len(cells))
             links = []
             for i, j in zip(bounds[:-1], bounds[1:]):
                 rows = table.slice(i, j - i).combine_chunks().to_batches()[0]
-                sets = [x for piece in text_slices(rows) for x in shingle_sets(piece.column("text"), n)]
+                sets = [x for piece in text_slices(rows, budget=PIECE_BYTES) for x in shingle_sets(piece.column("text"), n)]
                 links += forest_of_links(rows.column("sign").to_numpy(), rows.column("part").to_numpy(), sets, percent, known.value)
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links)], ["a", "b"])
@@ -370,6 +394,7 @@ class Join:
 
     def __init__(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT):
         self.n, self.percent, self.spark = n, percent, df.sparkSession
+        small_batches(self.spark)
         self.keyed = narrow(df, id_col, text_col).select(row_key().alias("row"), "doc_id", "text")
 
     def links(self) -> DataFrame:
@@ -392,11 +417,13 @@ class Join:
         return first if families is None else first.unionByName(self._linked(families))
 
     def _stars(self) -> DataFrame:
-        """sign, part, cell: every class that shares a posted token, beside the hub with which it shares most."""
+        """sign, part, cell: every class that shares a posted token, beside the hub with which it shares most, if that is a fair part of its posted tokens."""
         posts = self.postings.withColumn("level", self._level())
         hubs = posts.groupBy("token", "level").agg(F.min("sign").alias("hub"), F.count("*").alias("c")).where("c > 1").drop("c")
         met = posts.join(hubs, ["token", "level"]).where("sign <> hub").groupBy("sign", "hub").agg(F.count("*").alias("c"), F.first("size").alias("size"))
-        best = store(met.groupBy("sign").agg(F.max(F.struct("c", "hub")).alias("best"), F.first("size").alias("size")).select("sign", "size", "best.hub"), "stars")
+        best = met.groupBy("sign").agg(F.max(F.struct("c", "hub")).alias("best"), F.first("size").alias("size"))
+        best = best.where(F.col("best.c") * HUB_SHARE * 100 >= F.col("size") * (100 - self.percent))
+        best = store(best.select("sign", "size", "best.hub"), "stars")
         blocks = best.groupBy("hub").agg(F.ceil(F.sum("size") / BLOCK_SIZES).alias("blocks"))
         near = best.join(blocks, "hub").select("sign", F.col("sign").alias("part"), F.xxhash64("hub", F.pmod(F.xxhash64("sign"), "blocks")).alias("cell"))
         centre = blocks.select("hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("k"))

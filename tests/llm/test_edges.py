@@ -304,3 +304,58 @@ def test_op8_families_make_no_rows_by_pairs(spark, monkeypatch, postings, sizes)
     assert got == {k: k if k < 80 else (k - 80) * 10 for k in range(88)}
     if postings > 3:
         assert max(x.count() for label, x in written if label not in ("profile", "postings", "shared", "parts")) <= 4 * len(texts)
+
+
+def test_workers_forget_other_operators_vocabularies():
+    from hackstand.llm import common, tokens
+
+    tokens.encoder(tokens.vocabulary()).encode(pa.array(["some words to keep"]))
+    assert tokens._ENCODERS
+    list(op8._profile(4)([]))
+    assert not tokens._ENCODERS and not any(common._KEPT)
+
+
+def test_op8_passes_hold_little_beside_their_texts():
+    import tracemalloc
+
+    rng = random.Random(2)
+    texts = [" ".join(f"word{rng.randrange(10**6)}" for _ in range(1000)) for _ in range(600)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(600)), pa.array(range(600)), pa.array(texts)], ["row", "doc_id", "text"])
+    tracemalloc.start()
+    for _ in op8._profile(4)([batch]):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * batch.nbytes
+
+
+def test_op8_sketches_are_short_and_never_overstate():
+    rng = np.random.default_rng(5)
+    sets = []
+    for size in (1, 40, 300, 511, 1900, 2047, 2048, 2300, 9000, 40_000):
+        base = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+        sets += [np.unique(base), np.unique(np.append(base[size // 9 :], rng.integers(0, 1 << 63, size // 12, dtype=np.uint64)))]
+    blobs = [op8.sketch(x) for x in sets]
+    assert len(op8.sketch(sets[4])) <= 32
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    true = np.array([len(np.setxor1d(sets[a], sets[b])) for a, b in zip(i, j)])
+    apart = op8.Sketches(blobs).apart(i, j)
+    assert (apart <= true).all()
+    # sets of equal size without a common token are told apart
+    other = [rng.integers(0, 1 << 63, len(x), dtype=np.uint64) for x in sets]
+    both = op8.Sketches(blobs + [op8.sketch(x) for x in other])
+    far = both.apart(np.arange(len(sets)), len(sets) + np.arange(len(sets)))
+    sizes = np.array([len(x) for x in sets])
+    assert (far[sizes > 30] > (2 * sizes - 2 * op8.overlap(sizes, sizes, 85))[sizes > 30]).all()
+
+
+def test_op8_chance_meetings_move_no_text(spark):
+    """Texts that share one of many posted tokens with others, and near copies of a few of them."""
+    texts = [" ".join([f"u{k}_{x}" for x in range(196)] + [f"p{k // 2}_{x}" for x in range(4)]) for k in range(40)]
+    texts += [t.replace("u0_7 ", "x ").replace("u5_7 ", "x ") for t in texts[:6:5]]
+    join = op8.Join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    moved = []
+    join._linked, linked = (lambda cells: moved.append(cells.select("sign").distinct().count()) or linked(cells)), join._linked
+    got = {r["doc_id"]: r["component_id"] for r in join.documents().collect()}
+    assert got == {k: k for k in range(40)} | {40: 0, 41: 5}
+    assert moved[0] <= 8
