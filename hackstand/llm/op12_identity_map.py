@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +64,9 @@ class Aligner:
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_a, self.bytes_b = bytes_of_a(self.whole), bytes_of_b(self.b)
         self.same = same_bytes(self.bytes_a, [self.b.is_byte(i) for i in range(len(self.bytes_b))], self.bytes_b)
+        # plain lists for the loop over tokens: an array's element costs more than the rest of a step
+        self.mapped, self.size_a, self.size_b = self.same.tolist(), [len(x) for x in self.bytes_a], [len(x) for x in self.bytes_b]
+        self.name = [str(i) for i in range(max(len(self.size_a), len(self.size_b)))]
         self.cut_lines = not any(b"\n" in x and len(x) > 1 for x in self.bytes_b)
         self.cut_stops = self.cut_lines and not any(re.search(rb"[A-Za-z][.,;:!?]", x) for x in self.bytes_b)
         self.kept: dict[bytes, tuple] = {}
@@ -82,24 +86,27 @@ class Aligner:
         bytes_a, bytes_b = self.bytes_a, self.bytes_b
         if b"".join([bytes_a[x] for x in a]) != segment or b"".join([bytes_b[x] for x in b]) != segment:
             return 0, 0, -1, b"", b"", b""
+        same, name, size_a, size_b = self.mapped, self.name, self.size_a, self.size_b
         groups, plain, other = [], [], []
-        i = j = from_i = from_j = at_a = at_b = 0
-        while i < len(a):
-            if at_a <= at_b:
-                at_a += len(bytes_a[a[i]])
-                i += 1
+        j = from_i = from_j = at_a = at_b = 0
+        for i, x in enumerate(a, 1):
+            at_a += size_a[x]
             while at_b < at_a:
-                at_b += len(bytes_b[b[j]])
+                y = b[j]
+                at_b += size_b[y]
                 j += 1
             if at_a == at_b:
-                last_a, last_b = a[i - 1], b[j - 1]
-                if i - from_i == 1 and j - from_j == 1 and self.same[last_a] == last_b:
-                    plain.append(last_a)
+                if i - from_i == 1 and j - from_j == 1:
+                    groups.append(f"{name[x]}|{name[y]}")
+                    if same[x] == y:
+                        plain.append(x)
+                    else:
+                        other.append(x << 16 | y)
                 else:
-                    other.append(last_a << 16 | last_b)
-                groups.append(",".join(map(str, a[from_i:i])) + "|" + ",".join(map(str, b[from_j:j])))
+                    groups.append(",".join([name[k] for k in a[from_i:i]]) + "|" + ",".join([name[k] for k in b[from_j:j]]))
+                    other.append(x << 16 | y)
                 from_i, from_j = i, j
-        return len(a), len(b), len(groups), ";".join(groups).encode(), np.array(plain, np.uint16).tobytes(), np.array(other, np.uint32).tobytes()
+        return len(a), len(b), len(groups), ";".join(groups).encode(), array("H", plain).tobytes() if plain else b"", array("I", other).tobytes() if other else b""
 
     def align(self, texts: pa.Array):
         """Per text: tokens of A, of B, groups, digest; then plain links and other links of all texts, each with where a text's begin."""

@@ -190,6 +190,19 @@ def test_op12_segments_equal_whole_texts(texts):
     assert list(zip(n_a, n_b, n_groups, digests)) == [(r[0], r[1], r[2], r[6]) for r in plain_alignment(texts)[0]]
 
 
+def test_op12_loop_over_tokens_reads_no_arrays(monkeypatch):
+    """An array's element costs more than the rest of a step; the loop runs once for each token of each distinct segment."""
+    own = op12.aligner(path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
+    monkeypatch.setattr(own, "same", None)
+    for text in ("word", "two words", "Anthropomorphous  naïveté, 12345678!", "日本語 text\n\nend"):
+        n_a, n_b, n_groups, groups, plain, other = own._align((" " + text).encode(), A.encode(" " + text, add_special_tokens=False).ids, B.encode(text))
+        want, counts = plain_alignment([text])
+        assert (n_a, n_b, n_groups, hashlib.sha256(groups).hexdigest()) == (*want[0][:3], want[0][6])
+        mapped = np.frombuffer(plain, np.uint16).tolist()
+        links = [(x, own.mapped[x]) for x in mapped] + [(x >> 16, x & 0xFFFF) for x in np.frombuffer(other, np.uint32).tolist()]
+        assert collections.Counter(links) == counts
+
+
 # ---- op13
 
 
