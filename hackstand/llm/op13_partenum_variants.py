@@ -4,7 +4,8 @@ A word's letters with their repeats are a binary vector (letter, how manieth). O
 it, a replaced letter two. The alphabet is split into ``PARTS`` parts; two vectors at Hamming distance two or less differ in at most two
 parts, so they agree on all others. Every multiset has one signature for each choice of two parts to leave out: the letters in the
 remaining parts. Equal signatures are joined once per distinct multiset, and words of joined multisets are verified by their edit
-distance. The parts are balanced by the letters' frequency among the words; any parts give the same result.
+distance. The parts are balanced by the letters' frequency among the words; any parts give the same result. All joins are by shuffle: words,
+signatures and pairs grow with the input, and their written files look small.
 
 * Null text: no words. A null id: hashed as the empty string. Repeated rows and ids: every occurrence counts.
 * Ties between near words of one count go to the smallest in code-point order.
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hackstand.llm.common import narrow, store
+from hackstand.session import by_shuffle
 
 PARTS = 7
 #: Fixed by the contract: words' letters, length and count, and the divisor that picks the occurrences that lose a letter.
@@ -64,7 +66,7 @@ def close_multisets(words: DataFrame, parts: int = PARTS) -> DataFrame:
     sets = store(words.select("letters").distinct(), "letters")
     signed = sets.select("letters", F.explode(signatures(alphabet_parts(sets, parts))).alias("sign"))
     left, right = (signed.select("sign", F.col("letters").alias(c)) for c in "ab")
-    met = left.join(right, "sign").where((F.col("a") < F.col("b")) & (F.abs(F.length("a") - F.length("b")) <= 1))
+    met = left.join(by_shuffle(right), "sign").where((F.col("a") < F.col("b")) & (F.abs(F.length("a") - F.length("b")) <= 1))
     return met.where(F.levenshtein("a", "b", 2) >= 0).select("a", "b").distinct()
 
 
@@ -72,7 +74,7 @@ def near_words(words: DataFrame, parts: int = PARTS) -> DataFrame:
     """word, n, near, near_n: every ordered pair of words that one inserted, deleted or replaced letter makes equal."""
     pairs = close_multisets(words, parts)
     left, right = (words.select(F.col("letters").alias(c), F.col("word").alias(f"word_{c}"), F.col("n").alias(f"n_{c}")) for c in "ab")
-    met = pairs.join(left, "a").join(right, "b").where(F.levenshtein("word_a", "word_b", 1) == 1)
+    met = pairs.join(by_shuffle(left), "a").join(by_shuffle(right), "b").where(F.levenshtein("word_a", "word_b", 1) == 1)
     both = F.array(*[F.struct(F.col(f"word_{x}").alias("word"), F.col(f"n_{x}").alias("n"), F.col(f"word_{y}").alias("near"), F.col(f"n_{y}").alias("near_n")) for x, y in ("ab", "ba")])
     return met.select(F.inline(both))
 
@@ -82,7 +84,7 @@ def roots(forms: DataFrame) -> DataFrame:
     found = store(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         further = found.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        found = store(found.join(further, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "roots")
+        found = store(found.join(by_shuffle(further), "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "roots")
         if not found.where("moved").limit(1).count():
             return found.select("word", "root")
 
@@ -94,7 +96,7 @@ def variants(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", part
     leads = -F.col("best.less") >= 2 * F.col("n")
     best = store(best.select("word", "n_near", F.when(leads, F.col("best.near")).alias("form"), F.when(leads, -F.col("best.less")).alias("form_n")), "forms")
     found = roots(best.where("form is not null"))
-    return words.join(best, "word", "left").join(found, "word", "left").select(
+    return words.join(by_shuffle(best), "word", "left").join(by_shuffle(found), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), "form_n")
 
 

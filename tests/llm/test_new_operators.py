@@ -13,9 +13,11 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from public_tokenizers import path
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
+from hackstand.llm import common
 from hackstand.llm import op11_sum_of_squares as op11
 from hackstand.llm import op12_identity_map as op12
 from hackstand.llm import op13_partenum_variants as op13
@@ -270,3 +272,20 @@ def test_op13_long_chain_of_forms(spark):
     texts = [(k, " ".join([w] * (3 * 2**n))) for k, (n, w) in enumerate(enumerate(words))]
     got = {r["word"]: r["root"] for r in op13.variants(spark.createDataFrame(texts, "doc_id long, text string"), every=1 << 40).collect()}
     assert set(got) == set(words) and set(got.values()) == {words[-1]}
+
+
+def test_op13_joins_by_shuffle_alone(spark, monkeypatch):
+    """Signatures are 21 rows a word out of an explode that Spark does not count: no table of words may be broadcast because its file looks small."""
+    plans, keep = [], op13.store
+    noted = lambda df, label="result": plans.append((label, df._jdf.queryExecution().executedPlan().toString())) or df
+    monkeypatch.setattr(op13, "store", lambda df, label: keep(noted(df, label), label))
+    texts = spark.createDataFrame([(k, "abcde abcdef abcdefg abcdefg abcdefg") for k in range(9)], "doc_id long, text string")
+    noted(op13.variants(texts)).collect()
+    assert sum(plan.count("SortMergeJoin") for _, plan in plans) >= 6 and {"forms", "roots", "result"} <= {label for label, plan in plans if "SortMergeJoin" in plan}
+    assert not [label for label, plan in plans if "Broadcast" in plan]
+
+
+def test_a_large_table_is_not_broadcast_for_its_small_file(spark):
+    stored = common.store(spark.range(100).select(F.lit(7).alias("k"), "id"), "small")
+    plans = [spark.range(9).withColumnRenamed("id", "k").join(common.if_small(stored, rows), "k")._jdf.queryExecution().executedPlan().toString() for rows in (99, 100)]
+    assert ["BroadcastExchange" in p for p in plans] == [False, True] and "SortMergeJoin" in plans[0]
