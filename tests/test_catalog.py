@@ -31,3 +31,8 @@ def test_query_equals_sql(spark, name):
 
 def test_entry_has_rows(spark):
     assert entry.entry(spark).limit(1).count() == 1
+
+
+@pytest.mark.parametrize("name", ("read_clusters", "stream_cluster"))
+def test_clusters_of_rides_equal_sql(spark, name):
+    test_query_equals_sql(spark, name)
