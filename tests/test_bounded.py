@@ -86,3 +86,11 @@ def test_trips_stay_where_they_are_when_trees_draw(spark):
     drawn = forest.training_rows(df, forest.ForestSettings(trees=3, min_rows=20))
     assert "Exchange hashpartitioning" not in drawn._jdf.queryExecution().executedPlan().toString()
     assert drawn.select("ratecode_id", "tree").distinct().count() == 6
+
+
+@pytest.mark.parametrize("name", ["join_labels_features", "kmodes_distributions"])
+def test_labels_meet_features_by_shuffle(spark, name):
+    """Both sides have a row per trip: neither may be sent through the driver because its file of short codes looks small."""
+    done = catalog.load()[name].build(open_tables(spark, "/root/testdata/sf0.001"))
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [trip_id" not in plan and "SortMergeJoin [trip_id" in plan
